@@ -30,7 +30,7 @@ def name_meta_category(spark, sf):
 
 
 def reviews_of_selected(spark, sf):
-    parts = adapters.table(spark, sf, "part").where(F.col("p_retailprice") > 1500)
+    parts = adapters.table(spark, sf, "part").where(F.col("p_retailprice") > 905)
     selected = parts.select((F.col("p_size") % 5).alias("meta_category"), F.col("p_partkey").alias("asin"))
     return joins.reviews_of_selected(adapters.ranked_reviews(spark, sf), selected).select("review_id", "meta_category", "asin")
 
@@ -90,7 +90,7 @@ SELECT category, review_id, cluster AS meta_category FROM docs LEFT JOIN points
         reviews_of_selected,
         rank(
             "SELECT review_id, meta_category, asin FROM reviews WHERE EXISTS (SELECT 1 FROM part"
-            " WHERE p_retailprice > 1500 AND p_size % 5 = meta_category AND p_partkey = asin)"
+            " WHERE p_retailprice > 905 AND p_size % 5 = meta_category AND p_partkey = asin)"
         ),
     ),
     "missing_product_names": (

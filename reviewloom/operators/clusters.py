@@ -188,7 +188,7 @@ def density_labels(
         core = _top(near, ["key"], order, min_samples).where(F.col("rank") == min_samples)
         core = core.select("key", F.col("distance").alias("core"))
     core = settle(core.where(F.col("core") <= eps), "core")
-    dense = settle(tiled.join(core, "key"), "dense")
+    dense = tiled.join(core, "key")
     links = settle(
         near_blocks(dense, dense, pairs, _link_block(eps, alpha), f"key {key_type}, root {key_type}, reach double"),
         "links",
@@ -196,7 +196,6 @@ def density_labels(
     members = connected_components(
         links.where("root is not null").select(F.col("key").alias("a"), F.col("root").alias("b"))
     )
-    members = settle(members, "members")
     sizes = members.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") >= min_size)
     ranged = settle(sizes.repartitionByRange("root").withColumn("_part", F.spark_partition_id()), "roots")
     numbered = ranked_positions(ranged.withColumn("_all", F.lit(0)), ["_all"], [F.col("root")], F.col("_part"), "_id")

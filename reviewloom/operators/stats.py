@@ -103,7 +103,7 @@ def min_reviews(stats: DataFrame, n: int = 10) -> DataFrame:
 def cluster_sizes(labels: DataFrame) -> DataFrame:
     """Categories per cluster. Noise is not listed but counts in the share's total."""
     counts = labels.groupBy("cluster").agg(F.count("*").alias("n_categories"))
-    share = F.col("n_categories") / F.sum("n_categories").over(whole_table())
+    share = F.col("n_categories") / counts.agg(F.sum("n_categories")).scalar()
     return counts.withColumn("share", share).where(F.col("cluster") != NOISE)
 
 

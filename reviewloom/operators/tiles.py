@@ -14,7 +14,7 @@ from itertools import product
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from reviewloom.operators.ranks import whole_table
 from reviewloom.staging import settle
@@ -25,7 +25,7 @@ GRID_DIMS = 3
 
 def matrix(vectors: pd.Series) -> np.ndarray:
     """Array column of a batch as a float64 matrix."""
-    return np.stack([np.asarray(v, dtype=np.float64) for v in vectors]) if len(vectors) else np.zeros((0, 0))
+    return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
 
 
 def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
@@ -68,7 +68,14 @@ def _cogroup(left: DataFrame, right: DataFrame, block, schema: str) -> DataFrame
     """Hand each pair of tiles to ``block``; both sides may stem from one table, so
     the columns of one side get names of their own."""
     other = right.select([F.col(c).alias(c) for c in right.columns])
-    return left.groupBy("_lt", "_rt").cogroup(other.groupBy("_lt", "_rt")).applyInPandas(block, schema)
+    names = T.StructType.fromDDL(schema).names
+
+    def run(lhs: pd.DataFrame, rhs: pd.DataFrame) -> pd.DataFrame:
+        if lhs.empty or rhs.empty:
+            return pd.DataFrame(columns=names)
+        return block(lhs, rhs)
+
+    return left.groupBy("_lt", "_rt").cogroup(other.groupBy("_lt", "_rt")).applyInPandas(run, schema)
 
 
 def tile_against_tile(
@@ -102,13 +109,15 @@ def near_tiles(
     least ``radius`` wide, and wider where the data is sparse; a crowded cell is
     split into tiles of about ``rows`` points.
     """
-    sample = points.agg(F.max(F.size(vector)).alias("d"), F.count("*").alias("n")).first()
-    dims = min(GRID_DIMS, sample["d"] or 1)
-    coords = [F.col(vector)[i].cast("double") for i in range(dims)]
-    span = points.agg(*[(F.max(c) - F.min(c)).alias(f"s{i}") for i, c in enumerate(coords)]).first()
-    cells_per_axis = max(1.0, (sample["n"] / rows) ** (1.0 / dims))
-    sides = [max(radius, (span[i] or 0.0) / cells_per_axis) * (1 + 1e-9) or 1.0 for i in range(dims)]
-    cell = F.array(*[F.floor(c / F.lit(side)) for c, side in zip(coords, sides)])
+    axes = [F.get(F.col(vector), F.lit(i)).cast("double") for i in range(GRID_DIMS)]
+    reach = [f(c).alias(f"{name}{i}") for i, c in enumerate(axes) for name, f in (("low", F.min), ("high", F.max))]
+    extent = points.agg(F.count("*").alias("n"), *reach).first()
+    dims = max(1, sum(extent[f"low{i}"] is not None for i in range(GRID_DIMS)))
+    per_axis = max(1.0, (extent["n"] / rows) ** (1.0 / dims))
+    lows = [extent[f"low{i}"] or 0.0 for i in range(dims)]
+    spans = [(extent[f"high{i}"] or 0.0) - low for i, low in enumerate(lows)]
+    sides = [max(radius, span / per_axis) * (1 + 1e-9) or 1.0 for span in spans]
+    cell = F.array(*[F.floor((c - F.lit(low)) / F.lit(side)) for c, low, side in zip(axes, lows, sides)])
     placed = points.withColumn("_cell", cell)
     counts = placed.groupBy("_cell").agg(F.count("*").alias("_n"))
     subs = settle(counts.select("_cell", F.ceil(F.col("_n") / rows).alias("_subs")), "cells")
@@ -122,7 +131,7 @@ def near_tiles(
         F.explode(F.transform(shifts, lambda s: F.zip_with(F.col("_cell"), s, lambda a, b: a + b))).alias("_cell"),
     )
     pairs = around.join(tiles, "_cell").select("_lt", _tile_name().alias("_rt"))
-    return settle(tiled, "tiled"), settle(pairs, "tile-pairs")
+    return tiled, settle(pairs, "tile-pairs")
 
 
 def near_blocks(left: DataFrame, right: DataFrame, pairs: DataFrame, block, schema: str) -> DataFrame:
