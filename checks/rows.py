@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from checks.base import PRODUCTS, rank, rounded, text, written
 from reviewloom import functions as fn
+from reviewloom.functions.text import computed_once
 from reviewloom.operators import quality
 from reviewloom.operators.stats import product_stats
 from reviewloom.plans import prepare as plans
@@ -27,12 +28,12 @@ def clean_raw(spark, sf):
 
 
 def drop_empty_processed(spark, sf):
-    rows = reviews(spark, sf).withColumn("processed_text", fn.normalize_text(F.col("text")))
+    rows = computed_once(reviews(spark, sf), "processed_text", fn.normalize_text(F.col("text")))
     return quality.drop_empty_processed(rows).select("review_id", "processed_text")
 
 
 def min_words(spark, sf):
-    rows = reviews(spark, sf).withColumn("processed_text", fn.normalize_text(F.col("text")))
+    rows = computed_once(reviews(spark, sf), "processed_text", fn.normalize_text(F.col("text")))
     return quality.min_words(rows, 40).select("review_id", fn.count_words(F.col("processed_text")).cast("bigint").alias("n_words"))
 
 

@@ -1,33 +1,49 @@
 """Text cleaning and extraction as column expressions (no Python per row).
 
-Patterns use the Unicode character classes of Java so that they agree with
-Unicode-aware dialects elsewhere; the four ASCII separators U+001C..U+001F count
-as white space.
+Each pattern starts only where a match can start and never gives back what it has
+taken, so that a long run of text takes linear time.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewloom.contracts import ARTICLE_SECTIONS
 
-_SPACE = r"[\s\x1c-\x1f]"
-_SOLID = r"[^\s\x1c-\x1f]"
+# White space is the Unicode set plus the four ASCII separators
+# U+001C..U+001F; then the characters of a mail address.
+_BLANKS = r"\s\x1c-\x1f"
+_SPACE, _SOLID = f"[{_BLANKS}]", f"[^{_BLANKS}]"
+_MAIL = r"[\p{L}\p{N}_.\-]"
+
+# What the cleaning recipes remove or mask.
+TAG = r"<[^>]++>"
+LINK_START = f"http{_SOLID}++|www{_SOLID}++"
+FULL_LINK = f"https?://{_SOLID}++"
+MAIL_RUN = f"(?<!{_SOLID}){_SOLID}[^@{_BLANKS}]*+@{_SOLID}++"
+MAIL_ADDRESS = f"(?<!{_MAIL}){_MAIL}++@{_MAIL}++"
+NON_LETTERS = "[^a-zA-Z]++"
 
 
 def _sub(text: Column, pattern: str, replacement: str) -> Column:
     return F.regexp_replace(text, F.lit("(?U)" + pattern), F.lit(replacement))
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column so that a later filter on it does not compute it again.
+
+    A filter on a projected column is normally pushed below the projection, which
+    repeats the expression; it stays above a generated one.
+    """
+    kept = [c for c in df.columns if c != name]
+    return df.select(*kept, F.inline(F.array(F.struct(value.alias(name)))))
+
+
 def strip_space(text: Column) -> Column:
     """Remove white space of any kind from both ends."""
     return _sub(text, f"^{_SPACE}+|{_SPACE}+$", "")
 
 
-def _collapse(text: Column) -> Column:
-    return F.trim(_sub(text, f"{_SPACE}+", " "))
-
-
 def words(text: Column) -> Column:
     """Non-empty pieces between runs of white space."""
     return F.filter(F.split(text, f"(?U){_SPACE}+"), lambda w: w != "")
@@ -41,15 +57,15 @@ def normalize_text(text: Column, strict: bool = False) -> Column:
     """Lower-case letters only: markup, links, mail addresses and symbols go.
 
     The order of the steps matters: links end at white space, so tags must have
-    become spaces before, and mail addresses must go before their ``@`` does.
+    become spaces before, and mail addresses must go before their ``@`` does. A run
+    of anything but letters, white space included, ends up as one space.
     ``strict`` turns a null into an error instead of a null.
     """
     out = F.lower(text)
-    out = _sub(out, r"<[^>]+>", " ")
-    out = _sub(out, f"(?:http|www){_SOLID}+", "")
-    out = _sub(out, f"{_SOLID}+@{_SOLID}+", "")
-    out = _sub(out, r"[^a-zA-Z\s\x1c-\x1f]", " ")
-    out = _collapse(out)
+    out = _sub(out, TAG, " ")
+    out = _sub(out, LINK_START, "")
+    out = _sub(out, MAIL_RUN, "")
+    out = F.trim(_sub(out, NON_LETTERS, " "))
     if strict:
         return F.when(text.isNull(), F.raise_error(F.lit("text must be a string"))).otherwise(out)
     return out
@@ -57,10 +73,10 @@ def normalize_text(text: Column, strict: bool = False) -> Column:
 
 def redact_text(text: Column) -> Column:
     """Keep the wording; mask links and mail addresses, drop tags."""
-    out = _sub(text, r"<[^>]+>", " ")
-    out = _sub(out, f"https?://{_SOLID}+", "[URL]")
-    out = _sub(out, r"[\p{L}\p{N}_.\-]+@[\p{L}\p{N}_.\-]+", "[EMAIL]")
-    return _collapse(out)
+    out = _sub(text, TAG, " ")
+    out = _sub(out, FULL_LINK, "[URL]")
+    out = _sub(out, MAIL_ADDRESS, "[EMAIL]")
+    return F.trim(_sub(out, f"{_SPACE}++", " "))
 
 
 # The entities decoded in headings; the ampersand comes last so that

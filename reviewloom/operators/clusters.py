@@ -63,7 +63,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
     """Smallest node of every component: ``node, root``.
 
     ``edges`` has columns ``a, b``. Alternates two steps that hang each node's
-    larger, then smaller, neighbours on its smallest one, until nothing moves; the
+    larger, then smaller, neighbours on its smallest one, until only stars are left; the
     number of rounds grows with the logarithm of the graph. Each round is written
     out, so a lost executor costs one round and the plan stays short.
     """
@@ -71,8 +71,7 @@ def connected_components(edges: DataFrame) -> DataFrame:
         edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(),
         "edges",
     )
-    state = _fingerprint(current)
-    while True:
+    while not _all_stars(current):
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.min("b").alias("m")).withColumn("m", F.least("a", "m"))
         large = both.join(lowest, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -80,18 +79,20 @@ def connected_components(edges: DataFrame) -> DataFrame:
         hung = large.join(floor, "a").select(
             F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b"))))
         )
-        following = settle(hung.select("col.a", "col.b").where("a <> b").distinct(), "edges")
-        moved = _fingerprint(following)
-        if moved == state:
-            break
-        current, state = following, moved
-    roots = following.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
-    return following.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
+        current = settle(hung.select("col.a", "col.b").where("a <> b").distinct(), "edges")
+    roots = current.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()
+    return current.select(F.col("a").alias("node"), F.col("b").alias("root")).unionByName(roots)
 
 
-def _fingerprint(edges: DataFrame) -> tuple:
-    digest = F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1 << 31)))
-    return tuple(edges.agg(F.count("*"), digest).first())
+def _all_stars(edges: DataFrame) -> bool:
+    """Does every node hang on exactly one node, which itself hangs on none?"""
+    ends = F.array(
+        F.struct(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down")),
+        F.struct(F.col("b").alias("node"), F.lit(0).alias("up"), F.lit(1).alias("down")),
+    )
+    nodes = edges.select(F.inline(ends)).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    loose = nodes.agg(F.max("up").alias("up"), F.max(F.least("up", "down")).alias("inner")).first()
+    return (loose["up"] or 0) <= 1 and not loose["inner"]
 
 
 # ------------------------------------------------------------- density clusters
@@ -199,7 +200,7 @@ def density_labels(
     sizes = members.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") >= min_size)
     ranged = settle(sizes.repartitionByRange("root").withColumn("_part", F.spark_partition_id()), "roots")
     numbered = ranked_positions(ranged.withColumn("_all", F.lit(0)), ["_all"], [F.col("root")], F.col("_part"), "_id")
-    clusters = settle(numbered.select("root", (F.col("_id") - 1).cast("int").alias("cluster")), "clusters")
+    clusters = numbered.select("root", (F.col("_id") - 1).cast("int").alias("cluster"))
     reach = links.where("root is null").groupBy("key").agg(F.min("reach").alias("reach"))
     inside = members.join(clusters, "root").select(F.col("node").alias("key"), "cluster").join(reach, "key")
     best = inside.groupBy("cluster").agg(F.min("reach").alias("best"))

@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewloom.contracts import SENTIMENT_IDS
 from reviewloom.functions.hashing import order_digest
-from reviewloom.operators.ranks import digest_bucket, ranked_positions, whole_table
+from reviewloom.operators.ranks import POSITION_DIGITS, digest_bucket, ranked_positions, whole_table
 
 N_CLASSES = len(SENTIMENT_IDS)
 
@@ -86,7 +86,7 @@ def smoothed_loss(
     """
     rows = df.withColumn("_key", order_digest(seed, F.col(row_id))).withColumn("_all", F.lit(0))
     order = [F.col("_key"), F.col(row_id)]
-    placed = ranked_positions(rows, ["_all"], order, digest_bucket(F.col("_key")), "_pos")
+    placed = ranked_positions(rows, ["_all"], order, digest_bucket(F.col("_key"), POSITION_DIGITS), "_pos")
     table = weights.groupBy().agg(
         F.map_from_entries(F.collect_list(F.struct("label", F.col("weight").cast("double")))).alias("_w")
     )

@@ -13,7 +13,7 @@ from reviewloom.contracts import (
     lookup,
     missing_columns,
 )
-from reviewloom.functions.text import count_words, normalize_text
+from reviewloom.functions.text import computed_once, count_words, normalize_text
 from reviewloom.operators.ranks import whole_table
 
 # Star rating → sentiment. Any other rating has none.
@@ -124,5 +124,5 @@ def preprocess_dataset(
 ) -> DataFrame:
     """Add ``processed_text`` unless it is there, then keep texts of enough words."""
     if "processed_text" not in df.columns:
-        df = df.withColumn("processed_text", normalize_text(F.col(text_column), strict))
+        df = computed_once(df, "processed_text", normalize_text(F.col(text_column), strict))
     return min_words(df, n_words)

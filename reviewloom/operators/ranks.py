@@ -15,7 +15,9 @@ from pyspark.sql import Column, DataFrame, Window as W, WindowSpec, functions as
 from reviewloom.functions.hashing import order_digest
 from reviewloom.staging import settle
 
-DIGEST_DIGITS = 4  # 65,536 buckets
+# Hex digits of a digest that make a bucket. Finding a cut sorts two narrow columns of
+# one bucket per group; numbering all rows sorts whole rows of every bucket.
+CUT_DIGITS, POSITION_DIGITS = 3, 4
 
 
 def whole_table() -> WindowSpec:
@@ -23,7 +25,7 @@ def whole_table() -> WindowSpec:
     return W.partitionBy(F.lit(0))
 
 
-def digest_bucket(digest: Column, digits: int = DIGEST_DIGITS) -> Column:
+def digest_bucket(digest: Column, digits: int = CUT_DIGITS) -> Column:
     """Leading hex digits of a digest: uniform and order-preserving."""
     return F.substring(digest, 1, digits)
 
@@ -36,7 +38,7 @@ def value_bucket(value: Column, step: float) -> Column:
 def _histogram(keyed: DataFrame, groups: list[str]) -> DataFrame:
     counts = keyed.groupBy(*groups, "_bucket").agg(F.sum("_weight").alias("_n"))
     upto = F.sum("_n").over(W.partitionBy(*groups).orderBy("_bucket"))
-    return settle(counts.withColumn("_before", upto - F.col("_n")), "histogram")
+    return counts.withColumn("_before", upto - F.col("_n"))
 
 
 def locate_ranks(
@@ -56,7 +58,7 @@ def locate_ranks(
     """
     weight = F.lit(1) if weight is None else weight
     keyed = rows.select(*groups, *order, bucket.alias("_bucket"), weight.cast("bigint").alias("_weight"))
-    histogram = _histogram(keyed, groups)
+    histogram = settle(_histogram(keyed, groups), "histogram")
     sizes = histogram.groupBy(*groups).agg(F.sum("_n").alias("n"))
     wanted = targets(sizes).select(*groups, "cut", "k")
     edges = (
@@ -76,7 +78,11 @@ def locate_ranks(
 def ranked_positions(
     df: DataFrame, groups: list[str], order: list[Column], bucket: Column, name: str = "position"
 ) -> DataFrame:
-    """Add the rank (from 1) of every row inside its group."""
+    """Add the rank (from 1) of every row inside its group.
+
+    The bucket counts join on the same keys by which the rows are then sorted, so the
+    rows are shuffled once.
+    """
     keyed = df.withColumn("_bucket", bucket).withColumn("_weight", F.lit(1))
     histogram = _histogram(keyed, groups)
     within = F.row_number().over(W.partitionBy(*groups, "_bucket").orderBy(*order))

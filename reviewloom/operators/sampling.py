@@ -10,7 +10,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewloom.functions.hashing import order_digest
-from reviewloom.operators.ranks import digest_bucket, hash_cuts, hash_point, ranked_positions, whole_table
+from reviewloom.operators.ranks import (
+    POSITION_DIGITS,
+    digest_bucket,
+    hash_cuts,
+    hash_point,
+    ranked_positions,
+    whole_table,
+)
 
 SENTIMENTS = ["Negative", "Neutral", "Positive"]
 
@@ -48,20 +55,26 @@ class TooFewRows(ValueError):
 
 def class_minimum(df: DataFrame, label: str = "rating", minimum: int = 3) -> DataFrame:
     """One row: number of classes, size of the smallest, and whether it suffices."""
-    counts = df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n"))
-    return counts.agg(
+    return _smallest(df.where(F.col(label).isNotNull()).groupBy(label).agg(F.count("*").alias("n")), minimum)
+
+
+def _smallest(sizes: DataFrame, minimum: int) -> DataFrame:
+    return sizes.agg(
         F.count("*").alias("n_classes"), F.coalesce(F.min("n"), F.lit(0)).alias("smallest")
     ).withColumn("enough", F.col("smallest") >= minimum)
 
 
 def check_min_class(df: DataFrame, label: str = "rating", minimum: int = 3) -> DataFrame:
     """Return ``df``, or raise when it is empty or its smallest class is too small."""
-    row = class_minimum(df, label, minimum).first()
+    _raise_if_few(class_minimum(df, label, minimum).first(), label, minimum)
+    return df
+
+
+def _raise_if_few(row, label: str, minimum: int) -> None:
     if row["n_classes"] == 0:
         raise TooFewRows("the input has no rows")
     if not row["enough"]:
         raise TooFewRows(f"each {label} class needs {minimum} rows, the smallest has {row['smallest']}")
-    return df
 
 
 def _largest_remainder(strata: DataFrame, label: str, size: str, total: Column, out: str) -> DataFrame:
@@ -113,10 +126,10 @@ def stratified_split(
     check: bool = True,
 ) -> DataFrame:
     """Add ``split`` (train, val or test) so that each part keeps the class mix."""
-    if check:
-        check_min_class(df, label)
 
     def targets(sizes: DataFrame) -> DataFrame:
+        if check:
+            _raise_if_few(_smallest(sizes, 3).first(), label, 3)
         quotas = split_quotas(sizes, label, test, val)
         cut = F.explode(
             F.create_map(
@@ -179,7 +192,7 @@ def shuffle_key(df: DataFrame, seed: int = 42, row_id: str = "review_id") -> Dat
 def deterministic_shuffle(df: DataFrame, seed: int = 42, row_id: str = "review_id") -> DataFrame:
     """Add ``shuffle_key`` and ``position``, the row number (from 1) in shuffled order."""
     keyed = shuffle_key(df, seed, row_id).withColumn("_all", F.lit(0))
-    bucket = digest_bucket(F.col("shuffle_key"))
+    bucket = digest_bucket(F.col("shuffle_key"), POSITION_DIGITS)
     order = [F.col("shuffle_key"), F.col(row_id)]
     return ranked_positions(keyed, ["_all"], order, bucket).drop("_all")
 

@@ -131,7 +131,7 @@ def near_tiles(
         F.explode(F.transform(shifts, lambda s: F.zip_with(F.col("_cell"), s, lambda a, b: a + b))).alias("_cell"),
     )
     pairs = around.join(tiles, "_cell").select("_lt", _tile_name().alias("_rt"))
-    return tiled, settle(pairs, "tile-pairs")
+    return tiled, pairs
 
 
 def near_blocks(left: DataFrame, right: DataFrame, pairs: DataFrame, block, schema: str) -> DataFrame:
