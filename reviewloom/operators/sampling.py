@@ -83,7 +83,7 @@ def _largest_remainder(strata: DataFrame, label: str, size: str, total: Column,
     ``strata`` has one row per class. Left-over draws go to the largest
     fractions, ties to the smaller class label.
     """
-    exact = F.col(size) * F.col("_total") / F.col("_all")
+    exact = F.coalesce(F.try_divide(F.col(size) * F.col("_total"), F.col("_all")), F.lit(0.0))
     everything = whole_table()
     base = (
         strata.withColumn("_all", F.sum(size).over(everything))
@@ -108,7 +108,7 @@ def split_quotas(sizes: DataFrame, label: str, test: float, val: float) -> DataF
     rows = F.col("_rows")
     at_least = F.lit(3.0) / rows
     test_share = F.greatest(F.lit(float(test)), at_least)
-    val_share = F.greatest(F.lit(float(val)), at_least) / (F.lit(1.0) - test_share)
+    val_share = F.try_divide(F.greatest(F.lit(float(val)), at_least), F.lit(1.0) - test_share)
     sized = sizes.withColumn("_rows", F.sum("n").over(whole_table()))
     with_test = _largest_remainder(sized, label, "n", F.ceil(test_share * rows), "n_test")
     left = with_test.withColumn("_left", F.col("n") - F.col("n_test"))
@@ -128,9 +128,11 @@ def stratified_split(
     """Add ``split`` (train, val or test) so that each part keeps the class mix."""
 
     def targets(sizes: DataFrame) -> DataFrame:
+        quotas = split_quotas(sizes, label, test, val)
         if check:
             _raise_if_few(_smallest(sizes, 3).first(), label, 3)
-        quotas = split_quotas(sizes, label, test, val)
+            if quotas.agg(F.sum(F.col("n") - F.col("n_test") - F.coalesce("n_val", "n"))).first()[0] <= 0:
+                raise TooFewRows("no rows would be left to train on")
         cut = F.explode(
             F.create_map(
                 F.lit("test"), F.col("n_test"), F.lit("val"), F.col("n_test") + F.col("n_val")
