@@ -41,7 +41,7 @@ def write_articles(df: DataFrame, path: str, text: str = "article") -> DataFrame
     """One folder of text output per meta-category; returns ``meta_category, article``."""
     out = df.select("meta_category", F.col(text).alias("value"))
     out.write.mode("overwrite").partitionBy("meta_category").text(path)
-    back = df.sparkSession.read.option("wholetext", True).text(path)
+    back = df.sparkSession.read.text(path, wholetext=True)
     return back.select(
         F.col("meta_category").cast("int").alias("meta_category"),
         F.regexp_replace("value", r"\n\z", "").alias("article"),
