@@ -28,7 +28,7 @@ def product_metrics(spark, sf):
 
 def _parts(spark, sf):
     vectors = adapters.table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
-    return evaluation.score_articles(adapters.articles(spark, sf), vectors, vectors.count())
+    return evaluation.score_articles(adapters.articles(spark, sf, heavy=True), vectors, vectors.count())
 
 
 def evaluation_table(spark, sf):

@@ -21,10 +21,7 @@ TEXT = """reviews AS (
   FROM documents)"""
 
 RANK = """reviews AS (
-  SELECT md5(concat_ws('|', l_orderkey, l_partkey, l_suppkey, l_linenumber,
-             round(l_quantity * 100)::BIGINT, round(l_extendedprice * 100)::BIGINT,
-             round(l_discount * 100)::BIGINT, round(l_tax * 100)::BIGINT,
-             l_returnflag, l_linestatus, strftime(l_shipdate, '%Y-%m-%d'))) AS review_id,
+  SELECT concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey, l_shipdate::DATE - DATE '1970-01-01') AS review_id,
          CASE WHEN p_type = 'ECONOMY' THEN '[UNKNOWN]' ELSE p_type END AS category,
          l_partkey AS asin,
          p_size % 5 AS meta_category,

@@ -35,7 +35,7 @@ def category_vectors(spark, sf):
 
 
 def category_text_vectors(spark, sf):
-    return clusters.category_text_vectors(adapters.text_reviews(spark, sf))
+    return clusters.category_text_vectors(adapters.text_reviews(spark, sf, heavy=True))
 
 
 def reduce_dims(spark, sf):
@@ -80,7 +80,7 @@ def davies_bouldin(spark, sf):
 
 def cluster_categories(spark, sf):
     """The whole clustering job on vectors made from the review texts."""
-    reviews = adapters.text_reviews(spark, sf)
+    reviews = adapters.text_reviews(spark, sf, heavy=True)
     vectors = clusters.category_text_vectors(reviews)
     run = clustering.cluster_categories(reviews, vectors, min_size=2, eps=2.0, alpha=1.0)
     return run.reviews.groupBy("category", "meta_category").agg(F.count("*").alias("n_reviews"))
@@ -98,7 +98,7 @@ def apply_saved_model(spark, sf):
 
 
 def _splits(spark, sf):
-    rows = quality.sentiment_label(adapters.text_reviews(spark, sf)).withColumnRenamed("text", "processed_text")
+    rows = quality.sentiment_label(adapters.text_reviews(spark, sf, heavy=True)).withColumnRenamed("text", "processed_text")
     out = sampling.balanced_splits(rows, 100, 60, 60)
     return {name: out.where(F.col("split") == name) for name in ("train", "val", "test")}
 
@@ -114,7 +114,7 @@ def train_sentiment(spark, sf):
 def predict_sentiment(spark, sf):
     parts = _splits(spark, sf)
     model = sentiment.train_sentiment(parts["train"], n_features=4096)
-    rows = quality.sentiment_label(adapters.text_reviews(spark, sf)).withColumnRenamed("text", "processed_text")
+    rows = quality.sentiment_label(adapters.text_reviews(spark, sf, heavy=True)).withColumnRenamed("text", "processed_text")
     return sentiment.predict_sentiment(model, rows).select("review_id", "sentiment", "probability", "prediction")
 
 
@@ -126,7 +126,7 @@ def select_model(spark, sf):
 
 def _soft(spark, sf):
     vectors = adapters.table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
-    return scores.soft_match_score(adapters.articles(spark, sf), vectors, vectors.count())
+    return scores.soft_match_score(adapters.articles(spark, sf, heavy=True), vectors, vectors.count())
 
 
 def soft_match_score(spark, sf):

@@ -19,6 +19,11 @@ def reviews(spark, sf):
     return adapters.text_reviews(spark, sf)
 
 
+def long_texts(spark, sf):
+    """The same rows, spread over all cores for costly work on their texts."""
+    return adapters.text_reviews(spark, sf, heavy=True)
+
+
 def valid_reviews(spark, sf):
     return quality.valid_reviews(reviews(spark, sf)).select(*ID)
 
@@ -28,12 +33,12 @@ def clean_raw(spark, sf):
 
 
 def drop_empty_processed(spark, sf):
-    rows = computed_once(reviews(spark, sf), "processed_text", fn.normalize_text(F.col("text")))
+    rows = computed_once(long_texts(spark, sf), "processed_text", fn.normalize_text(F.col("text")))
     return quality.drop_empty_processed(rows).select("review_id", "processed_text")
 
 
 def min_words(spark, sf):
-    rows = computed_once(reviews(spark, sf), "processed_text", fn.normalize_text(F.col("text")))
+    rows = computed_once(long_texts(spark, sf), "processed_text", fn.normalize_text(F.col("text")))
     return quality.min_words(rows, 40).select("review_id", fn.count_words(F.col("processed_text")).cast("bigint").alias("n_words"))
 
 
@@ -61,21 +66,21 @@ def check_integrity(spark, sf):
 
 
 def verify_splits(spark, sf):
-    rows = reviews(spark, sf).withColumn("processed_text", fn.redact_text(F.col("text")))
+    rows = computed_once(long_texts(spark, sf), "processed_text", fn.redact_text(F.col("text")))
     return rounded(quality.verify_splits(rows))
 
 
 def preprocess_dataset(spark, sf):
-    pages = adapters.page_reviews(spark, sf)
+    pages = adapters.page_reviews(spark, sf, heavy=True)
     return quality.preprocess_dataset(pages).select("review_id", "processed_text")
 
 
 def normalize_text(spark, sf):
-    return reviews(spark, sf).select("review_id", fn.normalize_text(F.col("text")).alias("processed_text"))
+    return long_texts(spark, sf).select("review_id", fn.normalize_text(F.col("text")).alias("processed_text"))
 
 
 def redact_text(spark, sf):
-    pages = adapters.page_reviews(spark, sf)
+    pages = adapters.page_reviews(spark, sf, heavy=True)
     return pages.select("review_id", fn.redact_text(F.col("text")).alias("processed_text"))
 
 
@@ -83,7 +88,7 @@ SELECTORS = (("h1", None), ("title", None))
 
 
 def product_title(spark, sf):
-    pages = adapters.page_reviews(spark, sf)
+    pages = adapters.page_reviews(spark, sf, heavy=True)
     return pages.select("asin", fn.product_title(F.col("text"), F.col("asin"), SELECTORS).alias("name"))
 
 
@@ -94,7 +99,7 @@ def extract_products(spark, sf):
 
 def encode_tokens(spark, sf):
     ids, mask = fn.encode_tokens(F.col("text"), 256)
-    return reviews(spark, sf).select(
+    return long_texts(spark, sf).select(
         "review_id", F.array_join(ids, ",").alias("input_ids"), F.array_join(mask, ",").alias("attention_mask")
     )
 
@@ -123,11 +128,11 @@ def number_formats(spark, sf):
 
 
 def prepare_normalized(spark, sf):
-    return plans.prepare(reviews(spark, sf).drop("split"), "normalized", frac=None).select(*ID, "processed_text")
+    return plans.prepare(long_texts(spark, sf).drop("split"), "normalized", frac=None).select(*ID, "processed_text")
 
 
 def prepare_redacted(spark, sf):
-    return plans.prepare(reviews(spark, sf).drop("split"), "redacted", frac=None).select(*ID, "processed_text", "sentiment")
+    return plans.prepare(long_texts(spark, sf).drop("split"), "redacted", frac=None).select(*ID, "processed_text", "sentiment")
 
 
 NORMAL = (

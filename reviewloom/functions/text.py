@@ -53,6 +53,19 @@ def count_words(text: Column) -> Column:
     return F.size(words(text))
 
 
+def has_words(text: Column, n: int) -> Column:
+    """Are there at least ``n`` words? Looks no further than the n-th."""
+    if n <= 0:
+        return text.isNotNull()
+    return text.rlike(f"(?U)^{_SPACE}*+(?:{_SOLID}++{_SPACE}++){{{n - 1}}}{_SOLID}")
+
+
+def first_words(text: Column, n: int) -> Column:
+    """The first ``n`` words; the rest of the text is not taken apart."""
+    pieces = F.split(strip_space(text), f"(?U){_SPACE}+", n + 1)
+    return F.filter(F.slice(pieces, 1, n), lambda w: w != "")
+
+
 def normalize_text(text: Column, strict: bool = False) -> Column:
     """Lower-case letters only: markup, links, mail addresses and symbols go.
 

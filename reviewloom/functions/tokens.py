@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, functions as F
 
 from reviewloom.functions.hashing import hash_bucket
-from reviewloom.functions.text import words
+from reviewloom.functions.text import first_words
 
 
 def encode_tokens(text: Column, max_len: int = 256, vocab: int = 50_000) -> tuple[Column, Column]:
@@ -14,7 +14,7 @@ def encode_tokens(text: Column, max_len: int = 256, vocab: int = 50_000) -> tupl
     Ids start at 1; 0 is padding. Words past ``max_len`` are cut before hashing,
     as the fixed input width of a sequence model requires.
     """
-    kept = F.slice(words(text), 1, max_len)
+    kept = first_words(text, max_len)
     ids = F.transform(kept, lambda w: hash_bucket(w, vocab) + F.lit(1))
     used = F.size(kept)
     pad = F.array_repeat(F.lit(0).cast("bigint"), F.lit(max_len) - used)

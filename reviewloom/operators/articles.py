@@ -4,7 +4,7 @@ articles before its score is known."""
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewloom.contracts import ARTICLE_SECTIONS
@@ -76,20 +76,20 @@ def token_vectors(
     both = F.concat(side(generated, "generated"), side(source, "source"))
     long = articles.select(key, F.explode(both).alias("t")).select(key, "t.side", "t.vec_id")
     counts = long.groupBy(key, "side", "vec_id").agg(F.count("*").alias("n"))
-    return counts.join(vectors.select("vec_id", F.col("vector").cast("array<double>").alias("vector")), "vec_id")
+    return counts.join(vectors.select("vec_id", "vector"), "vec_id")
 
 
-def _match_block(pdf: pd.DataFrame) -> pd.DataFrame:
+def _match_block(tokens: pa.Table) -> pa.Table:
     """Greedy cosine matching inside one article, in slices of the longer side."""
-    vec = np.stack([np.asarray(v, dtype=np.float64) for v in pdf["vector"]])
+    flat = tokens["vector"].combine_chunks().flatten().to_numpy().astype(np.float64)
+    vec = flat.reshape(tokens.num_rows, -1)
     norm = np.linalg.norm(vec, axis=1, keepdims=True)
     unit = vec / np.where(norm == 0, 1.0, norm)
-    is_gen = (pdf["side"] == "generated").to_numpy()
-    n = pdf["n"].to_numpy(dtype=np.float64)
+    is_gen = tokens["generated"].to_numpy()
+    n = tokens["n"].to_numpy().astype(np.float64)
     gen, src = unit[is_gen], unit[~is_gen]
-    if not len(gen) or not len(src):
-        precision = recall = 0.0
-    else:
+    precision = recall = 0.0
+    if len(gen) and len(src):
         best_src = np.full(len(src), -np.inf)
         best_gen = np.empty(len(gen))
         step = max(1, 4_000_000 // len(src))
@@ -99,7 +99,7 @@ def _match_block(pdf: pd.DataFrame) -> pd.DataFrame:
             best_src = np.maximum(best_src, cosine.max(axis=0))
         precision = float(best_gen @ n[is_gen] / n[is_gen].sum())
         recall = float(best_src @ n[~is_gen] / n[~is_gen].sum())
-    return pd.DataFrame({"key": [pdf["key"].iloc[0]], "precision": [precision], "recall": [recall]})
+    return pa.table({"key": tokens["key"].slice(0, 1), "precision": [precision], "recall": [recall]})
 
 
 def soft_match_score(
@@ -114,9 +114,9 @@ def soft_match_score(
     tokens = token_vectors(articles, vectors, buckets, key, generated, source)
     kind = dict(articles.dtypes)[key]
     scored = (
-        tokens.withColumnRenamed(key, "key")
+        tokens.select(F.col(key).alias("key"), (F.col("side") == "generated").alias("generated"), "n", "vector")
         .groupBy("key")
-        .applyInPandas(_match_block, f"key {kind}, precision double, recall double")
+        .applyInArrow(_match_block, f"key {kind}, precision double, recall double")
         .withColumnRenamed("key", key)
     )
     full = articles.select(key).join(scored, key, "left").na.fill(0.0, ["precision", "recall"])

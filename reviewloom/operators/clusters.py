@@ -28,8 +28,9 @@ def category_text_vectors(
     reviews: DataFrame, text: str = "text", group: str = "category", dims: int = 256
 ) -> DataFrame:
     """A vector per category from the words of its reviews (hashed tf-idf, averaged)."""
-    tokens = reviews.select(group, words(normalize_text(F.col(text))).alias("_words")).where(F.size("_words") > 0)
+    tokens = reviews.select(group, words(normalize_text(F.col(text))).alias("_words"))
     hashed = HashingTF(numFeatures=dims, inputCol="_words", outputCol="_tf").transform(tokens)
+    hashed = settle(hashed.select(group, "_tf"), "hashed")  # one pass over the texts
     weighted = IDF(inputCol="_tf", outputCol="_tfidf").fit(hashed).transform(hashed)
     unit = Normalizer(inputCol="_tfidf", outputCol="_unit").transform(weighted)
     return unit.groupBy(group).agg(vector_to_array(Summarizer.mean(F.col("_unit"))).alias("vector"))

@@ -13,7 +13,7 @@ from reviewloom.contracts import (
     lookup,
     missing_columns,
 )
-from reviewloom.functions.text import computed_once, count_words, normalize_text
+from reviewloom.functions.text import computed_once, has_words, normalize_text
 from reviewloom.operators.ranks import whole_table
 
 # Star rating → sentiment. Any other rating has none.
@@ -38,7 +38,7 @@ def drop_empty_processed(df: DataFrame, column: str = "processed_text") -> DataF
 
 def min_words(df: DataFrame, n: int = 3, column: str = "processed_text") -> DataFrame:
     """Keep rows whose text has at least ``n`` words."""
-    return df.where(count_words(F.col(column)) >= n)
+    return df.where(has_words(F.col(column), n))
 
 
 def dedup_reviews(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
 from pyspark.ml.functions import vector_to_array
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from reviewloom.operators.metrics import class_weights
 from reviewloom.operators.quality import encode_label
+from reviewloom.staging import settle
 
 # Starting points of a model search; every entry overrides the defaults below.
 DEFAULTS = {"n_features": 1 << 16, "reg": 0.01, "max_iter": 20}
@@ -22,26 +23,29 @@ def _prepared(df: DataFrame, text: str) -> DataFrame:
 
 
 def train_sentiment(train: DataFrame, text: str = "processed_text", **params) -> PipelineModel:
-    """Fit the model; rarer classes weigh more, in proportion."""
+    """Fit the model; rarer classes weigh more, in proportion.
+
+    The texts are read once: the hashed words are written out, and counting, weighing
+    and the iterations of the regression all run on those.
+    """
     setting = {**DEFAULTS, **params}
-    rows = _prepared(train, text)
+    tokens = RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"\s+")
+    counts = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=setting["n_features"])
+    hashed = counts.transform(tokens.transform(_prepared(train, text)))
+    rows = settle(hashed.select("label", "_tf"), "hashed")
+    idf = IDF(inputCol="_tf", outputCol="_features").fit(rows)
     weighted = rows.join(class_weights(rows).select("label", "weight"), "label")
-    stages = [
-        RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"\s+"),
-        HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=setting["n_features"]),
-        IDF(inputCol="_tf", outputCol="_features"),
-        LogisticRegression(
-            featuresCol="_features",
-            labelCol="label",
-            weightCol="weight",
-            family="multinomial",
-            regParam=setting["reg"],
-            maxIter=setting["max_iter"],
-            probabilityCol="_probability",
-            predictionCol="_prediction",
-        ),
-    ]
-    return Pipeline(stages=stages).fit(weighted)
+    regression = LogisticRegression(
+        featuresCol="_features",
+        labelCol="label",
+        weightCol="weight",
+        family="multinomial",
+        regParam=setting["reg"],
+        maxIter=setting["max_iter"],
+        probabilityCol="_probability",
+        predictionCol="_prediction",
+    )
+    return PipelineModel([tokens, counts, idf, regression.fit(idf.transform(weighted))])
 
 
 def predict_sentiment(model: PipelineModel, df: DataFrame) -> DataFrame:

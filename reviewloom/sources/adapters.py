@@ -9,16 +9,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewloom.contracts import ARTICLE_SECTIONS
+from reviewloom.sources.reviews import spread
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def table(spark: SparkSession, folder: str, name: str, heavy: bool = False) -> DataFrame:
+    """One benchmark table; ``heavy`` spreads a small file over all cores."""
+    scan = spark.read.parquet(f"{folder}/{name}.parquet")
+    return spread(scan) if heavy else scan
 
 
-def text_reviews(spark: SparkSession, folder: str) -> DataFrame:
+def text_reviews(spark: SparkSession, folder: str, heavy: bool = False) -> DataFrame:
     """Documents as reviews, for work on texts."""
     part = F.col("doc_id") % 10
-    return table(spark, folder, "documents").select(
+    return table(spark, folder, "documents", heavy).select(
         F.col("doc_id").alias("review_id"),
         F.when(F.col("source") == "src0", "Unknown").otherwise(F.col("lang")).alias("category"),
         F.concat(F.lit("P"), (F.col("doc_id") % 40).cast("string")).alias("asin"),
@@ -29,9 +32,9 @@ def text_reviews(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def page_reviews(spark: SparkSession, folder: str) -> DataFrame:
+def page_reviews(spark: SparkSession, folder: str, heavy: bool = False) -> DataFrame:
     """Web pages as reviews whose text still has markup."""
-    return table(spark, folder, "pages").select(
+    return table(spark, folder, "pages", heavy).select(
         F.col("page_id").alias("review_id"), F.col("html").alias("text"), F.col("page_id").cast("string").alias("asin")
     )
 
@@ -41,16 +44,10 @@ def ranked_reviews(spark: SparkSession, folder: str) -> DataFrame:
     items = table(spark, folder, "lineitem")
     parts = table(spark, folder, "part").select("p_partkey", "p_type", "p_size")
 
-    def cents(name: str):
-        return F.round(F.col(name) * 100).cast("bigint").cast("string")
-
-    row = F.concat_ws(
-        "|", "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", cents("l_quantity"),
-        cents("l_extendedprice"), cents("l_discount"), cents("l_tax"), "l_returnflag", "l_linestatus",
-        F.date_format("l_shipdate", "yyyy-MM-dd"),
-    )
+    shipped = F.unix_date(F.col("l_shipdate").cast("date"))
+    row = F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", shipped.cast("string"))
     return items.join(parts, items["l_partkey"] == parts["p_partkey"]).select(
-        F.md5(row).alias("review_id"),
+        row.alias("review_id"),
         F.when(F.col("p_type") == "ECONOMY", "[UNKNOWN]").otherwise(F.col("p_type")).alias("category"),
         F.col("l_partkey").alias("asin"),
         (F.col("p_size") % 5).alias("meta_category"),
@@ -83,9 +80,9 @@ def predictions(spark: SparkSession, folder: str) -> DataFrame:
     return named.withColumn("prediction", guess).withColumn("probability", F.array(*share))
 
 
-def articles(spark: SparkSession, folder: str) -> DataFrame:
+def articles(spark: SparkSession, folder: str, heavy: bool = False) -> DataFrame:
     """A user turn as source and the assistant's next turn as generated article."""
-    turns = table(spark, folder, "conversations")
+    turns = table(spark, folder, "conversations", heavy)
     user = turns.where(F.col("role") == "user").select("conv_id", "turn", F.col("text").alias("asked"))
     reply = turns.where(F.col("role") == "assistant").select(
         "conv_id", (F.col("turn") - 1).alias("turn"), F.col("text").alias("answer")

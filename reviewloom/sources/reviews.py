@@ -30,6 +30,16 @@ def scan_reviews(
     return out
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores on a scan that has fewer splits than there are cores.
+
+    A small file is one task otherwise, however costly the work on its rows. A table
+    with splits enough, as any large one, is returned as it is: no shuffle.
+    """
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
 def category_of_file() -> Column:
     """Category name taken from the file a row was read from (``<category>.parquet``)."""
     return F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[^/]*)?$", 1)
