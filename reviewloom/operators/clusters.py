@@ -8,12 +8,11 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import IDF, HashingTF, Normalizer, PCA
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.stat import Summarizer
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from reviewloom.contracts import NOISE
 from reviewloom.functions.text import normalize_text, words
-from reviewloom.operators.ranking import _top
-from reviewloom.operators.ranks import ranked_positions
+from reviewloom.operators.ranks import range_positions
 from reviewloom.operators.tiles import TILE_ROWS, distances, matrix, near_blocks, near_tiles
 from reviewloom.staging import settle
 
@@ -103,9 +102,11 @@ def _core_block(k: int, radius: float):
     def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         gap = distances(matrix(left["vector"]), matrix(right["vector"]))
         gap[left["key"].to_numpy()[:, None] == right["key"].to_numpy()[None, :]] = np.inf
-        near = np.sort(gap, axis=1)[:, :k] if gap.shape[1] else gap
+        nearest = np.argsort(gap, axis=1)[:, :k]
+        near = np.take_along_axis(gap, nearest, axis=1)
         row, col = np.nonzero(near <= radius)
-        return pd.DataFrame({"key": left["key"].to_numpy()[row], "distance": near[row, col]})
+        copies = right["n"].to_numpy()[nearest[row, col]]
+        return pd.DataFrame({"key": left["key"].to_numpy()[row], "distance": near[row, col], "n": copies})
 
     return block
 
@@ -179,42 +180,54 @@ def density_labels(
     the point's own, 0 for noise.
     """
     key_type = dict(points.dtypes)[key]
-    base = settle(points.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector")), "points")
+    base = points.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"))
+    # equal vectors share one point, so that many copies of one do not face each other
+    point = base.groupBy("vector").agg(F.min("key").alias("key"), F.count("*").alias("n"))
+    point = settle(point, "points")
     radius = eps * max(1.0, alpha)
-    tiled, pairs = near_tiles(base, "vector", "key", radius, tile_rows)
-    near = near_blocks(tiled, tiled, pairs, _core_block(min_samples, radius), f"key {key_type}, distance double")
-    if min_samples == 1:
-        core = near.groupBy("key").agg(F.min("distance").alias("core"))
-    else:
-        order = [F.col("distance")]
-        core = _top(near, ["key"], order, min_samples).where(F.col("rank") == min_samples)
-        core = core.select("key", F.col("distance").alias("core"))
-    core = settle(core.where(F.col("core") <= eps), "core")
+    tiled, pairs = near_tiles(point, "vector", "key", radius, tile_rows)
+    near = near_blocks(
+        tiled, tiled, pairs, _core_block(min_samples, radius), f"key {key_type}, distance double, n bigint"
+    )
+    copies = point.where("n > 1").select("key", F.lit(0.0).alias("distance"), (F.col("n") - 1).alias("n"))
+    core = settle(_core_distance(near.unionByName(copies), min_samples).where(F.col("core") <= eps), "core")
     dense = tiled.join(core, "key")
     links = settle(
         near_blocks(dense, dense, pairs, _link_block(eps, alpha), f"key {key_type}, root {key_type}, reach double"),
         "links",
     )
-    members = connected_components(
+    linked = connected_components(
         links.where("root is not null").select(F.col("key").alias("a"), F.col("root").alias("b"))
     )
-    sizes = members.groupBy("root").agg(F.count("*").alias("n")).where(F.col("n") >= min_size)
-    ranged = settle(sizes.repartitionByRange("root").withColumn("_part", F.spark_partition_id()), "roots")
-    numbered = ranked_positions(ranged.withColumn("_all", F.lit(0)), ["_all"], [F.col("root")], F.col("_part"), "_id")
-    clusters = numbered.select("root", (F.col("_id") - 1).cast("int").alias("cluster"))
+    # a copy reaches its own copies at its core distance
+    own = point.join(core, "key").select("key", "n", F.when(F.col("n") > 1, F.col("core")).alias("own"))
     reach = links.where("root is null").groupBy("key").agg(F.min("reach").alias("reach"))
-    inside = members.join(clusters, "root").select(F.col("node").alias("key"), "cluster").join(reach, "key")
-    best = inside.groupBy("cluster").agg(F.min("reach").alias("best"))
-    scored = inside.join(best, "cluster").select(
-        "key",
-        "cluster",
-        F.when(F.col("reach") == 0, 1.0).otherwise(F.col("best") / F.col("reach")).alias("probability"),
+    members = (
+        own.join(linked.withColumnRenamed("node", "key"), "key", "left")
+        .join(reach, "key", "left")
+        .select("key", "n", F.coalesce("root", "key").alias("root"), F.least("reach", "own").alias("reach"))
+    )
+    sizes = members.groupBy("root").agg(F.sum("n").alias("size"), F.min("reach").alias("best"))
+    numbered = range_positions(sizes.where(F.col("size") >= min_size), [], ["root"], "_id")
+    share = F.when(F.col("reach") == 0, 1.0).otherwise(F.col("best") / F.col("reach"))
+    scored = members.join(numbered, "root").select(
+        "key", (F.col("_id") - 1).cast("int").alias("cluster"), share.alias("probability")
     )
-    return base.select("key").join(scored, "key", "left").select(
-        F.col("key").alias(key),
+    result = point.join(scored, "key", "left").select(
+        "vector",
         F.coalesce("cluster", F.lit(NOISE)).alias("cluster"),
         F.coalesce("probability", F.lit(0.0)).alias("probability"),
     )
+    return base.join(result, "vector").select(F.col("key").alias(key), "cluster", "probability")
+
+
+def _core_distance(near: DataFrame, k: int) -> DataFrame:
+    """Distance to the ``k``-th neighbour; ``n`` neighbours may share a row."""
+    if k == 1:
+        return near.groupBy("key").agg(F.min("distance").alias("core"))
+    running = W.partitionBy("key").orderBy("distance").rowsBetween(W.unboundedPreceding, 0)
+    enough = near.withColumn("_seen", F.sum("n").over(running)).where(F.col("_seen") >= k)
+    return enough.groupBy("key").agg(F.min("distance").alias("core"))
 
 
 def density_cluster(points: DataFrame, **params) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from reviewloom.contracts import NOISE, UNKNOWN_TOKEN
-from reviewloom.operators.ranks import ranked_positions, value_bucket, whole_table
+from reviewloom.operators.ranks import range_positions, whole_table
 
 
 def _top(df: DataFrame, groups: list[str], order: list[Column], k: int, name: str = "rank") -> DataFrame:
@@ -82,12 +82,11 @@ def cluster_top_categories(labels: DataFrame, k: int = 5) -> DataFrame:
     )
 
 
-def silhouette_profile(samples: DataFrame, gap: int = 10, step: float = 1 / 2048) -> DataFrame:
+def silhouette_profile(samples: DataFrame, gap: int = 10) -> DataFrame:
     """Stacked positions of a silhouette figure: samples ascending inside each
     cluster, clusters one above the other with ``gap`` rows between them."""
     real = samples.where(F.col("cluster") != NOISE)
-    order = [F.col("silhouette"), F.col("category")]
-    ranked = ranked_positions(real, ["cluster"], order, value_bucket(F.col("silhouette"), step), "rank")
+    ranked = range_positions(real, ["cluster"], ["silhouette", "category"], "rank")
     sizes = real.groupBy("cluster").agg(F.count("*").alias("n"))
     stack = whole_table().orderBy("cluster")
     below = F.sum(F.col("n") + gap).over(stack) - F.col("n")

@@ -94,6 +94,19 @@ def ranked_positions(
     )
 
 
+def range_positions(df: DataFrame, groups: list[str], order: list[str], name: str = "position") -> DataFrame:
+    """Like :func:`ranked_positions`, for order columns of any type and any skew.
+
+    Spark cuts the order into ranges of even size, also through the middle of a
+    group or of many equal values (``order`` must end in a unique column). The
+    ranges are written out, which fixes them for the counting that follows.
+    """
+    ranged = df.repartitionByRange(*groups, *order).withColumn("_range", F.spark_partition_id())
+    fixed = settle(ranged, "ranges").withColumn("_all", F.lit(0))
+    columns = [F.col(c) for c in order]
+    return ranked_positions(fixed, groups or ["_all"], columns, F.col("_range"), name).drop("_range", "_all")
+
+
 def hash_cuts(
     df: DataFrame,
     groups: list[str],

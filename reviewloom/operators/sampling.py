@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewloom.functions.hashing import order_digest
+from reviewloom.staging import settle
 from reviewloom.operators.ranks import (
     POSITION_DIGITS,
     digest_bucket,
@@ -202,8 +203,14 @@ def deterministic_shuffle(df: DataFrame, seed: int = 42, row_id: str = "review_i
 def split_leakage(
     df: DataFrame, text: str = "text", split: str = "split", parts=("train", "val", "test")
 ) -> DataFrame:
-    """Texts present in more than one split, with a flag per split and their row count."""
+    """Texts present in more than one split, with a flag per split and their row count.
+
+    Hashes are compared first, so that only texts whose hash occurs in several splits
+    travel; those are then compared as they are.
+    """
     flags = [F.max(F.when(F.col(split) == p, 1).otherwise(0)).alias(f"in_{p}") for p in parts]
-    seen = df.groupBy(text).agg(*flags, F.count("*").alias("n_rows"))
-    total = sum((F.col(f"in_{p}") for p in parts), F.lit(0))
-    return seen.where(total > 1)
+    several = sum((F.col(f"in_{p}") for p in parts), F.lit(0)) > 1
+    hashed = df.withColumn("_hash", F.xxhash64(text))
+    suspects = settle(hashed.groupBy("_hash").agg(*flags).where(several).select("_hash"), "suspects")
+    seen = hashed.join(suspects, "_hash", "left_semi").groupBy(text).agg(*flags, F.count("*").alias("n_rows"))
+    return seen.where(several)

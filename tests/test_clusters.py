@@ -71,6 +71,15 @@ def test_equal_points_and_singletons(spark):
     assert [(r.cluster, r.probability) for r in out] == [(0, 1.0), (0, 1.0), (-1, 0.0), (0, 0.0)]
 
 
+@pytest.mark.parametrize("min_samples", [1, 3])
+def test_a_third_of_the_points_are_copies(spark, min_samples):
+    vectors = np.concatenate([np.tile([5.0, 5.0, 5.0], (30, 1)), np.tile([-3.0, 0.0, 0.0], (2, 1)), blobs(seed=9, n=60)])
+    out = clusters.density_labels(table(spark, vectors), 2, min_samples, 0.2, 1.0, tile_rows=8).orderBy("category").collect()
+    label, prob = plain_labels(vectors, 2, min_samples, 0.2, 1.0)
+    assert [r.cluster for r in out] == label
+    assert [r.probability for r in out] == pytest.approx(prob)
+
+
 def test_nothing_but_noise(spark):
     out = clusters.density_labels(table(spark, [[0.0], [10.0], [20.0]]), eps=0.5).collect()
     assert [(r.cluster, r.probability) for r in out] == [(-1, 0.0)] * 3
