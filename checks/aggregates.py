@@ -83,6 +83,10 @@ def cluster_probability(spark, sf):
     return rounded(stats.cluster_probability(_points(spark, sf)))
 
 
+def cluster_probability_members(spark, sf):
+    return rounded(stats.cluster_probability(_points(spark, sf), members=True))
+
+
 def probability_moments(spark, sf):
     return rounded(stats.probability_moments(_points(spark, sf)))
 
@@ -214,6 +218,13 @@ CASES = {
             " min(probability) AS min_probability FROM points WHERE cluster <> -1 GROUP BY cluster"
         ),
     ),
+    "cluster_probability_members": (
+        cluster_probability_members,
+        points(
+            "SELECT cluster, count(*) OVER w AS n_categories, round(avg(probability) OVER w, 6) AS avg_probability,"
+            " min(probability) OVER w AS min_probability, category FROM points WHERE cluster <> -1 WINDOW w AS (PARTITION BY cluster)"
+        ),
+    ),
     "probability_moments": (
         probability_moments,
         points(

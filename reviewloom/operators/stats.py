@@ -81,19 +81,22 @@ def product_stats(df: DataFrame, by: tuple[str, ...] = ("asin",)) -> DataFrame:
 
     ``n_rows`` counts all its reviews, ``n_rated`` those with a rating. The category
     is the alphabetically first one, which a product of one category has anyway.
+    Reviews are first summed per product and category: those are plain numbers, which
+    Spark keeps in a hash table, where a minimum over names would sort every review.
     """
     keyed = df
     for key in by:
         keyed = keyed.where(F.col(key).isNotNull())
-    aggregates = [
+    cells = keyed.groupBy(*dict.fromkeys([*by, "category"])).agg(
         F.count("*").alias("n_rows"),
         F.count("rating").alias("n_rated"),
-        F.avg("rating").alias("mean_rating"),
+        F.sum("rating").alias("_stars"),
         F.coalesce(F.sum("helpful_vote"), F.lit(0)).alias("helpful_votes"),
-    ]
-    if "category" not in by:
-        aggregates.append(F.min("category").alias("category"))
-    return keyed.groupBy(*by).agg(*aggregates)
+    )
+    mean = F.try_divide(F.sum("_stars"), F.sum("n_rated")).alias("mean_rating")
+    sums = {name: F.sum(name).alias(name) for name in ("n_rows", "n_rated", "helpful_votes")}
+    category = [] if "category" in by else [F.min("category").alias("category")]
+    return cells.groupBy(*by).agg(sums["n_rows"], sums["n_rated"], mean, sums["helpful_votes"], *category)
 
 
 def min_reviews(stats: DataFrame, n: int = 10) -> DataFrame:
@@ -128,14 +131,19 @@ def noise_categories(labels: DataFrame) -> DataFrame:
     return labels.where(F.col("cluster") == NOISE).select("category")
 
 
-def cluster_probability(labels: DataFrame) -> DataFrame:
-    """Size, mean and smallest membership probability of each cluster. The category
-    list of a cluster is the long table of ``report.cluster_contents``."""
-    return labels.where(F.col("cluster") != NOISE).groupBy("cluster").agg(
+def cluster_probability(labels: DataFrame, members: bool = False) -> DataFrame:
+    """Size, mean and smallest membership probability of each cluster.
+
+    ``members`` adds the category list as rows, one per category, instead of one long
+    value per cluster.
+    """
+    real = labels.where(F.col("cluster") != NOISE)
+    table = real.groupBy("cluster").agg(
         F.count("*").alias("n_categories"),
         F.avg("probability").alias("avg_probability"),
         F.min("probability").alias("min_probability"),
     )
+    return table.join(real.select("cluster", "category"), "cluster") if members else table
 
 
 def probability_moments(labels: DataFrame) -> DataFrame:
