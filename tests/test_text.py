@@ -14,18 +14,57 @@ def column(spark, values, build):
     return [r[0] for r in df.orderBy("i").select(build(F.col("t"))).collect()]
 
 
+def without_tags(text):
+    """Markup replaced by a space, found by walking from bracket to bracket."""
+    out, at = "", 0
+    while at < len(text):
+        end = text.find(">", at + 1) if text[at] == "<" else -1
+        if end > at + 1:
+            out, at = out + " ", end + 1
+        else:
+            out, at = out + text[at], at + 1
+    return out
+
+
+def cut_link(word, starts):
+    """The part of a word before its first link start that something follows."""
+    spots = [i for i in range(len(word)) for s in starts if word.startswith(s, i) and len(word) > i + len(s)]
+    return (word[: min(spots)], True) if spots else (word, False)
+
+
 def plain_normalize(text):
-    text = re.sub(r"<[^>]+>", " ", text.lower())
-    text = re.sub(r"(http|www)\S+", "", text)
-    text = re.sub(r"\S+@\S+", "", text)
-    return " ".join(re.sub(r"[^a-zA-Z\s]", " ", text).split())
+    kept = []
+    for word in without_tags(text.lower()).split():
+        word, _ = cut_link(word, ("http", "www"))
+        if "@" not in word[1:-1]:
+            kept.append("".join(c if c.isascii() and c.isalpha() else " " for c in word))
+    return " ".join(" ".join(kept).split())
+
+
+def mask_mail(word):
+    def part(c):
+        return c.isalnum() or c in "_.-"
+
+    out, at = "", 0
+    while (sign := word.find("@", at)) >= 0:
+        left, right = sign, sign + 1
+        while left > at and part(word[left - 1]):
+            left -= 1
+        while right < len(word) and part(word[right]):
+            right += 1
+        if left < sign and right > sign + 1:
+            out, at = out + word[at:left] + "[EMAIL]", right
+        else:
+            out, at = out + word[at : sign + 1], sign + 1
+    return out + word[at:]
 
 
 def plain_redact(text):
-    text = re.sub(r"<[^>]+>", " ", text)
-    text = re.sub(r"http[s]?://\S+", "[URL]", text)
-    text = re.sub(r"[\w.-]+@[\w.-]+", "[EMAIL]", text)
-    return re.sub(r"\s+", " ", text).strip()
+    out = []
+    for word in without_tags(text).split():
+        word, linked = cut_link(word, ("http://", "https://"))
+        out.append(mask_mail(word + "[URL]" if linked else word))
+    return " ".join(out)
 
 
 SAMPLES = [
@@ -82,8 +121,8 @@ def test_extract_products_finds_all_three_forms(spark):
 
 
 def plain_products(text):
-    patterns = [r"\d\.\s*([^\.]+?)(?=\s*Key Strengths:)", r"Product:\s*([^\n]+)", r"•\s*([^\.]+?)(?=\s*Key Strengths:)"]
-    return {m.group(1).strip() for p in patterns for m in re.finditer(p, text, re.IGNORECASE)}
+    forms = (r"(?i)\d\.\s*([^.]+?)\s*(?=key strengths:)", r"(?i)product:\s*(.+)", r"(?i)•\s*([^.]+?)\s*(?=key strengths:)")
+    return {name.strip() for form in forms for name in re.findall(form, text)}
 
 
 @settings(max_examples=10, deadline=None)
