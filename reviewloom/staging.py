@@ -15,6 +15,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY = "spark.checkpoint.dir"
+_local_folders: dict[str, str] = {}  # application id → folder, where the setting is absent
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,9 +29,10 @@ def shared_folder(spark: SparkSession) -> str:
         return folder.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"{_KEY} must name a folder shared by all executors")
-    folder = tempfile.mkdtemp(prefix="reviewloom-")
-    spark.conf.set(_KEY, folder)
-    return folder
+    app = spark.sparkContext.applicationId
+    if app not in _local_folders:
+        _local_folders[app] = tempfile.mkdtemp(prefix="reviewloom-")
+    return _local_folders[app]
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -117,9 +117,33 @@ def test_stream_ingest_reads_each_file_once(spark, tmp_path):
 
 def test_shared_folder_comes_from_the_session(spark):
     folder = staging.shared_folder(spark)
-    assert spark.conf.get("spark.checkpoint.dir") == folder
+    wanted = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    assert folder == (wanted.rstrip("/") if wanted else staging.shared_folder(spark))
     df = spark.range(3).withColumn("x", F.lit("a"))
     out = staging.settle(df, "demo")
     assert out.schema["x"].dataType == df.schema["x"].dataType and out.count() == 3
     assert all(folder in name for name in out.inputFiles())
     assert staging.fresh_path(spark, "a") != staging.fresh_path(spark, "a")
+
+
+def test_a_local_session_without_the_setting_gets_one_folder(spark, monkeypatch):
+    monkeypatch.setattr(staging, "_KEY", "spark.reviewloom.not.set")
+    folder = staging.shared_folder(spark)
+    assert folder == staging.shared_folder(spark) and "reviewloom-" in folder
+    assert staging.settle(spark.range(2), "demo").count() == 2
+
+
+def test_a_cluster_without_the_setting_is_an_error(spark, monkeypatch):
+    monkeypatch.setattr(staging, "_KEY", "spark.reviewloom.not.set")
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return spark.sparkContext.getConf()
+
+    class Session:
+        conf, sparkContext = spark.conf, Context()
+
+    with pytest.raises(ValueError, match="shared by all executors"):
+        staging.shared_folder(Session())
