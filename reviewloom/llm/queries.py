@@ -6,15 +6,20 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewloom.llm import minhash
+from reviewloom.llm import minhash, winnow
 from reviewloom.llm.common import table
 
 
+def op6_winnow(spark: SparkSession, folder: str) -> DataFrame:
+    return winnow.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), minhash.MinHash(shingle=4, percent=80))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_winnow": op6_winnow,
     "op8_minhash": op8_minhash,
 }
 
@@ -22,11 +27,11 @@ OP8_SQL = r"""
 WITH RECURSIVE words AS MATERIALIZED (
   SELECT doc_id, list_filter(regexp_split_to_array(
            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[\x20\x09-\x0D]+'), x -> x <> '') AS w
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
   FROM documents),
 sets AS MATERIALIZED (
   SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
-           ELSE list_distinct(list_transform(range(1, len(w) - 2), i -> array_to_string(w[i:i + 3], ' '))) END AS s
+           ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS s
   FROM words),
 grams AS MATERIALIZED (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM sets),
 links AS MATERIALIZED (
@@ -41,4 +46,30 @@ reach(a, b) AS (
 SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
 FROM sets JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)"""
 
-ORACLE_SQL: dict[str, str] = {"op8_minhash": OP8_SQL}
+OP6_SQL = r"""
+WITH docs AS MATERIALIZED (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+  FROM documents),
+items AS MATERIALIZED (
+  SELECT item_id, w, least(len(w), 10) AS m FROM (
+    SELECT item_id, list_filter(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w
+    FROM benchmark) WHERE len(w) > 0),
+passages AS MATERIALIZED (
+  SELECT DISTINCT item_id, m, array_to_string(w[i:i + m - 1], ' ') AS p
+  FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM items)),
+places AS (
+  SELECT doc_id, m, i, array_to_string(w[i:i + m - 1], ' ') AS p
+  FROM (SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS i
+        FROM docs, (SELECT DISTINCT m FROM items) WHERE len(w) >= m)),
+hits AS MATERIALIZED (SELECT doc_id, m, i, item_id FROM places JOIN passages USING (m, p)),
+covered AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + m)) AS j FROM hits) GROUP BY 1),
+listed AS (SELECT doc_id, list_sort(list(DISTINCT item_id::VARCHAR)) AS l FROM hits GROUP BY 1)
+SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_hit, coalesce(len(l), 0) AS n_items,
+       sha256(coalesce(array_to_string(l, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
+FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)"""
+
+ORACLE_SQL: dict[str, str] = {"op6_winnow": OP6_SQL, "op8_minhash": OP8_SQL}
