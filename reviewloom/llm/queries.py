@@ -6,21 +6,40 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewloom.llm import minhash, winnow
+from reviewloom.llm import fertility, minhash, mixing, rans, winnow, wordids
 from reviewloom.llm.common import table
 
 
+def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix_sources(table(spark, folder, "documents"))
+
+
+def op4_fertility(spark: SparkSession, folder: str) -> DataFrame:
+    measured = fertility.fertility(table(spark, folder, "documents"), wordids.vocabulary("piece_bpe_32k.model"))
+    return measured.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
+        "n_tokens", "n_byte_tokens", "chars_per_token", "byte_share", "entropy", "script",
+    )
+
+
 def op6_winnow(spark: SparkSession, folder: str) -> DataFrame:
     return winnow.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
 
+def op9_rans(spark: SparkSession, folder: str) -> DataFrame:
+    return rans.token_files(table(spark, folder, "documents"), wordids.vocabulary("word_bpe_49k.json"))
+
+
 def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), minhash.MinHash(shingle=4, percent=80))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_mixing": op3_mixing,
+    "op4_fertility": op4_fertility,
     "op6_winnow": op6_winnow,
     "op8_minhash": op8_minhash,
+    "op9_rans": op9_rans,
 }
 
 OP8_SQL = r"""
