@@ -156,3 +156,20 @@ def fertility(docs: DataFrame, path: str, bands: dict[str, tuple[float, float, f
     ship(docs.sparkSession)
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return rows.mapInArrow(_rules(path, bands), SCHEMA)
+
+
+def keep_fertile(docs: DataFrame, path: str, bands: dict[str, tuple[float, float, float, float]] = BANDS) -> DataFrame:
+    """The rows of ``docs`` whose text passes, all columns as they are; nothing is shuffled."""
+    ship(docs.sparkSession)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory, is_byte = wordids.pieces_with_bytes(path)
+        for batch in batches:
+            data, offsets = text_bytes(batch.column(at))
+            for first, last in pieces(offsets, 1 << 22):
+                low = offsets[first]
+                found = _judge(measure(data[low : offsets[last]], offsets[first : last + 1] - low, memory, is_byte), bands)
+                yield batch.slice(first, last - first).filter(pa.array(found["kept"]))
+
+    return docs.mapInArrow(run, docs.schema)

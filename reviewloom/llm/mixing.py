@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from reviewloom.llm.common import SPACE_PATTERN
 from reviewloom.shipping import ship
@@ -26,7 +26,14 @@ def text_sizes(docs: DataFrame) -> DataFrame:
     words = F.split(F.coalesce(F.col("text").cast("string"), F.lit("")), SPACE_PATTERN)
     size = F.size(words) - (F.get(words, F.lit(0)) == "").cast("int")
     last = F.when(F.size(words) > 1, (F.get(words, F.size(words) - 1) == "").cast("int")).otherwise(0)
-    return docs.select("doc_id", F.col("source").cast("string"), (size - last).cast("long").alias("size"))
+    return docs.select(
+        "doc_id", F.col("source").cast("string"), (size - last).cast("long").alias("size"), row_key().alias("row")
+    )
+
+
+def row_key() -> Column:
+    """A hash that tells rows apart by id, source and text."""
+    return F.xxhash64("doc_id", "source", "text")
 
 
 def source_targets(histogram: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
@@ -100,20 +107,11 @@ def fill_budget(sizes: np.ndarray, counts: np.ndarray, target: float, repeats: i
     return passes, extra
 
 
-def mix_sources(
-    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS, seed: int = 3
-) -> DataFrame:
-    """Mix ``docs`` (doc_id, source, text): one row per input row.
-
-    Columns: doc_id, size, source_size, target, taken (words used, repeats counted; a
-    multiple of size). A null source is a source of its own, last in order. Null and empty
-    texts have size 0 and are never taken; a source of size 0 has target 0. Rows that share
-    a doc_id are separate texts; among equal rows any may be the one that is taken. A null
-    doc_id sorts first. Other columns are ignored; an empty table gives an empty result.
-    """
+def _uses(docs: DataFrame, weights: tuple[int, ...], repeats: int, seed: int) -> DataFrame:
+    """One row per row of ``docs``: doc_id, size, source_size, target, uses, row."""
     ship(docs.sparkSession)
     key = F.when(F.col("source").isNull(), F.lit("null")).otherwise(F.concat(F.lit("="), "source")).alias("key")
-    rows = settle(text_sizes(docs).select("doc_id", "source", key, "size"), "sizes")
+    rows = settle(text_sizes(docs).select("doc_id", "source", key, "size", "row"), "sizes")
     histogram = settle(rows.groupBy("key", "source", "size").agg(F.count("*").alias("n")), "lengths")
     targets = settle(source_targets(histogram, weights, repeats), "targets")
 
@@ -139,5 +137,29 @@ def mix_sources(
     ranked = placed.join(parts, ["key", "size", "part"]).withColumn("rank", F.col("before") + within)
     once_more = (F.col("rank") <= F.col("extra")).cast("long")
     return ranked.select(
-        "doc_id", "size", "source_size", "target", (F.col("size") * (F.col("passes") + once_more)).alias("taken")
+        "doc_id", "size", "source_size", "target", (F.col("passes") + once_more).alias("uses"), "row"
     )
+
+
+def mix_sources(
+    docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS, seed: int = 3
+) -> DataFrame:
+    """Mix ``docs`` (doc_id, source, text): one row per input row.
+
+    Columns: doc_id, size, source_size, target, taken (words used, repeats counted; a
+    multiple of size). A null source is a source of its own, last in order. Null and empty
+    texts have size 0 and are never taken; a source of size 0 has target 0. Rows that share
+    a doc_id are separate texts; among equal rows any may be the one that is taken. A null
+    doc_id sorts first. Other columns are ignored; an empty table gives an empty result.
+    """
+    used = _uses(docs, weights, repeats, seed)
+    return used.select("doc_id", "size", "source_size", "target", (F.col("size") * F.col("uses")).alias("taken"))
+
+
+def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS, seed: int = 3) -> DataFrame:
+    """The mix itself: rows of ``docs``, all columns as they are, each as often as it is used."""
+    used = _uses(docs, weights, repeats, seed).where("size > 0")
+    used = used.groupBy("row").agg(F.sum("uses").alias("__uses")).where("__uses > 0")
+    used = used.withColumnRenamed("row", "__row")
+    rows = docs.withColumn("__row", row_key()).join(used, "__row").dropDuplicates(["__row"])
+    return rows.withColumn("__uses", F.explode(F.sequence(F.lit(1), "__uses"))).select(*docs.columns)

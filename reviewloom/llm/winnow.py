@@ -76,21 +76,24 @@ def _whole_hash(words: str) -> Column:
     return F.xxhash64(F.lit(0), hashes)
 
 
-def decontaminate(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM) -> DataFrame:
-    """Words of each text that lie in a passage of the benchmark: one row per input row.
+def row_keys() -> list[Column]:
+    """Two hashes that tell rows apart by id and text."""
+    return [F.xxhash64(F.lit(1), "doc_id", "text").alias("k1"), F.xxhash64(F.lit(2), "text", "doc_id").alias("k2")]
 
-    Columns: doc_id, n_words, n_hit, n_items, items_sha256, contaminated. Null and empty
-    texts have no words and no hits; a null item_id counts for hits but is not listed.
-    Rows may share a doc_id or have none: they are told apart by id and text. Equal rows
-    get equal results. Empty tables give an empty result or no hits. Other columns are
-    ignored.
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    rows = docs.select("doc_id", F.col("text").cast("string").alias("text"))
+    return rows.select("doc_id", *row_keys(), words_of(F.col("text")).alias("words"))
+
+
+def shared_passages(docs: DataFrame, passages: DataFrame, gram: int = GRAM) -> DataFrame:
+    """Every place of a text that holds a passage: (k1, k2, size, at, passage), each once.
+
+    The row keys are those of :func:`row_keys`; ``passages`` is a settled table of
+    :func:`benchmark_passages`.
     """
-    key = [F.xxhash64(F.lit(1), "doc_id", "text").alias("k1"), F.xxhash64(F.lit(2), "text", "doc_id").alias("k2")]
-    rows = docs.select(F.col("doc_id"), F.col("text").cast("string").alias("text"))
-    keyed = rows.select("doc_id", *key, words_of(F.col("text")).alias("words"))
-    passages = settle(benchmark_passages(benchmark), "passages")
+    keyed = _keyed(docs)
     prints = settle(_prints(passages, gram), "prints")
-
     chosen = _with_least(keyed.where(F.size("words") >= SIZE), gram)
     chosen = chosen.select("k1", "k2", F.size("least").alias("n"), "least", _turns(F.col("least")).alias("turns"))
     run = F.transform(
@@ -121,7 +124,20 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM) -> Da
     passage = F.array_join(F.slice("words", F.col("at") + 1, F.col("size")), " ").alias("passage")
     hits = found.select("k1", "k2", "size", "at", passage)
     hits = hits.join(passages.select("size", "passage").distinct(), ["size", "passage"], "left_semi").distinct()
-    hits = settle(hits, "hits")
+    return settle(hits, "hits")
+
+
+def decontaminate(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM) -> DataFrame:
+    """Words of each text that lie in a passage of the benchmark: one row per input row.
+
+    Columns: doc_id, n_words, n_hit, n_items, items_sha256, contaminated. Null and empty
+    texts have no words and no hits; a null item_id counts for hits but is not listed.
+    Rows may share a doc_id or have none: they are told apart by id and text. Equal rows
+    get equal results. Empty tables give an empty result or no hits. Other columns are
+    ignored.
+    """
+    passages = settle(benchmark_passages(benchmark), "passages")
+    hits = shared_passages(docs, passages, gram)
 
     before = W.partitionBy("k1", "k2").orderBy("at", "size").rowsBetween(W.unboundedPreceding, -1)
     reached = F.coalesce(F.max(F.col("at") + F.col("size")).over(before), F.lit(0))
@@ -135,7 +151,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM) -> Da
     items = F.coalesce("items", F.array().cast("array<string>"))
     n_hit = F.coalesce("n_hit", F.lit(0)).cast("long")
     return (
-        keyed.select("doc_id", "k1", "k2", F.size("words").cast("long").alias("n_words"))
+        _keyed(docs).select("doc_id", "k1", "k2", F.size("words").cast("long").alias("n_words"))
         .join(found, ["k1", "k2"], "left")
         .select(
             "doc_id",
@@ -146,3 +162,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM) -> Da
             (n_hit > 0).alias("contaminated"),
         )
     )
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, gram: int = GRAM) -> DataFrame:
+    """The rows of ``docs`` that share no passage with the benchmark, all columns as they are."""
+    passages = settle(benchmark_passages(benchmark), "passages")
+    found = shared_passages(docs, passages, gram).select("k1", "k2").distinct().toDF("__k1", "__k2")
+    first, second = row_keys()
+    return docs.join(found, (first == found["__k1"]) & (second == found["__k2"]), "left_anti")

@@ -10,11 +10,13 @@ SCHEMA = (
     "doc_id long, text string, lang string, source string, n_chars long, "
     "kept boolean, n_words long, key string, id long, part long, size long, words string"
 )
+SYLLABLES = "man ter ion per stand ing com port der ful".split()
 SPACES = [" ", "  ", "\n", "\t", " \r\n", "\x0b"]
 
 
 def prose(rng: random.Random, n: int, vocabulary: int = 400) -> str:
-    words = [f"w{rng.randrange(vocabulary)}" if rng.random() < 0.8 else rng.choice(["Ünï", "the", "THE", "été."]) for _ in range(n)]
+    word = lambda: "".join(SYLLABLES[int(d)] for d in str(rng.randrange(vocabulary)))
+    words = [word() if rng.random() < 0.8 else rng.choice(["Ünï", "the", "THE", "été."]) for _ in range(n)]
     return "".join(w + rng.choice(SPACES) for w in words)
 
 
@@ -27,7 +29,7 @@ def table(spark, rows: list[tuple]):
 @pytest.fixture(scope="session")
 def awkward_rows() -> list[tuple]:
     rng = random.Random(5)
-    rows = [(i, prose(rng, rng.choice([1, 3, 12, 60, 200])), "xx", f"s{i % 4}") for i in range(40)]
+    rows = [(i, prose(rng, rng.choice([1, 3, 12, 80, 200])), "xx", f"s{i % 4}") for i in range(40)]
     base = prose(rng, 150)
     words = base.split()
     for i in range(8):  # near copies: a few words changed

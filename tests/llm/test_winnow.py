@@ -4,6 +4,7 @@ import hashlib
 import random
 import re
 
+from conftest import SYLLABLES, prose, table
 from reviewloom.llm import winnow
 
 
@@ -30,20 +31,19 @@ def brute(docs: list[tuple], items: list[tuple]) -> list[tuple]:
 
 def planted(rows: list[tuple]) -> tuple[list[tuple], list[tuple]]:
     rng = random.Random(2)
-    items = [(i, " ".join(f"b{rng.randrange(40)}" for _ in range(rng.choice([2, 5, 9, 10, 11, 40])))) for i in range(30)]
+    word = lambda: "".join(SYLLABLES[int(d)] for d in str(rng.randrange(1000, 1040)))
+    items = [(i, " ".join(word() for _ in range(rng.choice([2, 5, 9, 10, 11, 40])))) for i in range(30)]
     items += [(7, "the the the the the the the the the the the the"), (8, ""), (9, None), (None, "Nameless, item!"), (11, "wörd"), (12, items[3][1])]
     docs = [r for r in rows if len(r[1] or "") < 5000]
     for n in range(40):
         w = items[n % 30][1].split()
         low = rng.randrange(len(w))
         part = w[low : low + rng.randrange(1, 30)]
-        docs.append((1000 + n, " ".join([f"d{n}"] * 3 + part) + ", NAMELESS item " * (n % 2) + " the" * (n % 25), None, None))
+        docs.append((1000 + n, " ".join([f"d{n}"] * 3 + part) + " " + prose(rng, 80 * (n % 3)) + ", NAMELESS item " * (n % 2) + " the" * (n % 25), None, None))
     return docs, items
 
 
 def test_same_hits_as_brute_force(spark, awkward_rows):
-    from conftest import table
-
     docs, items = planted(awkward_rows)
     benchmark = spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, size int")
     got = sorted(map(tuple, winnow.decontaminate(table(spark, docs), benchmark).collect()), key=repr)
