@@ -6,10 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewloom.llm import fertility, minhash, mixing, rans, winnow, wordids
+from reviewloom.llm import fertility, minhash, mixing, rans, urlrules, warc, winnow, wordids
 from reviewloom.llm.common import table
 
 
+def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
+    return warc.archive_pages(table(spark, folder, "pages"))
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
 
@@ -30,14 +34,20 @@ def op9_rans(spark: SparkSession, folder: str) -> DataFrame:
     return rans.token_files(table(spark, folder, "documents"), wordids.vocabulary("word_bpe_49k.json"))
 
 
+def op7_urlrules(spark: SparkSession, folder: str) -> DataFrame:
+    return urlrules.judge_urls(table(spark, folder, "pages"), table(spark, folder, "labels"))
+
+
 def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), minhash.MinHash(shingle=4, percent=80))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op3_mixing": op3_mixing,
     "op4_fertility": op4_fertility,
     "op6_winnow": op6_winnow,
+    "op7_urlrules": op7_urlrules,
     "op8_minhash": op8_minhash,
     "op9_rans": op9_rans,
 }
@@ -91,4 +101,54 @@ SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_hit, coalesce(len(l), 0) A
        sha256(coalesce(array_to_string(l, ','), '')) AS items_sha256, coalesce(n, 0) > 0 AS contaminated
 FROM docs LEFT JOIN covered USING (doc_id) LEFT JOIN listed USING (doc_id)"""
 
-ORACLE_SQL: dict[str, str] = {"op6_winnow": OP6_SQL, "op8_minhash": OP8_SQL}
+OP1_SQL = """
+WITH rows AS (
+  SELECT page_id, url, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex
+  FROM pages),
+digests AS (
+  SELECT page_id, url, payload_bytes,
+         array_to_string(list_transform(range(32), lambda i:
+           substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+                  1 + ((('0x' || substr(hex, 1 + 5 * (i // 4), 5))::BIGINT >> (15 - 5 * (i % 4))) & 31)::INT, 1)), '')
+           AS payload_digest
+  FROM rows)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> last THEN last END AS refers_to, url
+FROM (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS last FROM digests)"""
+
+OP7_SQL = r"""
+WITH cut AS (
+  SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages),
+addresses AS MATERIALIZED (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path,
+         regexp_extract(rest, '^[^?#]*\?([^#]*)', 1) AS query
+  FROM cut),
+tokens AS MATERIALIZED (
+  SELECT page_id, list_distinct(
+           list_transform(list_filter(string_split(host, '.'), lambda x: x <> ''), lambda x: 'h:' || x)
+           || list_transform(list_filter(string_split(regexp_replace(path, '[0-9]+', '0', 'g'), '/'), lambda x: x <> ''), lambda x: 'p:' || x)
+           || list_transform(list_filter(list_transform(string_split(query, '&'), lambda x: string_split(x, '=')[1]), lambda x: x <> ''), lambda x: 'q:' || x)
+         ) AS t
+  FROM addresses),
+marked AS (SELECT doc_id AS page_id, max((coalesce(toxic, 0) = 1 OR coalesce(quality, 1) = 0)::INT) AS bad FROM labels GROUP BY 1),
+baskets AS MATERIALIZED (SELECT page_id, bad, t FROM tokens JOIN marked USING (page_id) WHERE len(t) > 0 OR bad = 1),
+least AS (SELECT ceil(0.01 * count(*)) AS n FROM baskets),
+single AS MATERIALIZED (SELECT page_id, bad, unnest(t) AS x FROM baskets),
+ones AS (SELECT x AS a, x AS b FROM single GROUP BY x
+  HAVING sum(bad) >= (SELECT n FROM least) AND sum(bad) > 0 AND 2 * sum(bad) >= count(*) + 10),
+twos AS (SELECT p.x AS a, q.x AS b FROM single p JOIN single q ON p.page_id = q.page_id AND p.x < q.x
+  GROUP BY p.x, q.x HAVING sum(p.bad) >= (SELECT n FROM least) AND sum(p.bad) > 0 AND 2 * sum(p.bad) >= count(*) + 10),
+rules AS (SELECT * FROM ones UNION ALL SELECT * FROM twos WHERE a NOT IN (SELECT a FROM ones) AND b NOT IN (SELECT a FROM ones)),
+fired AS (SELECT DISTINCT page_id FROM tokens JOIN rules ON list_contains(t, a) AND list_contains(t, b)),
+given(h, p, v) AS (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'block'), ('example.org', '/en/1', 'block'),
+                          ('com', '/fr/', 'allow'), ('com', '/de/', 'block')),
+fixed AS (
+  SELECT page_id, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS v
+  FROM addresses JOIN given ON (host = h OR host LIKE '%.' || h) AND starts_with(path, p) GROUP BY page_id)
+SELECT page_id, host, path, rule, coalesce(v, CASE WHEN fired.page_id IS NULL THEN 'allow' ELSE 'block' END) AS verdict
+FROM addresses LEFT JOIN fixed USING (page_id) LEFT JOIN fired USING (page_id)"""
+
+ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op6_winnow": OP6_SQL, "op7_urlrules": OP7_SQL, "op8_minhash": OP8_SQL}
