@@ -15,8 +15,8 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
-_FOLD = np.arange(256, dtype=np.uint8)
-_FOLD[65:91] += 32
+FOLD = np.arange(256, dtype=np.uint8)
+FOLD[65:91] += 32
 _BASE, _MIX1, _MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _BYTES = np.random.default_rng(20).integers(1, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _SPAN = 1 << 20
@@ -114,7 +114,7 @@ def hash_spans(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.nda
 
 def word_hashes(data: np.ndarray, offsets: np.ndarray, fold: bool = True) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words (A-Z lower-cased if ``fold``) and the word offsets of the rows."""
-    data = _FOLD[data] if fold else data
+    data = FOLD[data] if fold else data
     starts, ends, at = word_spans(data, offsets)
     return hash_spans(data, starts, ends), at
 

@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewloom.llm import fertility, minhash, mixing, rans, urlrules, warc, winnow, wordids
-from reviewloom.llm.common import table
+from reviewloom.llm import crossparse, fertility, minhash, mixing, rans, recurrent, toxicity, urlrules, warc, winnow, wordids
+from reviewloom.llm.common import held_out, table
 
 
 def op1_warc(spark: SparkSession, folder: str) -> DataFrame:
     return warc.archive_pages(table(spark, folder, "pages"))
 
 
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    held = held_out(F.col("doc_id"), 4, 2)
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"), held)
+
+
 def op3_mixing(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix_sources(table(spark, folder, "documents"))
 
@@ -26,6 +31,10 @@ def op4_fertility(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_crossparse(spark: SparkSession, folder: str) -> DataFrame:
+    return crossparse.identify(table(spark, folder, "documents"), held_out(F.col("doc_id"), 4, 2))
+
+
 def op6_winnow(spark: SparkSession, folder: str) -> DataFrame:
     return winnow.decontaminate(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
 
@@ -42,14 +51,21 @@ def op8_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, folder, "documents"), minhash.MinHash(shingle=4, percent=80))
 
 
+def op10_recurrent(spark: SparkSession, folder: str) -> DataFrame:
+    return recurrent.score_texts(table(spark, folder, "documents"), held_out(F.col("doc_id"), 10, 0))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_toxicity": op2_toxicity,
     "op3_mixing": op3_mixing,
     "op4_fertility": op4_fertility,
+    "op5_crossparse": op5_crossparse,
     "op6_winnow": op6_winnow,
     "op7_urlrules": op7_urlrules,
     "op8_minhash": op8_minhash,
     "op9_rans": op9_rans,
+    "op10_recurrent": op10_recurrent,
 }
 
 OP8_SQL = r"""
