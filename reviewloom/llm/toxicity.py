@@ -155,6 +155,8 @@ def telling_words(toxic: list[set[bytes]], clean: list[set[bytes]]) -> list[byte
     A word needs a ratio of ``RATIO`` and ``SHARE`` of that of the most telling word, which
     leaves out words that only a few copies of a text tell.
     """
+    if not toxic or not clean:
+        return []
     often, usual = (Counter(w for words in kind for w in words) for kind in (toxic, clean))
     words = [w for w, n in often.items() if n >= 3 and len(letters(w)) >= 3]
     hit = np.array([often[w] for w in words], float)
