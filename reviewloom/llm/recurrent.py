@@ -29,7 +29,7 @@ END = np.uint64(1 << 63)  # the key of the end of a text
 CLASSES, WIDTH = 32, 32  # classes of frequent words, and words in each
 OTHERS = 32  # classes of all other words: the last five bits of a key
 HIDDEN, RATE = 16, 0.01
-STEPS, STRETCH, LANES = 16, 256, 256  # words of a window and of a training stretch; stretches side by side
+STEPS, STRETCH, LANES = 16, 256, 512  # words of a window and of a training stretch; stretches side by side
 WIDE = 8192  # texts scored side by side
 START_BLOCKS, START_PASSES = 2, 3  # blocks that the common start is trained on, and how often
 SMOOTH = 0.1
