@@ -5,6 +5,7 @@ from __future__ import annotations
 from checks.base import NAMES, PRODUCTS, points, rounded, written
 from checks.ingest import DAVIES
 from checks.modelling import SOFT
+from reviewloom.contracts import META_CATEGORY_NAMES
 from reviewloom.operators import articles as scores
 from reviewloom.operators import report, stats, validity
 from reviewloom.plans import evaluation
@@ -61,7 +62,8 @@ def treemap_rows(spark, sf):
 
 
 def cluster_contents(spark, sf):
-    return report.cluster_contents(_points(spark, sf).where(F.col("cluster") != 2))
+    # one name more than there are clusters, so that one stays empty
+    return report.cluster_contents(_points(spark, sf), {**META_CATEGORY_NAMES, 5: "Sixth", 99: "Empty"})
 
 
 def _structure(clamp: bool) -> str:
@@ -143,8 +145,8 @@ CASES = {
     "cluster_contents": (
         cluster_contents,
         points(
-            "SELECT meta_category, name, category FROM names LEFT JOIN (SELECT * FROM points WHERE cluster <> 2) ON cluster = meta_category",
-            NAMES,
+            "SELECT meta_category, name, category FROM names LEFT JOIN points ON cluster = meta_category",
+            NAMES.replace("(4, 'Home & Garden')", "(4, 'Home & Garden'), (5, 'Sixth'), (99, 'Empty')"),
         ),
     ),
 }

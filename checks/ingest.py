@@ -47,6 +47,15 @@ def write_table(spark, sf):
     return back.select("review_id", "split", "category", "rating", "text")
 
 
+def write_table_again(spark, sf):
+    """A second table over a first one with other partitions: nothing of the first stays."""
+    rows = adapters.text_reviews(spark, sf)
+    path = fresh_path(spark, "write")
+    sinks.write_table(rows, path, ["split", "category"])
+    back = sinks.write_table(rows.where("split <> 'val'"), path, ["split", "category"])
+    return back.select("review_id", "split", "category")
+
+
 def write_metrics(spark, sf):
     metrics = rounded(validity.davies_bouldin(adapters.category_points(spark, sf)))
     as_csv = sinks.write_metrics(metrics, fresh_path(spark, "csv"), "csv")
@@ -105,6 +114,15 @@ def publish_validated(spark, sf):
     return report.join(stored, "category", "left").na.fill(0, ["n_stored"])
 
 
+def publish_null_key(spark, sf):
+    """Rows without a category are rejected, and said to be."""
+    rows = adapters.text_reviews(spark, sf).withColumn("category", F.when(F.col("category") != "fr", F.col("category")))
+    target = fresh_path(spark, "published")
+    report = sinks.publish_validated(rows, target)
+    stored = spark.read.parquet(target).groupBy("category").agg(F.count("*").alias("n_stored"))
+    return report.join(stored, "category", "left").na.fill(0, ["n_stored"]).select("category", "n_rows", "published", "n_stored")
+
+
 def ingest_totals(spark, sf):
     return reviews.ingest_totals(adapters.text_reviews(spark, sf))
 
@@ -196,6 +214,17 @@ CASES = {
             _SPOILED,
         ),
     ),
+    "publish_null_key": (
+        publish_null_key,
+        text(
+            "SELECT nullif(category, 'fr') AS category, count(*) AS n_rows, bool_and(category <> 'fr') AS published,"
+            " count(*) FILTER (category <> 'fr') AS n_stored FROM reviews GROUP BY 1"
+        ),
+    ),
+    "write_table_again": (
+        write_table_again,
+        text("SELECT review_id, split, category FROM reviews WHERE split <> 'val'"),
+    ),
     "ingest_totals": (
         ingest_totals,
         text(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import functions as F
 
 from checks.base import POINTS, points, rounded, written
@@ -14,17 +16,25 @@ from reviewloom.sources import adapters
 from reviewloom.staging import fresh_path
 
 FULL = {"min_size": 2, "min_samples": 1, "eps": 1.04, "alpha": 1.0}
-FLAT = {"min_size": 2, "min_samples": 1, "eps": 0.06, "alpha": 0.5}
-DENSER = {"min_size": 3, "min_samples": 2, "eps": 0.12, "alpha": 1.0}
+FLAT = {"min_size": 2, "min_samples": 1, "eps": 0.25, "alpha": 1.0}
+DENSER = {"min_size": 3, "min_samples": 2, "eps": 0.3, "alpha": 1.0}
 
 
 def _points(spark, sf):
     return adapters.category_points(spark, sf)
 
 
-def _leading(spark, sf):
-    """The vectors cut to their first three coordinates."""
-    return _points(spark, sf).withColumn("vector", F.slice("vector", 1, 3))
+# Three projections of all 64 coordinates: the signs are digits of the dimension's md5.
+SIGNS = [[1 if hashlib.md5(f"{axis}:{dim}".encode()).hexdigest()[0] < "8" else -1 for dim in range(64)] for axis in range(3)]
+
+
+def _projected(spark, sf):
+    """The vectors on three fixed axes, each a signed sum of all coordinates."""
+    def axis(signs):
+        products = F.zip_with("vector", F.array(*map(F.lit, signs)), lambda x, s: x * s)
+        return F.aggregate(products, F.lit(0.0), lambda a, x: a + x)
+
+    return _points(spark, sf).withColumn("vector", F.array(*map(axis, SIGNS)))
 
 
 def category_vectors(spark, sf):
@@ -47,11 +57,11 @@ def density_cluster(spark, sf):
 
 
 def density_cluster_flat(spark, sf):
-    return clusters.density_cluster(_leading(spark, sf), **FLAT)
+    return clusters.density_cluster(_projected(spark, sf), **FLAT)
 
 
 def density_cluster_denser(spark, sf):
-    return clusters.density_cluster(_leading(spark, sf), **DENSER)
+    return clusters.density_cluster(_projected(spark, sf), **DENSER)
 
 
 def membership_probability(spark, sf):
@@ -59,7 +69,7 @@ def membership_probability(spark, sf):
 
 
 def membership_probability_flat(spark, sf):
-    return rounded(clusters.membership_probability(_leading(spark, sf), **FLAT))
+    return rounded(clusters.membership_probability(_projected(spark, sf), **FLAT))
 
 
 def silhouette_samples(spark, sf):
@@ -155,6 +165,7 @@ def _labels(source: str, setting: dict, column: str) -> str:
     return f"WITH {body} SELECT category, {column} FROM final"
 
 
+PROJECTED = "[" + ", ".join(f"list_dot_product(vector, {signs}::DOUBLE[])" for signs in SIGNS) + "]"
 PROBABILITY = "round(probability, 6) AS probability"
 
 SOFT = """tokens AS (
@@ -178,10 +189,10 @@ CASES = {
     "category_text_vectors": (category_text_vectors, None),
     "reduce_dims": (reduce_dims, None),
     "density_cluster": (density_cluster, _labels("vector", FULL, "cluster")),
-    "density_cluster_flat": (density_cluster_flat, _labels("vector[1:3]", FLAT, "cluster")),
-    "density_cluster_denser": (density_cluster_denser, _labels("vector[1:3]", DENSER, "cluster")),
+    "density_cluster_flat": (density_cluster_flat, _labels(PROJECTED, FLAT, "cluster")),
+    "density_cluster_denser": (density_cluster_denser, _labels(PROJECTED, DENSER, "cluster")),
     "membership_probability": (membership_probability, _labels("vector", FULL, PROBABILITY)),
-    "membership_probability_flat": (membership_probability_flat, _labels("vector[1:3]", FLAT, PROBABILITY)),
+    "membership_probability_flat": (membership_probability_flat, _labels(PROJECTED, FLAT, PROBABILITY)),
     "silhouette_samples": (
         silhouette_samples,
         points("SELECT category, cluster, round(silhouette, 6) AS silhouette FROM silhouettes", SILHOUETTE),

@@ -6,6 +6,7 @@ from checks.base import rank, text
 from checks.rows import SENTIMENT, SPLIT
 from reviewloom.operators import quality, sampling
 from reviewloom.sources import adapters
+from pyspark.sql import functions as F
 
 
 def _rank(spark, sf):
@@ -24,6 +25,20 @@ def stratified_split(spark, sf):
     return sampling.stratified_split(_rank(spark, sf)).select("review_id", "rating", "split")
 
 
+def _unrated(spark, sf):
+    """Every thirteenth product without a category and a rating."""
+    rows, some = _rank(spark, sf), F.col("asin") % 13 != 0
+    return rows.withColumn("category", F.when(some, F.col("category"))).withColumn("rating", F.when(some, F.col("rating")))
+
+
+def sample_per_category_nulls(spark, sf):
+    return sampling.sample_per_category(_unrated(spark, sf), 0.5).select("review_id", "category")
+
+
+def stratified_split_nulls(spark, sf):
+    return sampling.stratified_split(_unrated(spark, sf)).select("review_id", "rating", "split")
+
+
 def check_min_class(spark, sf):
     return sampling.class_minimum(sampling.check_min_class(_rank(spark, sf)))
 
@@ -69,6 +84,9 @@ WHERE pos <= {per_class + VAL // 3 + TEST // 3}"""
     )
 
 
+UNRATED = """(SELECT * REPLACE (CASE WHEN asin % 13 <> 0 THEN category END AS category,
+  CASE WHEN asin % 13 <> 0 THEN rating END AS rating) FROM reviews)"""
+
 CASES = {
     "sample_per_category": (
         sample_per_category,
@@ -82,6 +100,14 @@ CASES = {
         stratified_split,
         rank("SELECT review_id, rating, split FROM parted", "pool AS (SELECT * FROM reviews)", SPLIT),
     ),
+    "sample_per_category_nulls": (
+        sample_per_category_nulls,
+        _sample("round_even(0.5::DOUBLE * n, 0)", 42, "review_id, category").replace("FROM reviews)", f"FROM {UNRATED})"),
+    ),
+    "stratified_split_nulls": (
+        stratified_split_nulls,
+        rank("SELECT review_id, rating, split FROM parted", f"pool AS (SELECT * FROM {UNRATED})", SPLIT.replace("USING (rating)", "ON ranked.rating IS NOT DISTINCT FROM quota.rating")),
+    ),
     "check_min_class": (
         check_min_class,
         rank(

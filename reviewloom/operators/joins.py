@@ -1,8 +1,8 @@
 """Lookups, semi and anti joins, unions.
 
-No join here carries a broadcast hint: lookup tables arrive as local relations or
-settled files, so Spark knows their size and decides by it; adaptive execution
-splits hot keys of the shuffled case.
+No join here carries a broadcast hint: lookup tables arrive as settled files, so Spark
+knows their size and decides by it; adaptive execution splits hot keys of the shuffled
+case. Names of meta-categories are a literal map and need no join.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window as W, functions as F
 
-from reviewloom.contracts import END_MARKER, meta_names
+from reviewloom.contracts import END_MARKER, META_CATEGORY_NAMES, lookup
 
 
 def assign_meta_category(reviews: DataFrame, labels: DataFrame) -> DataFrame:
@@ -28,14 +28,11 @@ def name_meta_category(
     fallback: bool = True,
 ) -> DataFrame:
     """Add the display name of a meta-category; ids without one become ``cluster N``
-    (or stay null without ``fallback``)."""
-    table = meta_names(df.sparkSession, names).select(
-        F.col("meta_category").alias("_id"), F.col("name").alias(out)
-    )
-    joined = df.join(table, F.col(key) == F.col("_id"), "left").drop("_id")
+    (or stay null without ``fallback``). The names are a literal map, so no row moves."""
+    name = lookup(names or META_CATEGORY_NAMES, F.col(key).cast("int"))
     if fallback:
-        joined = joined.withColumn(out, F.coalesce(out, F.concat(F.lit("cluster "), F.col(key))))
-    return joined
+        name = F.coalesce(name, F.concat(F.lit("cluster "), F.col(key)))
+    return df.withColumn(out, name)
 
 
 def reviews_of_selected(

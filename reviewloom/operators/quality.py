@@ -15,6 +15,7 @@ from reviewloom.contracts import (
 )
 from reviewloom.functions.text import computed_once, has_words, normalize_text
 from reviewloom.operators.ranks import whole_table
+from reviewloom.staging import settle
 
 # Star rating → sentiment. Any other rating has none.
 RATING_SENTIMENT = {1.0: "Negative", 2.0: "Negative", 3.0: "Neutral", 4.0: "Positive", 5.0: "Positive"}
@@ -49,13 +50,17 @@ def dedup_reviews(
 ) -> DataFrame:
     """Keep the first row (lowest id) of each set of equal rows, split by split.
 
-    The leading 64-bit hash makes the sort compare numbers before it compares long
-    texts; the texts stay part of the key, so equal hashes never merge rows. The
-    group limit Spark derives from ``= 1`` reduces copies before the shuffle.
+    64-bit hashes are counted first. Rows whose hash is the only one of its kind stay
+    without having been compared; only rows whose hash repeats are brought together, on
+    all their keys, so equal hashes never merge different rows. The group limit Spark
+    derives from ``= 1`` reduces copies before that shuffle.
     """
-    key = [F.xxhash64(*keys), *within, *keys]
-    first = F.row_number().over(W.partitionBy(*key).orderBy(row_id))
-    return df.withColumn("_copy", first).where(F.col("_copy") == 1).drop("_copy")
+    hashed = df.withColumn("_hash", F.xxhash64(*within, *keys))
+    counts = hashed.groupBy("_hash").agg(F.count("*").alias("_n"))
+    again = settle(counts.where("_n > 1").select("_hash"), "repeated")
+    first = F.row_number().over(W.partitionBy("_hash", *within, *keys).orderBy(row_id))
+    one = hashed.join(again, "_hash", "left_semi").withColumn("_copy", first).where(F.col("_copy") == 1)
+    return hashed.join(again, "_hash", "left_anti").unionByName(one.drop("_copy")).select(df.columns)
 
 
 def relabel_unknown(df: DataFrame) -> DataFrame:

@@ -57,24 +57,37 @@ def locate_ranks(
     lets one row stand for many equal ones.
     """
     weight = F.lit(1) if weight is None else weight
-    keyed = rows.select(*groups, *order, bucket.alias("_bucket"), weight.cast("bigint").alias("_weight"))
-    histogram = settle(_histogram(keyed, groups), "histogram")
-    sizes = histogram.groupBy(*groups).agg(F.sum("_n").alias("n"))
-    wanted = targets(sizes).select(*groups, "cut", "k")
+    key = group_key(groups)
+    keyed = rows.select(key, *order, bucket.alias("_bucket"), weight.cast("bigint").alias("_weight"))
+    histogram = settle(_histogram(keyed, ["_group"]), "histogram")
+    sizes = histogram.groupBy("_group").agg(F.sum("_n").alias("n")).select("_group.*", "n")
+    wanted = targets(sizes).select(key, "cut", "k")
     edges = (
-        histogram.join(wanted, groups)
+        histogram.join(wanted, "_group")
         .where((F.col("k") > F.col("_before")) & (F.col("k") <= F.col("_before") + F.col("_n")))
-        .select(*groups, "cut", "_bucket", (F.col("k") - F.col("_before")).alias("_need"))
+        .select("_group", "cut", "_bucket", (F.col("k") - F.col("_before")).alias("_need"))
     )
-    near = keyed.join(settle(edges, "edges"), [*groups, "_bucket"])
-    running = W.partitionBy(*groups, "cut").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    near = keyed.join(settle(edges, "edges"), ["_group", "_bucket"])
+    running = W.partitionBy("_group", "cut").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
     return (
         near.withColumn("_seen", F.sum("_weight").over(running))
         .where((F.col("_seen") >= F.col("_need")) & (F.col("_seen") - F.col("_weight") < F.col("_need")))
-        .select(*groups, "cut", *order)
+        .select("_group.*", "cut", *order)
     )
 
 
+def group_key(groups: list[str]) -> Column:
+    """The group of a row as one value that is never null: a null field equals a null field."""
+    return F.struct(*groups).alias("_group")
+
+
+def with_cuts(df: DataFrame, cuts: DataFrame, groups: list[str], how: str = "inner") -> DataFrame:
+    """Rows of ``df`` with the cuts of their group, also where the group is null. A group of
+    which nothing is wanted has no cuts: ``how="left"`` keeps its rows, without any."""
+    keyed = cuts.select(group_key(groups), "cuts")
+    return df.withColumn("_group", group_key(groups)).join(keyed, "_group", how).drop("_group")
+
+
 def ranked_positions(
     df: DataFrame, groups: list[str], order: list[Column], bucket: Column, name: str = "position"
 ) -> DataFrame:

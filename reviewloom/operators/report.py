@@ -62,5 +62,8 @@ def cluster_contents(labels: DataFrame, names: dict[int, str] | None = None) ->
     without a name are left out. One row per category keeps a large cluster from
     becoming one huge value.
     """
-    real = labels.where(F.col("cluster") != NOISE).select(F.col("cluster").alias("meta_category"), "category")
-    return meta_names(labels.sparkSession, names).join(real, "meta_category", "left")
+    known = name_meta_category(labels.where(F.col("cluster") != NOISE), names, key="cluster", out="name", fallback=False)
+    filled = known.where(F.col("name").isNotNull()).select(F.col("cluster").cast("int").alias("meta_category"), "name", "category")
+    everything = meta_names(labels.sparkSession, names)
+    empty = everything.join(filled.select("meta_category").distinct(), "meta_category", "left_anti")
+    return filled.unionByName(empty.withColumn("category", F.lit(None).cast("string")))

@@ -18,6 +18,7 @@ from reviewloom.operators.ranks import (
     hash_point,
     ranked_positions,
     whole_table,
+    with_cuts,
 )
 
 SENTIMENTS = ["Negative", "Neutral", "Positive"]
@@ -34,7 +35,7 @@ def sample_per_category(
     """A sample of exactly ``frac`` of each category.
 
     ``rounding="half_even"`` rounds the sample size to the nearest integer;
-    ``"floor"`` cuts it off.
+    ``"floor"`` cuts it off. Rows without a category are a category of their own.
     """
     size = {"half_even": F.bround, "floor": F.floor}[rounding](F.col("n") * F.lit(frac)).cast("bigint")
 
@@ -43,7 +44,7 @@ def sample_per_category(
 
     cuts = hash_cuts(df, [group], seed, row_id, targets)
     return (
-        df.join(cuts, group)
+        with_cuts(df, cuts, [group])
         .where(hash_point(seed, row_id) <= F.col("cuts")["sample"])
         .drop("cuts")
         .select(df.columns)
@@ -92,7 +93,7 @@ def _largest_remainder(strata: DataFrame, label: str, size: str, total: Column,
         .withColumn("_floor", F.floor(exact))
         .withColumn("_rest", exact - F.col("_floor"))
         .withColumn("_spare", F.col("_total") - F.sum("_floor").over(everything))
-        .withColumn("_rank", F.row_number().over(everything.orderBy(F.desc("_rest"), F.col(label))))
+        .withColumn("_rank", F.row_number().over(everything.orderBy(F.desc("_rest"), F.col(label).asc_nulls_last())))
     )
     extra = F.when(F.col("_rank") <= F.col("_spare"), 1).otherwise(0)
     return base.withColumn(out, (F.col("_floor") + extra).cast("bigint")).drop(
@@ -126,7 +127,10 @@ def stratified_split(
     row_id: str = "review_id",
     check: bool = True,
 ) -> DataFrame:
-    """Add ``split`` (train, val or test) so that each part keeps the class mix."""
+    """Add ``split`` (train, val or test) so that each part keeps the class mix.
+
+    Rows without a label are a class of their own, which counts like the others.
+    """
 
     def targets(sizes: DataFrame) -> DataFrame:
         quotas = split_quotas(sizes, label, test, val)
@@ -147,7 +151,7 @@ def stratified_split(
         F.when(point <= edge["test"], "test").when(point <= edge["val"], "val").otherwise("train")
     )
     kept = [c for c in df.columns if c != "split"]
-    return df.drop("split").join(cuts, label).withColumn("split", part).select(*kept, "split")
+    return with_cuts(df.drop("split"), cuts, [label], "left").withColumn("split", part).select(*kept, "split")
 
 
 def balanced_splits(
@@ -183,7 +187,7 @@ def balanced_splits(
     part = F.when(point <= edge["train"], "train").when(point <= edge["val"], "val").when(
         point <= edge["test"], "test"
     )
-    labelled = pool.join(cuts, label).withColumn("split", part).where(F.col("split").isNotNull())
+    labelled = with_cuts(pool, cuts, [label]).withColumn("split", part).where(F.col("split").isNotNull())
     return labelled.select(*pool.columns, "split")
 
 

@@ -9,13 +9,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from reviewloom.contracts import ARTICLE_SECTIONS
-from reviewloom.sources.reviews import spread
 
 
 def table(spark: SparkSession, folder: str, name: str, heavy: bool = False) -> DataFrame:
-    """One benchmark table; ``heavy`` spreads a small file over all cores."""
+    """One benchmark table. Its files hold one row group each; ``heavy`` deals the rows out
+    to as many tasks as a shuffle has, for costly work on each of them."""
     scan = spark.read.parquet(f"{folder}/{name}.parquet")
-    return spread(scan) if heavy else scan
+    return scan.repartition(int(spark.conf.get("spark.sql.shuffle.partitions"))) if heavy else scan
 
 
 def text_reviews(spark: SparkSession, folder: str, heavy: bool = False) -> DataFrame:

@@ -11,15 +11,18 @@ from reviewloom.operators.ranks import whole_table
 def scan_reviews(
     spark: SparkSession,
     path: str | list[str],
-    schema: T.StructType | None = RAW_REVIEW,
+    schema: T.StructType | str | None = "default",
     splits: list[str] | None = None,
 ) -> DataFrame:
     """Every parquet file below a folder, or only the named split files of it.
 
     With ``splits`` each row also says which split file it came from. A given
     schema saves the footer reads that inference costs; columns a file lacks
-    become null. ``schema=None`` takes the schema from the files.
+    become null. ``schema=None`` takes the schema from the files. The default is the raw
+    review schema for a folder and the files' own for splits, which carry more columns.
     """
+    if schema == "default":
+        schema = None if splits else RAW_REVIEW
     reader = spark.read if schema is None else spark.read.schema(schema)
     if not splits:
         return reader.parquet(*([path] if isinstance(path, str) else path))
@@ -30,19 +33,9 @@ def scan_reviews(
     return out
 
 
-def spread(scan: DataFrame) -> DataFrame:
-    """Use all cores on a scan that has fewer splits than there are cores.
-
-    A small file is one task otherwise, however costly the work on its rows. A table
-    with splits enough, as any large one, is returned as it is: no shuffle.
-    """
-    cores = scan.sparkSession.sparkContext.defaultParallelism
-    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
-
-
 def category_of_file() -> Column:
     """Category name taken from the file a row was read from (``<category>.parquet``)."""
-    return F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.[^/]*)?$", 1)
+    return F.regexp_extract(F.col("_metadata.file_name"), r"^(.*?)(?:\.parquet)?$", 1)
 
 
 def ingest_category(

@@ -14,11 +14,12 @@ def write_table(
     """Write parquet and return the table read back.
 
     Rows are spread by Spark's rebalancing before the write, which gives files of
-    even size and splits a partition value that holds much of the table.
+    even size and splits a partition value that holds much of the table. Overwriting
+    replaces the whole table, also partitions that ``df`` has no rows for.
     """
     keys = partition_by or []
     out = df.hint("rebalance", *keys) if keys else df
-    writer = out.write.mode(mode)
+    writer = out.write.mode(mode).option("partitionOverwriteMode", "static")
     if keys:
         writer = writer.partitionBy(*keys)
     writer.parquet(path)
@@ -40,7 +41,7 @@ def write_metrics(df: DataFrame, path: str, fmt: str = "csv") -> DataFrame:
 def write_articles(df: DataFrame, path: str, text: str = "article") -> DataFrame:
     """One folder of text output per meta-category; returns ``meta_category, article``."""
     out = df.select("meta_category", F.col(text).alias("value"))
-    out.write.mode("overwrite").partitionBy("meta_category").text(path)
+    out.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("meta_category").text(path)
     back = df.sparkSession.read.text(path, wholetext=True)
     return back.select(
         F.col("meta_category").cast("int").alias("meta_category"),
@@ -55,12 +56,15 @@ def publish_validated(
 
     The rows are written to a staging folder first and checked as they were
     written. Passing categories replace their partition of the target; rejected
-    ones leave it as it was. The result reports every category with its counts and
-    whether it was published; a rejection is reported, not raised.
+    ones leave it as it was. Rows without a category (null or empty) are rejected, as
+    no partition could be replaced by them alone. The result reports every category with
+    its counts and whether it was published; a rejection is reported, not raised.
     """
     spark = df.sparkSession
     staged = write_table(df, fresh_path(spark, "publish"), [partition])
-    report = write_table(check_integrity(staged, mode, [partition]), fresh_path(spark, "publish-report"))
+    checked = check_integrity(staged, mode, [partition])
+    named = F.col(partition).isNotNull() & (F.col(partition).cast("string") != "")
+    report = write_table(checked.withColumn("ok", F.col("ok") & named), fresh_path(spark, "publish-report"))
     good = staged.join(report.where("ok").select(partition), partition, "left_semi")
     good.hint("rebalance", partition).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"

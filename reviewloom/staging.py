@@ -1,4 +1,4 @@
-"""Small intermediate tables that are written once and read back.
+"""Intermediate tables that are written once and read back.
 
 Writing an intermediate result does three jobs at once: it cuts the lineage, it
 survives the loss of an executor, and it gives the optimizer the *measured* size
@@ -9,36 +9,42 @@ so no operator in this package needs a blind broadcast hint.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_KEY = "spark.checkpoint.dir"
-_local_folders: dict[str, str] = {}  # application id → folder, where the setting is absent
+_KEY, _WAREHOUSE = "spark.checkpoint.dir", "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, taken from ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, else the warehouse.
 
-    Only a local master may go without that setting; it then gets a temporary
-    folder of its own for the life of the session.
+    A cluster must name one of the two; only a local master may rest on Spark's own
+    default for the warehouse, a folder below the working directory.
     """
-    folder = spark.conf.get(_KEY, None) or spark.sparkContext.getConf().get(_KEY)
+    given = spark.sparkContext.getConf()
+    folder = spark.conf.get(_KEY, None) or given.get(_KEY)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local") and not given.contains(_WAREHOUSE):
         raise ValueError(f"{_KEY} must name a folder shared by all executors")
-    app = spark.sparkContext.applicationId
-    if app not in _local_folders:
-        _local_folders[app] = tempfile.mkdtemp(prefix="reviewloom-")
-    return _local_folders[app]
+    return spark.conf.get(_WAREHOUSE).rstrip("/")
+
+
+def release(spark: SparkSession) -> None:
+    """Delete everything this application has settled. For the end of a job: tables that
+    were read from settled ones can no longer be computed afterwards."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_folder(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def _application_folder(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/reviewloom/{spark.sparkContext.applicationId}"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that no other call has returned."""
-    app = spark.sparkContext.applicationId
-    return f"{shared_folder(spark)}/reviewloom/{app}/{label}-{uuid.uuid4().hex}"
+    return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def settle(df: DataFrame, label: str = "table") -> DataFrame:

@@ -6,6 +6,8 @@ nor repeats any.
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
@@ -26,15 +28,18 @@ def ingest_new_files(
     """Read every file that is new since the last run, keep valid reviews, append.
 
     Each batch lands in its own ``batch`` partition, which is overwritten when the
-    batch has to run again; that makes the sink exactly-once.
+    batch has to run again; that makes the sink exactly-once. Batch numbers begin anew
+    with each checkpoint, so the partition is named after both: streams with checkpoints
+    of their own may share a target.
     """
+    owner = hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:12]
     stream = (
         spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(source)
     )
     rows = ingest_category(stream, category_of_file(), needed_columns)
 
     def store(batch: DataFrame, number: int) -> None:
-        tagged = valid_reviews(batch).withColumn("batch", F.lit(number))
+        tagged = valid_reviews(batch).withColumn("batch", F.lit(f"{owner}-{number}"))
         tagged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
             "batch", "category"
         ).parquet(target)

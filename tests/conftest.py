@@ -8,6 +8,7 @@ import pytest
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from reviewloom.session import get_session  # noqa: E402
+from reviewloom.staging import release  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -19,6 +20,7 @@ def spark():
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
+    release(session)
     session.stop()
 
 

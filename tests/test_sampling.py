@@ -129,3 +129,12 @@ def test_sentiment_of_sampled_rows(spark):
     df = spark.createDataFrame([(r,) for r in (1.0, 2.0, 3.0, 4.0, 5.0, 0.0, 3.5)], "rating double")
     got = [r.sentiment for r in quality.sentiment_label(df).collect()]
     assert got == ["Negative", "Negative", "Neutral", "Positive", "Positive", None, None]
+
+
+def test_rows_without_a_group_are_a_group(spark):
+    rows = spark.range(200).selectExpr("id AS review_id", "IF(id % 10 = 0, NULL, id % 3) AS rating", "IF(id % 10 = 0, NULL, 'A') AS category")
+    split = sampling.stratified_split(rows)
+    assert split.count() == 200
+    assert {r.split for r in split.where("rating IS NULL").collect()} == {"train", "val", "test"}
+    assert sampling.sample_per_category(rows, 1.0).count() == 200
+    assert sampling.sample_per_category(rows, 0.5).where("category IS NULL").count() == 10

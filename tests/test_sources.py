@@ -126,15 +126,15 @@ def test_shared_folder_comes_from_the_session(spark):
     assert staging.fresh_path(spark, "a") != staging.fresh_path(spark, "a")
 
 
-def test_a_local_session_without_the_setting_gets_one_folder(spark, monkeypatch):
+def test_without_the_setting_the_warehouse_is_the_folder(spark, monkeypatch):
     monkeypatch.setattr(staging, "_KEY", "spark.reviewloom.not.set")
-    folder = staging.shared_folder(spark)
-    assert folder == staging.shared_folder(spark) and "reviewloom-" in folder
+    assert staging.shared_folder(spark) == spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
     assert staging.settle(spark.range(2), "demo").count() == 2
 
 
 def test_a_cluster_without_the_setting_is_an_error(spark, monkeypatch):
     monkeypatch.setattr(staging, "_KEY", "spark.reviewloom.not.set")
+    monkeypatch.setattr(staging, "_WAREHOUSE", "spark.reviewloom.not.set.either")
 
     class Context:
         master = "yarn"
@@ -147,3 +147,55 @@ def test_a_cluster_without_the_setting_is_an_error(spark, monkeypatch):
 
     with pytest.raises(ValueError, match="shared by all executors"):
         staging.shared_folder(Session())
+
+
+def test_overwriting_leaves_nothing_of_the_old_table(spark, tmp_path, monkeypatch):
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        rows = spark.createDataFrame([(1, "A"), (2, "B")], "x int, category string")
+        path = str(tmp_path / "table")
+        sinks.write_table(rows, path, ["category"])
+        assert [r.x for r in sinks.write_table(rows.where("x = 1"), path, ["category"]).collect()] == [1]
+        articles = spark.createDataFrame([(0, "a"), (1, "b")], "meta_category int, article string")
+        path = str(tmp_path / "articles")
+        sinks.write_articles(articles, path)
+        assert [r.article for r in sinks.write_articles(articles.where("meta_category = 1"), path).collect()] == ["b"]
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
+
+
+def test_rows_without_a_category_are_not_published(spark, tmp_path):
+    rows = spark.createDataFrame([("t", 1.0, "A"), ("u", 1.0, None), ("v", 1.0, "")], "text string, rating double, category string")
+    report = sinks.publish_validated(rows, str(tmp_path / "out")).collect()
+    assert {(r.category, r.n_rows, r.published) for r in report} == {("A", 1, True), (None, 2, False)}
+    assert [r.category for r in spark.read.parquet(str(tmp_path / "out")).collect()] == ["A"]
+
+
+def test_streams_with_their_own_checkpoints_share_a_target(spark, tmp_path):
+    for name in ("first", "second"):
+        (tmp_path / name).mkdir()
+        raw(spark, 3).toPandas().to_parquet(tmp_path / name / "Books.v2.parquet")
+        ingest_new_files(spark, str(tmp_path / name), str(tmp_path / "out"), str(tmp_path / f"state-{name}")).awaitTermination()
+    counts = spark.read.parquet(str(tmp_path / "out")).groupBy("category").count().collect()
+    assert [(r.category, r["count"]) for r in counts] == [("Books.v2", 6)]
+
+
+def test_split_files_keep_their_columns(spark, tmp_path):
+    rows = spark.createDataFrame([("t", "p", 1.0, "A", "Positive")], "text string, processed_text string, rating double, category string, sentiment string")
+    for name in ("train", "val"):
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+    got = reviews.scan_reviews(spark, str(tmp_path), splits=["train", "val"])
+    assert set(got.columns) == {*rows.columns, "split"} and got.where("sentiment = 'Positive'").count() == 2
+
+
+def test_release_leaves_nothing_behind(spark):
+    import os
+
+    from reviewloom.session import get_session
+
+    path = staging.settle(spark.range(3), "demo").inputFiles()[0].removeprefix("file:")
+    other = get_session()
+    assert other is spark and os.path.exists(path.replace("//", "", 1) if path.startswith("///") else path)
+    folder = staging._application_folder(spark).removeprefix("file://").removeprefix("file:")
+    kept = os.listdir(folder)
+    assert any(name.startswith("demo-") for name in kept)
