@@ -7,7 +7,6 @@ from pyspark.sql import functions as F, types as T
 from checks.base import POINTS, rank, rounded, text
 from reviewloom.contracts import missing_column_report
 from reviewloom.operators import validity
-from reviewloom.plans import digest
 from reviewloom.sources import adapters, examples, ledger, reviews, sinks
 from reviewloom.staging import fresh_path
 
@@ -63,11 +62,6 @@ def write_metrics(spark, sf):
     return as_csv.withColumn("fmt", F.lit("csv")).unionByName(as_json.withColumn("fmt", F.lit("json")))
 
 
-def write_articles(spark, sf):
-    prompts = digest.prompt_table(digest.review_digest(adapters.ranked_reviews(spark, sf), 30))
-    return sinks.write_articles(digest.article_generation(prompts), fresh_path(spark, "articles"))
-
-
 def _names(spark, sf):
     return adapters.table(spark, sf, "documents").select(F.col("source").alias("name"))
 
@@ -187,7 +181,6 @@ CASES = {
         write_metrics,
         f"WITH {POINTS}, {DAVIES} SELECT davies_bouldin, 'csv' AS fmt FROM davies UNION ALL SELECT davies_bouldin, 'json' FROM davies",
     ),
-    "write_articles": (write_articles, None),
     "pending_files": (
         pending_files,
         "SELECT DISTINCT source AS name FROM documents WHERE NOT substr(md5(source), 1, 1) < '8'",

@@ -104,7 +104,8 @@ def apply_saved_model(spark, sf):
     clusters.save_clustering(model, labels, path)
     again = clusters.apply_saved_model(vectors, path, eps=0.1)
     _, stored = clusters.load_clustering(spark, path)
-    return again.join(stored.withColumnRenamed("cluster", "stored").select("category", "stored"), "category")
+    both = again.join(stored.withColumnRenamed("cluster", "stored").select("category", "stored"), "category")
+    return both.agg(F.count("*").alias("n"), F.count_if(F.col("cluster") != F.col("stored")).alias("n_different"))
 
 
 def _splits(spark, sf):
@@ -219,7 +220,7 @@ size AS (SELECT count(DISTINCT cluster) AS k, count(*) AS n FROM real)""",
     ),
     "davies_bouldin": (davies_bouldin, f"WITH {POINTS}, {DAVIES} SELECT davies_bouldin FROM davies"),
     "cluster_categories": (cluster_categories, None),
-    "apply_saved_model": (apply_saved_model, None),
+    "apply_saved_model": (apply_saved_model, "SELECT count(*) AS n, 0::BIGINT AS n_different FROM embeddings"),
     "train_sentiment": (train_sentiment, None),
     "predict_sentiment": (predict_sentiment, None),
     "select_model": (select_model, None),

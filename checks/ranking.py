@@ -5,7 +5,8 @@ from __future__ import annotations
 from checks.base import NAMES, points, rank, rounded
 from reviewloom.operators import ranking, stats, validity
 from reviewloom.plans import digest
-from reviewloom.sources import adapters
+from reviewloom.sources import adapters, sinks
+from reviewloom.staging import fresh_path
 
 MIN_REVIEWS = 30
 
@@ -67,6 +68,10 @@ def article_generation(spark, sf):
     return digest.article_generation(digest.prompt_table(digests(spark, sf)))
 
 
+def write_articles(spark, sf):
+    return sinks.write_articles(article_generation(spark, sf), fresh_path(spark, "articles"))
+
+
 STATS = """stats AS (SELECT meta_category, asin, count(*) AS n_rows, count(rating) AS n_rated,
   round(avg(rating), 6) AS mean_rating, coalesce(sum(helpful_vote), 0)::BIGINT AS helpful_votes FROM reviews GROUP BY meta_category, asin)"""
 
@@ -126,6 +131,13 @@ def _template_sql() -> str:
 PROMPT = f"""prompts AS (SELECT meta_category, name AS meta_name, {_template_sql()} AS prompt
   FROM digest JOIN names USING (meta_category))"""
 
+ARTICLE = """lines AS (SELECT meta_category, name, category,
+  list_filter(string_split(review_data, chr(10)), lambda x: starts_with(x, 'Product: ')) AS l FROM digest JOIN names USING (meta_category)),
+articles AS (SELECT meta_category, array_to_string(list_concat(
+    ['Title: Choosing among ' || name, 'Introduction: What buyers report about ' || category || '.', 'TOP 3 RECOMMENDED PRODUCTS:'],
+    l[1:len(l) - 1], ['WORST PRODUCT WARNING:'], l[len(l):len(l)], ['Final Verdict: Trust the ratings above.']), chr(10)) AS article
+  FROM lines)"""
+
 POPULAR = """popular AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY meta_category ORDER BY n_rated DESC, asin) AS prank FROM stats) WHERE prank <= 5),
 pshown AS (SELECT meta_category, asin, string_agg(text, chr(10) ORDER BY n) AS samples FROM (
   SELECT p.meta_category, p.asin, r.text, row_number() OVER (PARTITION BY p.meta_category, p.asin ORDER BY helpful_vote DESC NULLS LAST, review_id) AS n
@@ -183,5 +195,6 @@ FROM silhouettes s JOIN (SELECT cluster, sum(count(*) + 10) OVER (ORDER BY clust
         ),
     ),
     "prompt_table": (prompt_table, rank("SELECT * FROM prompts", NAMES, DIGEST, DIGEST_OUT, PROMPT)),
-    "article_generation": (article_generation, None),
+    "article_generation": (article_generation, rank("SELECT * FROM articles", NAMES, DIGEST, DIGEST_OUT, ARTICLE)),
+    "write_articles": (write_articles, rank("SELECT * FROM articles", NAMES, DIGEST, DIGEST_OUT, ARTICLE)),
 }
