@@ -20,7 +20,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
 from reviewloom.llm.common import hash_spans, pieces, text_bytes, word_spans
 from reviewloom.shipping import ship
@@ -268,13 +268,15 @@ def _scorer(machine: Machine) -> Callable[[Iterator[pa.RecordBatch]], Iterator[p
 def learn(docs: DataFrame, labels: DataFrame, usable: Column, rows: int = TRAIN_ROWS) -> Machine:
     """Train on at most ``rows`` usable texts of each class, first by a hash of their id."""
     marks = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    known = docs.where(usable & F.col("text").isNotNull()).join(marks, "doc_id")
-    order = F.xxhash64("doc_id", "text")
-    known = known.select("toxic", order.alias("order"), "text")
-    parts = [known.where(c).orderBy("order", "text").limit(rows) for c in ("toxic = 1", "toxic <> 1")]
-    chosen = settle(parts[0].unionByName(parts[1]), "labelled")
-    sample = chosen.orderBy("order", "text").collect()  # twice ``rows`` texts at most
-    return train([r["text"] for r in sample], [int(r["toxic"] == 1) for r in sample])
+    known = docs.where(usable & F.col("text").isNotNull()).withColumn("order", F.xxhash64("doc_id", "text"))
+    # Labels meet ids and hashes; of the texts only the chosen ones are moved.
+    slim = known.select("doc_id", "order").join(marks, "doc_id").select("toxic", "order").distinct()
+    slim = slim.groupBy("order").agg(F.max(F.col("toxic") == 1).alias("bad"))
+    place = F.row_number().over(W.partitionBy("bad").orderBy("order"))
+    chosen = settle(slim.withColumn("place", place).where(F.col("place") <= rows).select("order", "bad"), "chosen")
+    texts = known.join(chosen, "order").groupBy("order", "bad").agg(F.first("text").alias("text"))
+    sample = settle(texts, "labelled").orderBy("order").collect()  # twice ``rows`` texts at most
+    return train([r["text"] for r in sample], [int(r["bad"]) for r in sample])
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, rows: int = TRAIN_ROWS) -> DataFrame:
