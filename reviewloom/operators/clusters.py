@@ -102,7 +102,8 @@ def _core_block(k: int, radius: float):
     def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         gap = distances(matrix(left["vector"]), matrix(right["vector"]))
         gap[left["key"].to_numpy()[:, None] == right["key"].to_numpy()[None, :]] = np.inf
-        nearest = np.argsort(gap, axis=1)[:, :k]
+        few = min(k, gap.shape[1])
+        nearest = np.argpartition(gap, few - 1, axis=1)[:, :few]
         near = np.take_along_axis(gap, nearest, axis=1)
         row, col = np.nonzero(near <= radius)
         copies = right["n"].to_numpy()[nearest[row, col]]
@@ -111,6 +112,29 @@ def _core_block(k: int, radius: float):
     return block
 
 
+def _least_linked(link: np.ndarray, rows: np.ndarray, columns: np.ndarray, n: int) -> np.ndarray:
+    """Least number linked to each of ``n`` numbers, directly or not; ``link`` holds rows against columns.
+
+    Every round hands the least number on along all links at once and then follows it to
+    the end, so chains shrink by more than half.
+    """
+    root = np.arange(n)
+    while link.size:
+        new = root.copy()
+        low = np.minimum(root[columns], np.where(link, root[rows][:, None], n).min(axis=0))
+        np.minimum.at(new, root[columns], low)
+        np.minimum.at(new, columns, low)
+        low = np.minimum(root[rows], np.where(link, new[columns][None, :], n).min(axis=1))
+        np.minimum.at(new, root[rows], low)
+        np.minimum.at(new, rows, low)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    return root
+
+
 def _link_block(eps: float, alpha: float):
     """Mutual reachability inside a block, reduced to its components.
 
@@ -127,32 +151,16 @@ def _link_block(eps: float, alpha: float):
         best = reach.min(axis=1)
         linked = (reach <= eps) | same
         member = (reach <= eps).any(axis=1)
-        keys, roots = [], []
-        todo_left, todo_right = member.copy(), linked[member].any(axis=0)
-        for start in np.nonzero(member)[0]:
-            if not todo_left[start]:
-                continue
-            todo_left[start] = False
-            group, queue = {a[start]}, [(0, start)]
-            while queue:
-                side, at = queue.pop()
-                if side == 0:
-                    fresh = np.nonzero(linked[at] & todo_right)[0]
-                    todo_right[fresh] = False
-                    group.update(b[fresh])
-                else:
-                    fresh = np.nonzero(linked[:, at] & todo_left)[0]
-                    todo_left[fresh] = False
-                    group.update(a[fresh])
-                queue.extend((1 - side, i) for i in fresh)
-            root = min(group)
-            keys.extend(group)
-            roots.extend([root] * len(group))
+        link = linked[member]
+        every, code = np.unique(np.concatenate([a, b]), return_inverse=True)
+        root = _least_linked(link, code[: len(a)][member], code[len(a) :], len(every))
+        found = np.unique(np.concatenate([code[: len(a)][member], code[len(a) :][link.any(axis=0)]]))
+        keys, roots = every[found], every[root[found]]
         kept = best <= eps
         return pd.DataFrame(
             {
-                "key": np.concatenate([a[kept], np.array(keys, dtype=a.dtype)]),
-                "root": np.concatenate([np.full(kept.sum(), None, dtype=object), np.array(roots, dtype=object)]),
+                "key": np.concatenate([a[kept], keys.astype(a.dtype)]),
+                "root": np.concatenate([np.full(kept.sum(), None, dtype=object), roots.astype(object)]),
                 "reach": np.concatenate([best[kept], np.full(len(keys), np.nan)]),
             }
         )

@@ -106,11 +106,16 @@ def near_tiles(
 
     The grid covers the leading coordinates: points within ``radius`` in the full
     space are within it there too, so no pair is lost in any dimension. A cell is at
-    least ``radius`` wide, and wider where the data is sparse; a crowded cell is
+    least ``radius`` wide, and wider where the bulk of the data is sparse; a crowded cell is
     split into tiles of about ``rows`` points.
     """
     axes = [F.get(F.col(vector), F.lit(i)).cast("double") for i in range(GRID_DIMS)]
-    reach = [f(c).alias(f"{name}{i}") for i, c in enumerate(axes) for name, f in (("low", F.min), ("high", F.max))]
+    # Where the bulk lies; a few far points must not widen the cells of all others.
+    reach = [
+        F.percentile_approx(c, share, 1000).alias(f"{name}{i}")
+        for i, c in enumerate(axes)
+        for name, share in (("low", 0.01), ("high", 0.99))
+    ]
     extent = points.agg(F.count("*").alias("n"), *reach).first()
     dims = max(1, sum(extent[f"low{i}"] is not None for i in range(GRID_DIMS)))
     per_axis = max(1.0, (extent["n"] / rows) ** (1.0 / dims))

@@ -222,3 +222,31 @@ def test_tiles_stay_bounded(spark):
     placed, pairs = tiles.near_tiles(df, "vector", "category", 0.1, 20)
     assert placed.select("_tile").distinct().count() >= 4
     assert pairs.count() == 25  # five tiles of one crowded cell against each other
+
+
+def test_one_far_point_does_not_widen_the_grid(spark):
+    from reviewloom.operators.tiles import near_tiles
+
+    def met(far: bool) -> int:
+        rows = [(f"p{i:05d}", [(i * 37 % 1000) / 100, (i * 91 % 1000) / 100]) for i in range(4000)]
+        rows += [("far", [1e6, 1e6])] if far else []
+        tiled, pairs = near_tiles(spark.createDataFrame(rows, "key string, vector array<double>"), "vector", "key", 0.05, 64)
+        sizes = tiled.groupBy("_tile").count()
+        left, right = sizes.toDF("_lt", "x"), sizes.toDF("_rt", "y")
+        return pairs.join(left, "_lt").join(right, "_rt").agg(F.sum(F.col("x") * F.col("y"))).first()[0]
+
+    alone, with_far = met(False), met(True)
+    assert abs(with_far - alone) <= 0.1 * alone and alone < 0.2 * 4000**2
+
+
+def test_least_linked_follows_chains():
+
+    from reviewloom.operators.clusters import _least_linked
+
+    n = 300
+    link = np.zeros((n, n), bool)
+    order = np.random.default_rng(1).permutation(n)
+    for x, y in zip(order[:150], order[1:150]):  # one long chain; the other half stays alone
+        link[x, y] = True
+    root = _least_linked(link, np.arange(n), np.arange(n), n)
+    assert set(root[order[:150]]) == {order[:150].min()} and (root[order[150:]] == order[150:]).all()
