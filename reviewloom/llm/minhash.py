@@ -1,17 +1,13 @@
 """Near-duplicate groups by MinHash signatures.
 
 Every text becomes the set of its distinct word shingles and a signature of many
-universal-hash minima, cut into bands. Texts with equal sets count once. Texts that share
-a band form a bucket, and links are searched in two steps that together lose none of
-those the bands reveal, without listing all pairs of a bucket:
-
-1. each member against the smallest id of its bucket (a star);
-2. where a bucket still holds several components, only texts that also share one of the
-   rarest shingles of both (a link of similarity t needs one among the first
-   ``size - ceil(t * size) + 1`` in a common order), and only across components.
-
-Candidates pass a comparison of signatures, then one of the full sets. Components come
-from alternating large-star and small-star steps, each written out.
+universal-hash minima, cut into bands. Texts with equal sets are one node. Nodes that share
+a band form a bucket; buckets that overlap are joined to clusters, through the least node of
+each bucket, so that no pairs are listed. Every link that the bands reveal lies inside a
+cluster. A cluster is cut into tiles of bounded weight; a task verifies two tiles, first by
+signatures, then on full sets, and returns a spanning forest of the links it finds.
+Components, of buckets and of links, come from alternating large-star and small-star steps,
+each written out.
 """
 
 from __future__ import annotations
@@ -27,6 +23,9 @@ from reviewloom.llm.common import binaries, longs, mix, pieces, shingle_sets, te
 from reviewloom.staging import settle
 
 
+TILE = 1 << 19  # shingles that a task holds on either side
+
+
 @dataclass(frozen=True)
 class MinHash:
     """Parameters. With 48 bands of 6 a link at similarity 0.8 is missed once in two million."""
@@ -62,84 +61,80 @@ def _minima(values: np.ndarray, at: np.ndarray, how: MinHash) -> np.ndarray:
     return out.T
 
 
+def _texts(batches: Iterator[pa.RecordBatch], at: int, k: int) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Runs of rows with the shingle sets of their texts (column ``at``) and the sets' offsets."""
+    for batch in batches:
+        data, offsets = text_bytes(batch.column(at))
+        for first, last in pieces(offsets, 1 << 18):
+            low = offsets[first]
+            sets = shingle_sets(data[low : offsets[last]], offsets[first : last + 1] - low, k)
+            yield batch.slice(first, last - first), *sets
+
+
+def _sums(values: np.ndarray, at: np.ndarray) -> list[pa.Array]:
+    """A 128-bit digest of each set: two sums over its members."""
+    totals = [np.concatenate([[np.uint64(0)], np.cumsum(x, dtype=np.uint64)]) for x in (values, mix(values))]
+    return [longs(t[at[1:]] - t[at[:-1]]) for t in totals]
+
+
 def _signer(how: MinHash) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            for first, last in pieces(offsets, 1 << 18):
-                low, high = offsets[first], offsets[last]
-                values, at = shingle_sets(data[low:high], offsets[first : last + 1] - low, how.shingle)
-                sizes = np.diff(at)
-                full = np.flatnonzero(sizes)
-                keys = np.zeros((last - first, how.bands), np.uint64)
-                small = np.zeros((last - first, how.bands * how.rows), np.uint8)
-                sums = np.zeros((2, last - first), np.uint64)
-                if len(full):
-                    inner = np.concatenate([at[:-1][full], at[-1:]])
-                    minima = _minima(values, inner, how)
-                    small[full] = minima.astype(np.uint8)
-                    wide = minima.reshape(len(full), how.bands, how.rows).astype(np.uint64)
-                    key = np.broadcast_to(np.arange(1, how.bands + 1, dtype=np.uint64), wide.shape[:2])
-                    for i in range(how.rows):
-                        key = mix(key * np.uint64(0x9E3779B97F4A7C15) + wide[:, :, i])
-                    keys[full] = key
-                    sums[0][full] = np.add.reduceat(values, inner[:-1])
-                    sums[1][full] = np.add.reduceat(mix(values), inner[:-1])
-                step = pa.array(np.arange(0, (last - first + 1) * how.bands, how.bands, dtype=np.int32))
-                ends = np.arange(0, last - first + 1) * small.shape[1]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, last - first),
-                        pa.array(sizes.astype(np.int64)),
-                        longs(sums[0]),
-                        longs(sums[1]),
-                        pa.ListArray.from_arrays(step, longs(keys.ravel())),
-                        binaries(small.ravel(), ends),
-                    ],
-                    names=["doc_id", "n_shingles", "sum1", "sum2", "bands", "signature"],
-                )
+        for rows, values, at in _texts(batches, 1, how.shingle):
+            full = np.flatnonzero(np.diff(at))
+            keys = np.zeros((len(rows), how.bands), np.uint64)
+            if len(full):
+                minima = _minima(values, np.append(at[:-1][full], at[-1]), how)
+                wide = minima.reshape(len(full), how.bands, how.rows).astype(np.uint64)
+                key = np.broadcast_to(np.arange(1, how.bands + 1, dtype=np.uint64), wide.shape[:2])
+                for i in range(how.rows):
+                    key = mix(key * np.uint64(0x9E3779B97F4A7C15) + wide[:, :, i])
+                keys[full] = key
+            step = pa.array(np.arange(0, (len(rows) + 1) * how.bands, how.bands, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    rows.column(0),
+                    pa.array(np.diff(at).astype(np.int64)),
+                    *_sums(values, at),
+                    pa.ListArray.from_arrays(step, longs(keys.ravel())),
+                ],
+                names=["doc_id", "n_shingles", "sum1", "sum2", "bands"],
+            )
 
     return sign
 
 
 def signatures(docs: DataFrame, how: MinHash) -> DataFrame:
-    """Per row: set size, a 128-bit digest of the set, band keys, and one byte of each minimum."""
-    schema = "doc_id long, n_shingles long, sum1 long, sum2 long, bands array<long>, signature binary"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_signer(how), schema)
+    """Per row: doc_id, set size, node (a hash of the set's digest) and band keys."""
+    schema = "doc_id long, n_shingles long, sum1 long, sum2 long, bands array<long>"
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(_signer(how), schema)
+    return rows.select("doc_id", "n_shingles", _node().alias("id"), "bands")
+
 
+def _node() -> Column:
+    return F.xxhash64("sum1", "sum2", "n_shingles")
 
-def _sets(docs: DataFrame, how: MinHash) -> DataFrame:
-    def collect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
-            for first, last in pieces(offsets):
-                low, high = offsets[first], offsets[last]
-                values, at = shingle_sets(data[low:high], offsets[first : last + 1] - low, how.shingle)
-                sums = [np.concatenate([[np.uint64(0)], np.cumsum(x, dtype=np.uint64)]) for x in (values, mix(values))]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column(0).slice(first, last - first),
-                        pa.array(np.diff(at).astype(np.int64)),
-                        *(longs(x[at[1:]] - x[at[:-1]]) for x in sums),
-                        binaries(values, at),
-                    ],
-                    names=["doc_id", "n_shingles", "sum1", "sum2", "members"],
-                )
 
-    schema = "doc_id long, n_shingles long, sum1 long, sum2 long, members binary"
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(collect, schema)
+def _setter(how: MinHash) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Texts of seats to their sets, with a byte of each minimum."""
+    width = how.bands * how.rows
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, values, at in _texts(batches, 5, how.shingle):
+            full = np.flatnonzero(np.diff(at))
+            small = np.zeros((len(rows), width), np.uint8)
+            if len(full):
+                small[full] = _minima(values, np.append(at[:-1][full], at[-1]), how).astype(np.uint8)
+            columns = [*rows.columns[:5], pa.array(np.diff(at).astype(np.int64)), *_sums(values, at)]
+            columns += [binaries(small.ravel(), np.arange(len(rows) + 1) * width), binaries(values, at)]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in _SEAT.split(", ")])
 
-def _agree(how: MinHash) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    width, least = how.bands * how.rows, how.least_matches
+    return run
 
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            both = [text_bytes_of(batch.column(i)).reshape(-1, width) for i in (2, 3)]
-            near = (both[0] == both[1]).sum(axis=1) >= least
-            yield batch.select([0, 1]).filter(pa.array(near))
 
-    return compare
+_SEAT = (
+    "cluster long, one long, two long, tile long, id long, n_shingles long, sum1 long, sum2 long, "
+    "signature binary, members binary"
+)
 
 
 def text_bytes_of(column: pa.Array) -> np.ndarray:
@@ -148,38 +143,6 @@ def text_bytes_of(column: pa.Array) -> np.ndarray:
     return np.frombuffer(column.buffers()[2], np.uint8)[at[0] : at[-1]] if len(column) else np.zeros(0, np.uint8)
 
 
-def _confirm(percent: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            same = np.zeros(len(batch), bool)
-            for i, (a, b) in enumerate(zip(batch.column(2), batch.column(3))):
-                x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (a, b))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                same[i] = 100 * both >= percent * (len(x) + len(y) - both)
-            yield batch.select([0, 1]).filter(pa.array(same))
-
-    return compare
-
-
-def _verified(pairs: DataFrame, signed: DataFrame, sets: DataFrame, how: MinHash) -> DataFrame:
-    """The pairs (a, b) that are links: signatures first, then full sets."""
-    slim = signed.select("id", "signature")
-    near = (
-        pairs.join(slim.toDF("a", "one"), "a")
-        .join(slim.toDF("b", "two"), "b")
-        .select("a", "b", "one", "two")
-        .mapInArrow(_agree(how), "a long, b long")
-    )
-    near = settle(near, "near")
-    links = (
-        near.join(sets.toDF("a", "one"), "a")
-        .join(sets.toDF("b", "two"), "b")
-        .select("a", "b", "one", "two")
-        .mapInArrow(_confirm(how.percent), "a long, b long")
-    )
-    return settle(links, "links")
-
-
 def _neighbourhood(edges: DataFrame, small: bool) -> DataFrame:
     """One star step over edges (a > b): neighbours move to the least of the neighbourhood."""
     if small:
@@ -222,87 +185,88 @@ def near_duplicates(docs: DataFrame, how: MinHash = MinHash()) -> DataFrame:
     """
     base = settle(signatures(docs, how), "signed")
     solid = base.where("doc_id is not null and n_shingles > 0")
-    digest = ["sum1", "sum2", "n_shingles"]
-    least = solid.groupBy(*digest).agg(F.min("doc_id").alias("rep"), F.count("*").alias("copies"))
-    least = settle(least, "sets")
-    copies = settle(
-        solid.select("doc_id", *digest)
-        .join(least.where("copies > 1").drop("copies"), digest)
-        .where("doc_id != rep")
-        .select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-        .distinct(),
-        "copies",
-    )
-    signed = solid.join(least.select(F.col("rep").alias("doc_id"), *digest), ["doc_id", *digest])
-    signed = signed.dropDuplicates(["doc_id", *digest]).withColumn("id", F.xxhash64("doc_id", *digest))
-    signed = settle(signed, "distinct")
-
-    rows = signed.select("id", F.explode("bands").alias("key"))
-    bucket = rows.groupBy("key").agg(F.min("id").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
-    members = settle(rows.join(bucket, "key"), "buckets")
-    crowd = signed.join(members.select("id").distinct(), "id", "left_semi")
-    crowd = settle(crowd.drop("bands"), "crowd")
-    texts = docs.select("doc_id", "text").join(crowd.select("doc_id").distinct(), "doc_id", "left_semi")
-    sets = _sets(texts, how).join(crowd.select("id", "doc_id", *digest), ["doc_id", *digest])
-    sets = settle(sets.select("id", "members").dropDuplicates(["id"]), "members")
-    sizes = crowd.select("id", F.col("n_shingles").alias("size"))
-
-    star = members.where("id != leader").select(F.col("leader").alias("a"), F.col("id").alias("b")).distinct()
-    links = _verified(star, crowd, sets, how)
-    first = settle(components(links), "first")
-
-    root = F.coalesce("root", "id").alias("root")
-    labelled = members.join(first, "id", "left").select("key", "id", root)
-    torn = labelled.groupBy("key").agg(F.min("root").alias("x"), F.max("root").alias("y")).where("x != y")
-    open_ids = settle(labelled.join(torn.select("key"), "key", "left_semi").select("id", "root").distinct(), "open")
-    across = _rare_pairs(open_ids, sets, sizes, how)
-    more = _verified(across, crowd, sets, how)
-
-    names = crowd.select("id", "doc_id")
-    found = links.unionByName(more)
-    found = found.join(names.toDF("a", "one"), "a").join(names.toDF("b", "two"), "b")
-    found = found.select(F.col("one").alias("a"), F.col("two").alias("b"))
-    labels = components(found.unionByName(copies)).toDF("doc_id", "root")
-    component = F.coalesce("root", "doc_id")
-    return (
-        base.select("doc_id", "n_shingles")
-        .join(labels, "doc_id", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            component.alias("component_id"),
-            F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
-        )
+    links = settle(_links(docs, solid, how), "links")
+    spread = solid.groupBy("doc_id").agg(F.min("id").alias("b"), F.max("id").alias("last")).where("b != last")
+    same = solid.join(spread, "doc_id").select(F.col("id").alias("a"), "b")
+    roots = settle(components(links.unionByName(same)), "roots")
+
+    nodes = solid.select("doc_id", "id").join(roots, "id", "left")
+    nodes = nodes.select("doc_id", F.coalesce("root", "id").alias("root"))
+    crowds = settle(nodes.groupBy("root").agg(F.min("doc_id").alias("least"), F.count("*").alias("n")), "components")
+    known = base.select("doc_id", "n_shingles", "id").join(roots, "id", "left")
+    known = known.withColumn("root", F.when(F.col("doc_id").isNotNull() & (F.col("n_shingles") > 0), F.coalesce("root", "id")))
+    component = F.coalesce("least", "doc_id")
+    return known.join(crowds.where("n > 1"), "root", "left").select(
+        "doc_id",
+        "n_shingles",
+        F.when(F.col("doc_id").isNotNull(), component).alias("component_id"),
+        F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"),
     )
 
 
-def _rare_pairs(open_ids: DataFrame, sets: DataFrame, sizes: DataFrame, how: MinHash) -> DataFrame:
-    """Pairs of different components that share one of the rarest shingles of both."""
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for first in range(0, len(batch), 64):
-                part = batch.slice(first, 64)
-                values = text_bytes_of(part.column(2)).view(np.int64)
-                n = np.diff(np.frombuffer(part.column(2).buffers()[1], np.int32)[part.column(2).offset :][: len(part) + 1]) // 8
-                yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(np.repeat(part.column(i).to_numpy(), n)) for i in (0, 1)), pa.array(values)],
-                    names=["id", "root", "shingle"],
-                )
-
-    each = open_ids.join(sets, "id").select("id", "root", "members")
-    each = settle(each.mapInArrow(spread, "id long, root long, shingle long"), "shingles")
-    often = each.groupBy("shingle").agg(F.count("*").alias("often"), F.min("root").alias("x"), F.max("root").alias("y"))
-    ranked = each.join(often, "shingle").join(sizes, "id")
-    order = F.row_number().over(W.partitionBy("id").orderBy("often", "shingle"))
-    needed = F.col("size") - F.ceil(F.col("size") * how.percent / 100) + 1
-    rare = ranked.withColumn("rank", order).where((F.col("rank") <= needed) & (F.col("x") != F.col("y")))
-    rare = settle(rare.select("shingle", "id", "root", "size"), "rare")
-    other = rare.toDF("shingle", "id2", "root2", "size2")
-    alike: Column = F.least("size", "size2") * 100 >= F.greatest("size", "size2") * how.percent
-    return (
-        rare.join(other, "shingle")
-        .where((F.col("id") < F.col("id2")) & (F.col("root") != F.col("root2")) & alike)
-        .select(F.col("id").alias("a"), F.col("id2").alias("b"))
-        .distinct()
-    )
+def _links(docs: DataFrame, solid: DataFrame, how: MinHash) -> DataFrame:
+    """Links between nodes, enough of them to connect all that are linked: (a, b)."""
+    rows = solid.select(F.explode("bands").alias("key"), "id")
+    bucket = rows.groupBy("key").agg(F.min("id").alias("b"), F.max("id").alias("last")).where("b != last")
+    stars = rows.join(bucket.drop("last"), "key").where("id != b").select(F.col("id").alias("a"), "b").distinct()
+    linked = settle(components(settle(stars, "stars")).toDF("id", "cluster"), "clusters")
+    linked = linked.unionByName(linked.select(F.col("cluster").alias("id"), "cluster").distinct())
+    heads = solid.groupBy("id").agg(F.min("doc_id").alias("doc_id"), F.min("n_shingles").alias("size"))
+    place = heads.join(linked, "id")
+
+    upto = W.partitionBy("cluster").orderBy("size", "id").rowsBetween(W.unboundedPreceding, -1)
+    weight = F.greatest("size", F.lit(TILE // 1024))
+    place = settle(place.withColumn("tile", F.floor(F.coalesce(F.sum(weight).over(upto), F.lit(0)) / TILE)), "place")
+    tiles = place.groupBy("cluster", "tile").agg(F.min("size").alias("low"), F.max("size").alias("high"))
+    tiles = settle(tiles, "tiles")
+    other = tiles.select("cluster", F.col("tile").alias("two"), F.col("low").alias("low2"))
+    near = (F.col("tile") <= F.col("two")) & (F.col("high") * 100 >= F.col("low2") * how.percent)
+    meet = settle(tiles.join(other, "cluster").where(near).select("cluster", F.col("tile").alias("one"), "two"), "meet")
+    seats = meet.withColumn("tile", F.col("one")).unionByName(meet.where("one != two").withColumn("tile", F.col("two")))
+    seats = settle(place.join(seats, ["cluster", "tile"]).select("cluster", "one", "two", "tile", "id", "doc_id"), "seats")
+
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
+    texts = texts.join(seats, "doc_id")
+    copy = F.row_number().over(W.partitionBy("doc_id", "id", "one", "two", F.xxhash64("text")).orderBy(F.lit(0)))
+    texts = texts.withColumn("copy", copy).where("copy = 1")  # a row that repeats id and text
+    full = texts.select("cluster", "one", "two", "tile", "id", "text").mapInArrow(_setter(how), _SEAT)
+    full = full.where(F.col("id") == _node()).drop("n_shingles", "sum1", "sum2")
+    return full.groupBy("cluster", "one", "two").applyInArrow(_forest(how), "a long, b long")
+
+
+def _forest(how: MinHash) -> Callable[[pa.Table], pa.Table]:
+    """Compares the texts of two tiles (or of one with itself); links that join components."""
+    width, least, percent = how.bands * how.rows, how.least_matches, how.percent
+
+    def join_up(rows: pa.Table) -> pa.Table:
+        rows = rows.combine_chunks()
+        column = lambda name: rows.column(name).combine_chunks()
+        ids, root = column("id").to_numpy(), np.arange(len(rows))
+        second = column("tile").to_numpy() != column("one").to_numpy()
+        signature = text_bytes_of(column("signature")).reshape(-1, width)
+        values = text_bytes_of(column("members")).view(np.uint64)
+        known, number = np.unique(values, return_inverse=True)
+        sizes = np.array([len(m.as_buffer()) // 8 for m in column("members")], np.int64)
+        ends = np.cumsum(sizes)
+        mark, links = np.zeros(len(known), np.int64), []
+        two = second.any()
+        for i in np.flatnonzero(~second):
+            fellows = np.flatnonzero(second) if two else np.arange(i + 1, len(ids))
+            fellows = fellows[root[fellows] != root[i]]
+            small, large = np.minimum(sizes[fellows], sizes[i]), np.maximum(sizes[fellows], sizes[i])
+            fellows = fellows[small * 100 >= large * percent]
+            fellows = fellows[(signature[fellows] == signature[i]).sum(axis=1) >= least]
+            if not len(fellows):
+                continue
+            own = number[ends[i] - sizes[i] : ends[i]]
+            mark[own] = 1
+            both = np.array([mark[number[ends[j] - sizes[j] : ends[j]]].sum() for j in fellows])
+            mark[own] = 0
+            for j in fellows[100 * both >= percent * (sizes[i] + sizes[fellows] - both)]:
+                if root[j] != root[i]:
+                    links.append((ids[i], ids[j]))
+                    root[root == root[j]] = root[i]
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return join_up
