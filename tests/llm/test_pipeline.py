@@ -11,6 +11,7 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
 
 import corpus_pipeline  # noqa: E402
+from texts import table  # noqa: E402
 from test_fertility import counts  # noqa: E402
 from test_minhash import groups  # noqa: E402
 from test_rans import whole_text_ids  # noqa: E402
@@ -19,8 +20,6 @@ from test_winnow import brute, planted  # noqa: E402
 
 @pytest.fixture(scope="module")
 def folder(spark, awkward_rows, tmp_path_factory):
-    from conftest import table
-
     docs, items = planted(awkward_rows)
     where = tmp_path_factory.mktemp("tables")
     table(spark, docs).write.parquet(f"{where}/documents.parquet")

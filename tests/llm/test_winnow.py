@@ -4,7 +4,8 @@ import hashlib
 import random
 import re
 
-from conftest import SYLLABLES, prose, table
+from texts import SYLLABLES, prose, table
+
 from reviewloom.llm import winnow
 
 
