@@ -27,7 +27,7 @@ def test_entry(spark):
     assert entry.entry(spark).count() == 5
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry._CASES))
 def test_query(spark, oracle, name, capsys):
     df = entry.queries()[name](spark, FOLDER)
     df.explain()
