@@ -26,7 +26,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFr
     gone = verdicts.where(~F.col("kept")).select(F.col("doc_id").alias("__id")).distinct()
     repeated = verdicts.where("kept and doc_id is not null").groupBy(F.col("doc_id").alias("__id"))
     repeated = repeated.count().where("count > 1").select("__id")
-    single = docs.join(gone.unionByName(repeated), F.col("doc_id") == F.col("__id"), "left_anti")
+    out = gone.unionByName(repeated).hint("merge")  # grows with the corpus: not to be broadcast
+    single = docs.join(out, F.col("doc_id") == F.col("__id"), "left_anti")
     again = docs.join(repeated, F.col("doc_id") == F.col("__id"), "left_semi")
     return single.unionByName(again.dropDuplicates(["doc_id", "text"]))
 
