@@ -95,7 +95,7 @@ def shared_passages(docs: DataFrame, passages: DataFrame, gram: int = GRAM) -> D
     keyed = _keyed(docs)
     prints = settle(_prints(passages, gram), "prints")
     chosen = _with_least(keyed.where(F.size("words") >= SIZE), gram)
-    chosen = chosen.select("k1", "k2", F.size("least").alias("n"), "least", _turns(F.col("least")).alias("turns"))
+    chosen = chosen.select("k1", "k2", "words", F.size("least").alias("n"), "least", _turns(F.col("least")).alias("turns"))
     run = F.transform(
         "turns",
         lambda first, j: F.struct(
@@ -104,7 +104,7 @@ def shared_passages(docs: DataFrame, passages: DataFrame, gram: int = GRAM) -> D
             F.coalesce(F.get("turns", j + 1), F.col("n")).alias("stop"),
         ),
     )
-    places = chosen.select("k1", "k2", F.lit(SIZE).alias("size"), F.inline(run))
+    places = chosen.select("k1", "k2", "words", F.lit(SIZE).alias("size"), F.inline(run))
     short = [r[0] for r in passages.where(F.col("size") < SIZE).select("size").distinct().collect()]  # nine at most
     for size in short:
         each = keyed.where(F.size("words") >= size)
@@ -114,15 +114,16 @@ def shared_passages(docs: DataFrame, passages: DataFrame, gram: int = GRAM) -> D
                 _whole_hash(F.slice("words", i, size)).alias("print"), (i - 1).alias("first"), i.alias("stop")
             ),
         )
-        places = places.unionByName(each.select("k1", "k2", F.lit(size).alias("size"), F.inline(windows)))
+        places = places.unionByName(each.select("k1", "k2", "words", F.lit(size).alias("size"), F.inline(windows)))
+    # Each place takes along the words of its passages, so that no text is read twice. Where
+    # the fingerprints of the benchmark are small enough to broadcast, Spark puts these words
+    # together only after a fingerprint has matched.
+    span = F.array_join(F.slice("words", F.col("first") + 1, F.col("stop") - F.col("first") + F.col("size") - 1), " ")
+    places = places.select("k1", "k2", "size", "print", "first", (F.col("stop") - F.col("first")).alias("n"), span.alias("span"))
     near = places.join(prints, ["size", "print"], "left_semi")
-    near = near.groupBy("k1", "k2").agg(F.collect_set(F.struct("size", "first", "stop")).alias("runs"))
-
-    found = keyed.join(settle(near, "near"), ["k1", "k2"])
-    found = found.select("k1", "k2", "words", F.inline("runs"))
-    found = found.select("k1", "k2", "words", "size", F.explode(F.sequence("first", F.col("stop") - 1)).alias("at"))
-    passage = F.array_join(F.slice("words", F.col("at") + 1, F.col("size")), " ").alias("passage")
-    hits = found.select("k1", "k2", "size", "at", passage)
+    found = near.select("k1", "k2", "size", "first", F.split("span", " ").alias("words"), F.explode(F.sequence(F.lit(1), "n")).alias("i"))
+    passage = F.array_join(F.slice("words", "i", F.col("size")), " ").alias("passage")
+    hits = found.select("k1", "k2", "size", (F.col("first") + F.col("i") - 1).alias("at"), passage)
     hits = hits.join(passages.select("size", "passage").distinct(), ["size", "passage"], "left_semi").distinct()
     return settle(hits, "hits")
 
