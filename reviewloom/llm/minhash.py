@@ -225,8 +225,9 @@ def _links(docs: DataFrame, solid: DataFrame, how: MinHash) -> DataFrame:
     seats = meet.withColumn("tile", F.col("one")).unionByName(meet.where("one != two").withColumn("tile", F.col("two")))
     seats = settle(place.join(seats, ["cluster", "tile"]).select("cluster", "one", "two", "tile", "id", "doc_id"), "seats")
 
+    # Seats grow with the corpus: they are never broadcast, whatever their size here.
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
-    texts = texts.join(seats, "doc_id")
+    texts = texts.join(seats.hint("merge"), "doc_id")
     copy = F.row_number().over(W.partitionBy("doc_id", "id", "one", "two", F.xxhash64("text")).orderBy(F.lit(0)))
     texts = texts.withColumn("copy", copy).where("copy = 1")  # a row that repeats id and text
     full = texts.select("cluster", "one", "two", "tile", "id", "text").mapInArrow(_setter(how), _SEAT)
