@@ -2,8 +2,9 @@
 
 A public vocabulary is measured on each text: characters per token, the share of tokens
 that fall back to single bytes, and the entropy of the token distribution. Ordinary prose
-of a script lies in a band of each; texts outside a band are rejected. A few plain counts
-(words, symbols, repeated lines and words) come with it.
+of a language lies in a band of each; texts outside a band are rejected. The bands come
+from the quartiles of all texts of a language, inside wide fixed bands per script. A few
+plain counts (words, symbols, repeated lines and words) come with it.
 """
 
 from __future__ import annotations
@@ -12,13 +13,15 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewloom.llm import wordids
 from reviewloom.llm.common import SPACE, hash_spans, mix, pieces, text_bytes, windows, word_spans
 from reviewloom.shipping import ship
+from reviewloom.staging import settle
 
 MIN_WORDS, MAX_REPEATED = 50, 50  # below so many words, or above so many percent in repeats: rejected
+FENCE, LEAST = 1.5, 100  # quartile ranges a text may lie off the quartiles; texts that a learnt band needs
 
 # Fixed values. Bands per script: least and most characters per token, most share of byte
 # tokens, least entropy of tokens in bits.
@@ -47,8 +50,8 @@ for _name, _first, _last in (
 _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(SYMBOLS)] = True
 
-SCHEMA = (
-    "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
+MEASURES = (
+    "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
     "n_tokens long, n_byte_tokens long, chars_per_token double, byte_share double, entropy double, script string, "
     "base_failed boolean, kept boolean"
 )
@@ -129,47 +132,98 @@ def _judge(m: dict, bands: dict[str, tuple[float, float, float, float]]) -> dict
     return m
 
 
-def _rules(path: str, bands: dict) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    names = [c.split()[0] for c in SCHEMA.split(", ")]
+def _measured(docs: DataFrame, path: str, bands: dict) -> DataFrame:
+    """``docs`` with its measures and the verdict of ``bands`` as a last column, the struct ``__measures``."""
+    ship(docs.sparkSession)
+    at = docs.columns.index("text")
+    fields = MEASURES.split(", ")
+    names = [f.split()[0] for f in fields]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory, is_byte = wordids.pieces_with_bytes(path)
         for batch in batches:
-            data, offsets = text_bytes(batch.column(1))
+            data, offsets = text_bytes(batch.column(at))
             for first, last in pieces(offsets, 1 << 22):
                 low = offsets[first]
                 found = _judge(measure(data[low : offsets[last]], offsets[first : last + 1] - low, memory, is_byte), bands)
-                rest = [pa.array(found[c]) for c in names[1:]]
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), *rest], names=names)
+                measures = pa.StructArray.from_arrays([pa.array(found[c]) for c in names], names)
+                part = batch.slice(first, last - first)
+                yield pa.RecordBatch.from_arrays([*part.columns, measures], names=[*batch.schema.names, "__measures"])
 
-    return run
+    struct = ", ".join(f.replace(" ", ": ") for f in fields)
+    schema = docs.withColumn("__measures", F.lit(None).cast(f"struct<{struct}>")).schema
+    return docs.mapInArrow(run, schema)
 
 
-def fertility(docs: DataFrame, path: str, bands: dict[str, tuple[float, float, float, float]] = BANDS) -> DataFrame:
-    """Counts, fertility measures and verdict of each text: one row per input row.
+def learn_bands(measured: DataFrame) -> DataFrame:
+    """Bands by script and ``__lang``, from the quartiles of the texts that pass the base rule.
 
-    ``path`` names the vocabulary file on every executor. Null and empty texts have no
-    words and are rejected; texts without letters count as ``latin``. A null doc_id stays
-    null, equal rows get equal results, an empty table gives an empty result, and other
-    columns are ignored.
+    A band ends ``FENCE`` quartile ranges off the quartiles (values to three decimals, so
+    that the aggregation holds few of them). Where the quartiles agree there is no spread to
+    learn from, and groups of fewer than ``LEAST`` texts are left out: the fixed bands hold.
     """
-    ship(docs.sparkSession)
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return rows.mapInArrow(_rules(path, bands), SCHEMA)
+    m = measured.where("not __measures.base_failed").select("__lang", "__measures.*")
+    quartiles = [
+        F.percentile(F.round(c, 3), [0.25, 0.75]).alias(c) for c in ("chars_per_token", "byte_share", "entropy")
+    ]
+    found = m.groupBy("script", "__lang").agg(F.count("*").alias("n"), *quartiles).where(F.col("n") >= LEAST)
 
+    def end(name: str, upper: int) -> Column:
+        low, high = F.get(name, F.lit(0)), F.get(name, F.lit(1))
+        return F.when(high > low, high + FENCE * (high - low) if upper else low - FENCE * (high - low))
 
-def keep_fertile(docs: DataFrame, path: str, bands: dict[str, tuple[float, float, float, float]] = BANDS) -> DataFrame:
-    """The rows of ``docs`` whose text passes, all columns as they are; nothing is shuffled."""
-    ship(docs.sparkSession)
-    at = docs.columns.index("text")
+    bands = found.select(
+        F.col("script").alias("__of"), F.col("__lang").alias("__in"), end("chars_per_token", 0).alias("__low"),
+        end("chars_per_token", 1).alias("__high"), end("byte_share", 1).alias("__bytes"), end("entropy", 0).alias("__bits"),
+    )
+    return settle(bands, "bands")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, is_byte = wordids.pieces_with_bytes(path)
-        for batch in batches:
-            data, offsets = text_bytes(batch.column(at))
-            for first, last in pieces(offsets, 1 << 22):
-                low = offsets[first]
-                found = _judge(measure(data[low : offsets[last]], offsets[first : last + 1] - low, memory, is_byte), bands)
-                yield batch.slice(first, last - first).filter(pa.array(found["kept"]))
 
-    return docs.mapInArrow(run, docs.schema)
+def _inside(measured: DataFrame, bands: DataFrame) -> DataFrame:
+    """``measured`` with the verdict of fixed and learnt bands as ``__kept``."""
+    m = "__measures."
+    out = (F.col(m + "chars_per_token") < F.col("__low")) | (F.col(m + "chars_per_token") > F.col("__high"))
+    out = F.coalesce(out, F.lit(False)) | F.coalesce(F.col(m + "byte_share") > F.col("__bytes"), F.lit(False))
+    out = out | F.coalesce(F.col(m + "entropy") < F.col("__bits"), F.lit(False))
+    same = (F.col(m + "script") == F.col("__of")) & F.col("__lang").eqNullSafe(F.col("__in"))
+    return measured.join(bands, same, "left").withColumn("__kept", F.col(m + "kept") & ~out)
+
+
+def _language(docs: DataFrame) -> Column:
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    return lang.alias("__lang")
+
+
+def fertility(
+    docs: DataFrame, path: str, bands: dict[str, tuple[float, float, float, float]] | None = None
+) -> DataFrame:
+    """Counts, fertility measures and verdict of each text: one row per input row.
+
+    ``path`` names the vocabulary file on every executor. Without ``bands`` they are learnt
+    per script and ``lang`` (null, or no such column: a language of its own) from all texts,
+    inside ``BANDS``. Null and empty texts have no words and are rejected; texts without
+    letters count as ``latin``. A null doc_id stays null, equal rows get equal results, an
+    empty table gives an empty result, and other columns are ignored.
+    """
+    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _language(docs))
+    measured = _measured(rows, path, bands or BANDS).drop("text")
+    kept = F.col("__measures.kept")
+    if bands is None:
+        measured = settle(measured, "measures")
+        measured, kept = _inside(measured, learn_bands(measured)), F.col("__kept")
+    return measured.select("doc_id", "__measures.*", kept.alias("__kept")).withColumn("kept", F.col("__kept")).drop("__kept")
+
+
+def keep_fertile(
+    docs: DataFrame, path: str, bands: dict[str, tuple[float, float, float, float]] | None = None
+) -> DataFrame:
+    """The rows of ``docs`` whose text passes, all columns as they are; no text is shuffled.
+
+    Without ``bands`` the texts are measured twice: to learn the bands, and to judge.
+    """
+    rows = docs.select("*", _language(docs))
+    if bands is None:
+        narrow = docs.select(F.col("text").cast("string"), _language(docs))
+        measured = _inside(_measured(rows, path, BANDS), learn_bands(_measured(narrow, path, BANDS).drop("text")))
+        return measured.where("__kept").select(*docs.columns)
+    return _measured(rows, path, bands).where("__measures.kept").select(*docs.columns)

@@ -59,5 +59,26 @@ def test_bands_reject(spark):
     assert kept[1] and not kept[2] and not kept[3]
 
 
+def test_bands_are_learnt_per_language(spark):
+    rng = random.Random(2)
+    sounds = {"aa": "ing ter the ate ment con pro ous ist able per dis".split(), "bb": "ung ver ich sch gen ein lich keit heit zu auf mit".split()}
+    rows = []
+    for i in range(400):
+        lang = "ab"[i % 2] * 2
+        words = ["".join(rng.choice(sounds[lang]) for _ in range(rng.randrange(1, 5))) for _ in range(rng.randrange(150, 200))]
+        junk = i % 40 < 2  # marks stuck on words, as many in either language
+        rows.append((i, " ".join(w + "#" * junk for w in words), lang, "clash"))
+    rows.append((400, rows[0][1].replace("#", ""), "zz", "clash"))  # too few of a language to learn from
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, script string")
+    fixed = {r["doc_id"]: r["kept"] for r in fertility.fertility(docs, PATH, fertility.BANDS).collect()}
+    assert all(fixed.values())  # the fixed bands reject nothing
+    learnt = {r["doc_id"]: r["kept"] for r in fertility.fertility(docs, PATH).collect()}
+    assert not any(learnt[i] for i in range(400) if i % 40 < 2) and learnt[400]
+    assert sum(learnt[i] for i in range(400) if i % 40 >= 2) > 0.95 * 380
+    through = fertility.keep_fertile(docs, PATH)
+    assert through.columns == docs.columns
+    assert sorted(r["doc_id"] for r in through.collect()) == sorted(i for i in learnt if learnt[i])
+
+
 def test_empty_table(nothing):
     assert fertility.fertility(nothing, PATH).collect() == []
