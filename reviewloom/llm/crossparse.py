@@ -19,10 +19,10 @@ from reviewloom.staging import settle
 
 TRAIN_ROWS, TRAIN_CHARS = 200, 20_000  # training texts and characters per language, at most
 STRETCH = 512  # characters parsed in a row
-LETTERS = 62  # letters of a language's alphabet at most: the most frequent of its training text
+DENSE = 62  # letters of a language, the most frequent first, whose transitions are a plain table
 LANES = 4096
 UNKNOWN = "und"
-_PAD, _OTHER, _GAP = 0, 1, 2  # codes: after the end, a letter outside the alphabet, anything else
+_PAD, _OTHER, _GAP = 0, 1, 2  # codes: after the end, a letter the language has never seen, anything else
 
 
 def _symbols(text: str) -> np.ndarray:
@@ -35,7 +35,7 @@ def _symbols(text: str) -> np.ndarray:
     return points[keep]
 
 
-_WIDE = 0x32000  # letters end below
+_WIDE = 0x34000  # letters end below
 _is_letter: list[np.ndarray] = []
 
 
@@ -45,8 +45,8 @@ def _letters() -> np.ndarray:
     return _is_letter[0]
 
 
-def suffix_automaton(codes: list[int], width: int) -> np.ndarray:
-    """Transitions of the suffix automaton of ``codes``: one row per state, -1 where none."""
+def suffix_automaton(codes: list[int]) -> list[dict[int, int]]:
+    """Transitions of the suffix automaton of ``codes``: the next state by code, for each state."""
     step: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes:
@@ -72,37 +72,63 @@ def suffix_automaton(codes: list[int], width: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = copy
         last = new
-    table = np.full((len(step), width), -1, np.int32)
-    for state, row in enumerate(step):
-        table[state, list(row.keys())] = list(row.values())
-    return table
+    return step
 
 
 class Language:
-    """A language's alphabet and automaton."""
+    """A language's alphabet, every letter of its training text, and automaton.
+
+    Codes run from the most frequent letter to the rarest. Transitions by the first ``DENSE``
+    letters are a plain table; those by rarer ones are few and lie sorted by state and code.
+    """
 
     def __init__(self, text: str):
         symbols = _symbols(text)
         kinds, counts = np.unique(symbols[symbols > 0], return_counts=True)
-        self.alphabet = np.sort(kinds[np.argsort(-counts, kind="stable")[:LETTERS]])
-        self.table = suffix_automaton(self.codes(symbols).tolist(), LETTERS + 3)
-        self.table = np.vstack([self.table, np.full(self.table.shape[1], -1, np.int32)])
-        self.end = len(self.table) - 1  # where a finished stretch stays
+        self.alphabet = kinds
+        self.rank = np.empty(len(kinds), np.int64)
+        self.rank[np.argsort(-counts, kind="stable")] = np.arange(len(kinds)) + 3
+        self.width = min(len(kinds), DENSE) + 3
+        step = suffix_automaton(self.codes(symbols).tolist())
+        self.end = len(step)  # where a finished stretch stays
+        self.table = np.full((self.end + 1, self.width), -1, np.int32)
+        self.kinds = len(kinds) + 3
+        rare = []
+        for state, row in enumerate(step):
+            for code, to in row.items():
+                if code < self.width:
+                    self.table[state, code] = to
+                else:
+                    rare.append((state * self.kinds + code, to))
         self.table[:, _PAD] = self.end
+        self.rare_keys, self.rare_to = np.array(sorted(rare), np.int64).reshape(-1, 2).T.copy()
 
     def codes(self, symbols: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.alphabet, symbols), max(len(self.alphabet) - 1, 0))
         known = self.alphabet[at] == symbols if len(self.alphabet) else np.zeros(len(symbols), bool)
-        return np.where(symbols == 0, _GAP, np.where(known, at + 3, _OTHER)).astype(np.uint8)
+        code = self.rank[at] if len(self.alphabet) else at
+        kind = np.uint8 if len(self.alphabet) + 3 <= 256 else np.int32
+        return np.where(symbols == 0, _GAP, np.where(known, code, _OTHER)).astype(kind)
+
+    def follow(self, state: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """The next state of each lane, -1 where the language knows none."""
+        if not len(self.rare_keys):
+            return self.table.ravel()[state * self.width + codes]
+        rare = codes >= self.width
+        to = self.table.ravel()[state * self.width + np.where(rare, _OTHER, codes)]
+        if rare.any():
+            key = state[rare] * self.kinds + codes[rare]
+            at = np.minimum(np.searchsorted(self.rare_keys, key), len(self.rare_keys) - 1)
+            to[rare] = np.where(self.rare_keys[at] == key, self.rare_to[at], -1)
+        return to
 
     def phrases(self, stretches: np.ndarray) -> np.ndarray:
         """Phrases of each column of codes: longest matches, one after the other."""
-        flat, width = self.table.ravel(), self.table.shape[1]
-        root = self.table[0]
         state = np.zeros(stretches.shape[1], np.int64)
         count = np.zeros(stretches.shape[1], np.int64)
+        root = self.follow(np.zeros(self.kinds, np.int64), np.arange(self.kinds))
         for codes in stretches:
-            follow = flat[state * width + codes]
+            follow = self.follow(state, codes)
             stuck = follow < 0
             # A phrase begins at the root and where the last one cannot go on. A symbol
             # that the language lacks is a phrase of its own.

@@ -45,6 +45,43 @@ def test_stretches_side_by_side_count_alone():
     assert model.phrases(wide).tolist() == [model.phrases(r[:, None])[0] for r in rows]
 
 
+@settings(max_examples=20, deadline=None)
+@given(st.integers(0, 10**6), st.integers(70, 600))
+def test_phrases_of_a_large_alphabet(seed, letters):
+    rng = random.Random(seed)
+
+    def say_many(n: int) -> str:
+        return "".join(rng.choice(" a" + chr(0x4E00 + int(letters * rng.random() ** 2))) for _ in range(n))
+
+    train, text = say_many(3000), say_many(300) + "Жñ"
+    model = crossparse.Language(train)
+    codes, learnt = model.codes(crossparse._symbols(text)), model.codes(crossparse._symbols(train))
+    # one Unicode letter per code, so that searching cannot begin inside one
+    as_text = lambda c: "".join(chr(0x100 + i) for i in c.tolist())
+    assert model.phrases(codes[:, None])[0] == phrases(as_text(codes), as_text(learnt))
+    assert set(codes[-2:].tolist()) == {crossparse._OTHER} and crossparse._OTHER not in learnt
+
+
+def test_a_large_alphabet_takes_no_foreign_text():
+    rng = random.Random(9)
+    alphabets = {"aa": "etaoinshrdlucm", "bb": "enisratdhulcgm", "cc": "оеаинтсрвлкмдп"}
+    spelt = {k: ["".join(rng.choice(v) for _ in range(rng.randrange(2, 9))) for _ in range(2000)] for k, v in alphabets.items()}
+    zipf = [1 / (i + 10) for i in range(2500)]
+
+    def write(lang: str, n: int) -> str:
+        if lang == "zh":
+            words = ("".join(chr(0x4E00 + i) for i in rng.choices(range(2500), zipf, k=rng.randrange(2, 12))) for _ in range(n))
+            return "，".join(words)
+        return " ".join(rng.choice(spelt[lang]) for _ in range(n))
+
+    models = {lang: crossparse.Language(write(lang, 4000)[:20_000]) for lang in [*alphabets, "zh"]}
+    for lang in models:
+        for _ in range(10):
+            symbols = crossparse._symbols(write(lang, 60))
+            cost = {k: int(m.phrases(m.codes(symbols)[:, None])[0]) for k, m in models.items()}
+            assert min(cost, key=cost.get) == lang
+
+
 def test_languages_are_told_apart(spark, awkward, awkward_rows):
     rng = random.Random(4)
     rows = [(1000 + i, say(rng, lang), lang) for i in range(60) for lang in [sorted(SOUNDS)[i % 3]]]
