@@ -22,7 +22,7 @@ RULES = (
     ("com", "/de/", "block"),
 )
 LABEL = "label:block"
-SUPPORT, PRIOR, TOKENS = 0.01, 10, 2  # least share of labelled pages; doubt; tokens of a rule at most
+SUPPORT, PRIOR = 0.01, 10  # least share of labelled pages; doubt
 
 
 def address(url: Column) -> tuple[Column, Column, Column]:
@@ -64,8 +64,8 @@ def mined_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, p
 
     A page is bad where the label row of its id says toxic or low quality. A set of n
     labelled pages, b of them bad, becomes a rule if b reaches ``support`` of all labelled
-    pages and b / (n + prior) reaches one half; a pair is dropped where one of its tokens is
-    a rule already.
+    pages and b / (n + prior) reaches one half, whatever its size; it is dropped where some of
+    its tokens are a rule already.
     """
     bad = (F.coalesce(F.col("toxic"), F.lit(0)) == 1) | (F.coalesce(F.col("quality"), F.lit(1)) == 0)
     marked = labels.groupBy(F.col("doc_id").alias("page_id")).agg(F.max(bad.cast("int")).alias("bad"))
@@ -73,15 +73,27 @@ def mined_rules(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, p
     items = F.when(F.col("bad") == 1, F.array_append("tokens", F.lit(LABEL))).otherwise(F.col("tokens"))
     baskets = settle(rows.select(items.alias("items")).where(F.size("items") > 0), "baskets")
     found = FPGrowth(itemsCol="items", minSupport=support).fit(baskets).freqItemsets
-    found = settle(found.where(F.size("items") <= TOKENS + 1), "itemsets")
+    found = settle(found, "itemsets")
     sets = found.select(F.array_sort("items").alias("set"), "freq")
     with_label = sets.where(F.array_contains("set", LABEL) & (F.size("set") > 1))
     with_label = with_label.select(F.array_remove("set", LABEL).alias("set"), F.col("freq").alias("bad"))
     rules = sets.join(with_label, "set").where(F.col("bad") * 2 >= F.col("freq") + prior).select("set")
-    single = rules.where(F.size("set") == 1).select(F.get("set", F.lit(0)).alias("token"))
-    each = rules.select(F.array_join("set", "\n").alias("rule"), F.size("set").alias("n"), F.explode("set").alias("token"))
-    larger = each.join(single, "token", "left_semi").where("n > 1").select("rule").distinct()
-    return settle(each.join(larger, "rule", "left_anti"), "rules")
+    kept = _least_sets(rules)
+    return settle(kept.select(F.array_join("set", "\n").alias("rule"), F.size("set").alias("n"), F.explode("set").alias("token")), "rules")
+
+
+def _least_sets(sets: DataFrame) -> DataFrame:
+    """The token sets (set) that hold no other, found size by size from the smallest."""
+    rest = settle(sets.withColumn("n", F.size("set")), "candidates")
+    kept = rest.where("1 = 0")
+    while (n := rest.agg(F.min("n")).first()[0]) is not None:
+        least, larger = rest.where(F.col("n") == n), rest.where(F.col("n") > n)
+        kept = kept.unionByName(least)
+        part = least.select(F.get("set", F.lit(0)).alias("token"), F.col("set").alias("part"))
+        each = larger.select("set", F.explode("set").alias("token"))
+        within = (each["token"] == part["token"]) & (F.size(F.array_except("part", "set")) == 0)
+        rest = settle(larger.join(each.join(part, within, "left_semi").select("set"), "set", "left_anti"), "candidates")
+    return kept.select("set")
 
 
 def judge_urls(pages: DataFrame, labels: DataFrame, support: float = SUPPORT, prior: int = PRIOR) -> DataFrame:

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import itertools
+import random
 import re
 
 from reviewloom.llm import urlrules
@@ -52,5 +54,32 @@ def test_pairs_fire_only_together(spark):
     assert got == {i: "block" if i % 4 == 1 else "allow" for i in range(200)}
 
 
+def test_triples_fire_only_together(spark):
+    urls = [f"http://{'aa' if i % 2 else 'bb'}.net/{'x' if i // 2 % 2 else 'y'}?{'q' if i // 4 % 2 else 'r'}=1" for i in range(400)]
+    marks = [(i, 1, int(i % 8 == 7)) for i in range(320)]  # any two of the three tokens: half of the pages are clean
+    got = {r["page_id"]: r["verdict"] for r in urlrules.judge_urls(frame(spark, enumerate(urls)), labels(spark, marks)).collect()}
+    assert got == {i: "block" if i % 8 == 7 else "allow" for i in range(400)}
+
+
+def test_rules_of_any_size_against_all_subsets(spark):
+    rng = random.Random(7)
+    bags = [[t for t in "abcdef" if rng.random() < 0.4] for _ in range(4000)]
+    bad = [int({"a", "b", "c", "d"} <= set(b) or {"e", "f"} <= set(b) and rng.random() < 0.7) for b in bags]
+    counts: dict = {}
+    for bag, b in zip(bags, bad):
+        for k in range(1, len(bag) + 1):
+            for part in itertools.combinations(bag, k):
+                n, m = counts.get(part, (0, 0))
+                counts[part] = (n + 1, m + b)
+    least = 0.01 * sum(bool(bag) or b for bag, b in zip(bags, bad))
+    rules = {part for part, (n, b) in counts.items() if b >= least and 2 * b >= n + 10}
+    least_rules = {r for r in rules if not any(set(q) < set(r) for q in rules)}
+    pages = spark.createDataFrame(list(enumerate(bags)), "page_id long, tokens array<string>")
+    got = urlrules.mined_rules(pages, labels(spark, [(i, 1, b) for i, b in enumerate(bad)])).collect()
+    found = {tuple(r["rule"].split("\n")) for r in got}
+    assert found == least_rules and ("a", "b", "c", "d") in found and ("e", "f") in found
+    assert all(r["n"] == len(r["rule"].split("\n")) for r in got)
+
+
 def test_empty_tables(spark):
     assert urlrules.judge_urls(frame(spark, [(1, None)]).where("1 = 0"), labels(spark, [])).collect() == []
