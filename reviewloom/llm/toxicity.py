@@ -22,15 +22,17 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window as W, functions as F
 
-from reviewloom.llm.common import hash_spans, pieces, text_bytes, word_spans
+from reviewloom.llm.common import hash_spans, mix, pieces, text_bytes, word_spans
 from reviewloom.shipping import ship
 from reviewloom.staging import settle
 
 TRAIN_ROWS, CALIBRATION = 2000, 400  # labelled texts of each class to learn from and to scale with, at most
 LANDMARKS, NEGATIVES = 96, 800  # ordinary words among the landmarks; clean words to train on
+HARD_ROUNDS, HARD = 3, 300  # fits with the clean words that the last one took for telling; such words a fit
 DECAY = 0.7  # weight of each letter a subsequence spans
 WINDOW = 16  # letters compared at once; longer words are cut into overlapping windows
-RATIO, SHARE = 12.0, 0.05  # least likelihood ratio of a telling word, and its share of the greatest
+RATIO, SURE = 12.0, 24.0  # least likelihood ratio of a telling word and its stem; of a stem that tells alone
+MINIMA, ALIKE = 64, 0.8  # size of a sketch of a text; share of it that near copies have in common
 PRIOR = 0.1  # share of toxic texts that the probability assumes
 MEMORY = 500_000  # words remembered per task
 _KINDS = 40
@@ -141,32 +143,74 @@ def _sentences(text: str) -> list[str]:
     return [s for s in re.split(r"[.!?\n]+", text) if s.strip()]
 
 
-def unlike_texts(texts: list[str]) -> list[int]:
-    """Numbers of the texts whose two least hashed words are not those of an earlier one: near copies go."""
-    seen: dict[tuple[int, ...], int] = {}
+def unlike_texts(texts: list[str], toxic: list[int]) -> list[int]:
+    """Numbers of the texts that are no near copy of an earlier one with the same label.
+
+    Near copies agree in ``ALIKE`` of ``MINIMA`` minima over their pairs of words.
+    """
+    salts = np.random.default_rng(5).integers(1, 2**63, MINIMA, dtype=np.uint64)
+    sketches = np.zeros((len(texts), MINIMA), np.uint64)
     for i, text in enumerate(texts):
-        seen.setdefault(tuple(sorted({zlib.crc32(w) for w in text.lower().encode().split()})[:2]), i)
-    return list(seen.values())
+        words = text.lower().encode().split()
+        pairs = {zlib.crc32(b" ".join(words[j : j + 2])) for j in range(max(1, len(words) - 1))}
+        shingles = np.fromiter(pairs, np.uint64, len(pairs))
+        for first in range(0, len(shingles), 4096):
+            least = mix(shingles[first : first + 4096, None] ^ salts).min(axis=0)
+            sketches[i] = least if not first else np.minimum(sketches[i], least)
+    kept: list[int] = []
+    for kind in (0, 1):
+        rows = np.flatnonzero(np.array(toxic, int) == kind)
+        gone = np.zeros(len(rows), bool)
+        for at, i in enumerate(rows):
+            if not gone[at]:
+                gone[at + 1 :] |= (sketches[rows[at + 1 :]] == sketches[i]).mean(axis=1) >= ALIKE
+        kept += rows[~gone].tolist()
+    return sorted(kept)
+
+
+def stems(word: bytes) -> list[bytes]:
+    """Beginnings of a word that its forms share: at least half of it and four letters, not all of it."""
+    text = word.decode("utf-8", "replace")
+    return [text[:n].encode() for n in range(max(4, (len(text) + 1) // 2), len(text))] or [word]
 
 
 def telling_words(toxic: list[set[bytes]], clean: list[set[bytes]]) -> list[bytes]:
     """Words whose texts are toxic far beyond chance, by the likelihood ratio of their counts.
 
-    A word needs a ratio of ``RATIO`` and ``SHARE`` of that of the most telling word, which
-    leaves out words that only a few copies of a text tell.
+    The counts of a word and those of its best stem, pooled over all words that begin with
+    it, both must reach ``RATIO``, or the stem alone ``SURE`` if the word itself is more toxic
+    than not. A chance word mostly has clean relatives; an insult's forms, each rare, add up.
     """
     if not toxic or not clean:
         return []
     often, usual = (Counter(w for words in kind for w in words) for kind in (toxic, clean))
     words = [w for w, n in often.items() if n >= 3 and len(letters(w)) >= 3]
-    hit = np.array([often[w] for w in words], float)
-    miss = np.array([usual[w] for w in words], float)
     share = len(toxic) / (len(toxic) + len(clean))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        ratio = 2 * (hit * np.log(hit / ((hit + miss) * share)) + np.nan_to_num(miss * np.log(miss / ((hit + miss) * (1 - share)))))
-    ratio[hit <= (hit + miss) * share] = 0
-    least = max(RATIO, SHARE * ratio.max(initial=0))
-    return sorted(w for w, r in zip(words, ratio) if r >= least)
+    wanted = {t for w in words for t in stems(w)}
+    pooled: tuple[Counter, Counter] = (Counter(), Counter())
+    begins: dict[bytes, tuple[bytes, ...]] = {}
+    for count, kind in zip(pooled, (toxic, clean)):
+        for one in kind:
+            found: set[bytes] = set()
+            for w in one:
+                if w not in begins:
+                    text = w.decode("utf-8", "replace")
+                    begins[w] = tuple(t for n in range(1, len(text) + 1) if (t := text[:n].encode()) in wanted)
+                found.update(begins[w])
+            count.update(found)
+
+    def ratio(hit: np.ndarray, miss: np.ndarray) -> np.ndarray:
+        with np.errstate(divide="ignore", invalid="ignore"):
+            out = 2 * (hit * np.log(hit / ((hit + miss) * share)) + np.nan_to_num(miss * np.log(miss / ((hit + miss) * (1 - share)))))
+        return np.where(hit > (hit + miss) * share, out, 0.0)
+
+    hit, miss = (np.array([float(c[w]) for w in words]) for c in (often, usual))
+    own = ratio(hit, miss)
+    names = sorted(wanted)
+    of = dict(zip(names, ratio(*(np.array([float(c[t]) for t in names]) for c in pooled))))
+    best = np.array([max(of[t] for t in stems(w)) for w in words])
+    keep = ((own >= RATIO) & (best >= RATIO)) | ((best >= SURE) & (hit > miss))
+    return sorted(w for w, k in zip(words, keep) if k)
 
 
 def _support_vectors(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: int = 30) -> np.ndarray:
@@ -184,14 +228,34 @@ def _support_vectors(x: np.ndarray, y: np.ndarray, weight: np.ndarray, rounds: i
     return w
 
 
+def _fit(bad: list[bytes], negatives: list[bytes], landmarks: list[bytes]) -> Machine:
+    """The machine of two lists of words, without the scale of its probability."""
+    cut = lambda w: letters(w)[:WINDOW]
+    # Only the subsequences of landmarks count; the others of a word meet zeros.
+    used = np.unique(np.concatenate([np.flatnonzero(vector(cut(w))) for w in landmarks]))
+    base = np.array([vector(cut(w))[used] for w in landmarks])
+    values, vectors = np.linalg.eigh(base @ base.T)
+    solid = values > 1e-6 * values.max()
+    root = vectors[:, solid] / np.sqrt(values[solid])  # maps kernels with landmarks to Nyström features
+    words = bad + negatives
+    kernels = np.concatenate([np.array([vector(cut(w))[used] for w in words[i : i + 256]]) @ base.T for i in range(0, len(words), 256)])
+    x = np.hstack([kernels @ root, np.ones((len(words), 1))])
+    y = np.where(np.arange(len(words)) < len(bad), 1.0, -1.0)
+    w = _support_vectors(x, y, np.where(y > 0, 100.0, 10.0))
+    weights = np.zeros(_KINDS**3)
+    weights[used] = base.T @ (root @ w[:-1])
+    return Machine(weights, float(w[-1]), 1.0, 0.0)
+
+
 def train(texts: list[str], toxic: list[int]) -> Machine:
     """Fit the machine on labelled texts.
 
     The words of toxic sentences that clean ones lack are the examples of one class, words
-    of clean sentences those of the other. The probability is scaled on whole texts.
+    of clean sentences those of the other, first common ones, then those that the machine
+    takes for telling ones. The probability is scaled on whole texts.
     """
     found: tuple[list[set[bytes]], list[set[bytes]]] = ([], [])
-    for i in unlike_texts(texts):
+    for i in unlike_texts(texts, toxic):
         words = (w.strip(_MARKS) for s in _sentences(texts[i].lower()) for w in s.encode().split())
         found[bool(toxic[i])].append(set(words))
     often = Counter(w for words in found[0] for w in words)
@@ -201,18 +265,14 @@ def train(texts: list[str], toxic: list[int]) -> Machine:
     usual = sorted((w for w in often if len(letters(w)) >= 3), key=lambda w: (-often[w], w))
     step = max(1, len(usual) // NEGATIVES)
     negatives = [w for w in dict.fromkeys(usual[: NEGATIVES // 2] + usual[::step]) if w not in set(bad)]
-    cut = lambda w: letters(w)[:WINDOW]
-    landmarks = bad + negatives[: LANDMARKS // 2] + negatives[LANDMARKS // 2 :: max(1, 2 * len(negatives) // LANDMARKS)]
-    base = np.array([vector(cut(w)) for w in landmarks])
-    values, vectors = np.linalg.eigh(base @ base.T)
-    solid = values > 1e-6 * values.max()
-    root = vectors[:, solid] / np.sqrt(values[solid])  # maps kernels with landmarks to Nyström features
-    words = bad + negatives
-    kernels = np.concatenate([np.array([vector(cut(w)) for w in words[i : i + 256]]) @ base.T for i in range(0, len(words), 256)])
-    x = np.hstack([kernels @ root, np.ones((len(words), 1))])
-    y = np.where(np.arange(len(words)) < len(bad), 1.0, -1.0)
-    w = _support_vectors(x, y, np.where(y > 0, 100.0, 10.0))
-    machine = Machine(base.T @ (root @ w[:-1]), float(w[-1]), 1.0, 0.0)
+    ordinary = negatives[: LANDMARKS // 2] + negatives[LANDMARKS // 2 :: max(1, 2 * len(negatives) // LANDMARKS)]
+    machine = _fit(bad, negatives, bad + ordinary)
+    for _ in range(HARD_ROUNDS):  # clean words that look most like telling ones are examples and landmarks as well
+        value = machine.words(usual)
+        taken = set(bad) | set(negatives)
+        hard = [usual[i] for i in np.argsort(-value, kind="stable")[: 2 * HARD] if usual[i] not in taken][:HARD]
+        negatives, ordinary = negatives + hard, ordinary + hard[:LANDMARKS]
+        machine = _fit(bad, negatives, bad + ordinary)
 
     chosen = [i for kind in (0, 1) for i in np.flatnonzero(np.array(toxic) == kind)[:CALIBRATION]]
     worst = np.array([machine.words(sorted(set(text_words(texts[i]))) or [b""]).max() for i in chosen])

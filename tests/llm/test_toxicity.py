@@ -67,6 +67,23 @@ def test_held_out_texts(spark, talk):
     assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in got)
 
 
+def test_rare_forms_tell_beside_frequent_insults():
+    chance = [{b"blehaing"}] * 4  # four toxic texts and no clean one, but clean relatives
+    forms = [{b"bomente" + end, b"que"} for end in (b"ado", b"co", b"dora", b"ga") for _ in range(4)]
+    toxic = [{b"idiot", b"the"}] * 120 + forms + chance
+    clean = [{b"the", b"que"}] * 1000 + [{b"blehain"}, {b"blehaon"}] * 60
+    want = sorted([b"idiot"] + [b"bomente" + end for end in (b"ado", b"co", b"dora", b"ga")])
+    assert toxicity.telling_words(toxic, clean) == want
+
+
+def test_only_near_copies_of_one_label_go():
+    rng = random.Random(8)
+    words = [f"word{i}" for i in range(60)]
+    texts = [" ".join(rng.choice(words) for _ in range(400)) for _ in range(20)]  # the same words in another order
+    near = texts[3].replace("word7 ", "changed ", 1)
+    assert toxicity.unlike_texts([*texts, near, near], [0] * 21 + [1]) == [*range(20), 21]
+
+
 def test_no_toxic_examples_and_empty_table(spark, talk, nothing):
     docs, labels, *_ = talk
     held = held_out(F.col("doc_id"), 4, 2)
