@@ -80,11 +80,16 @@ def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0], _powers[1]
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Byte starts and ends of all words, and per row the number of words before it."""
+def word_spans(
+    data: np.ndarray, offsets: np.ndarray, between: np.ndarray = SPACE
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Byte starts and ends of all words, and per row the number of words before it.
+
+    ``between`` marks the byte values that separate words.
+    """
     if not len(data):
         return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(len(offsets), np.int64)
-    inside = ~SPACE[data]
+    inside = ~between[data]
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
     before = np.empty_like(inside)

@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from reviewloom.llm import crossparse, fertility, minhash, mixing, rans, recurrent, toxicity, urlrules, warc, winnow, wordids
+from reviewloom.llm import (
+    balltree, crossparse, density, fertility, laesa, minhash, mixing, rans, recurrent, toxicity, urlrules, warc, winnow, wordids,
+)
 from reviewloom.llm.common import held_out, table
 
 
@@ -55,6 +57,18 @@ def op10_recurrent(spark: SparkSession, folder: str) -> DataFrame:
     return recurrent.score_texts(table(spark, folder, "documents"), held_out(F.col("doc_id"), 10, 0))
 
 
+def op11_laesa(spark: SparkSession, folder: str) -> DataFrame:
+    return laesa.vector_codes(table(spark, folder, "embeddings"))
+
+
+def op12_balltree(spark: SparkSession, folder: str) -> DataFrame:
+    return balltree.ranked_search(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+def op13_density(spark: SparkSession, folder: str) -> DataFrame:
+    return density.extract_pages(table(spark, folder, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_toxicity": op2_toxicity,
@@ -66,6 +80,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minhash": op8_minhash,
     "op9_rans": op9_rans,
     "op10_recurrent": op10_recurrent,
+    "op11_laesa": op11_laesa,
+    "op12_balltree": op12_balltree,
+    "op13_density": op13_density,
 }
 
 OP8_SQL = r"""
@@ -167,4 +184,67 @@ fixed AS (
 SELECT page_id, host, path, rule, coalesce(v, CASE WHEN fired.page_id IS NULL THEN 'allow' ELSE 'block' END) AS verdict
 FROM addresses LEFT JOIN fixed USING (page_id) LEFT JOIN fired USING (page_id)"""
 
-ORACLE_SQL: dict[str, str] = {"op1_warc": OP1_SQL, "op6_winnow": OP6_SQL, "op7_urlrules": OP7_SQL, "op8_minhash": OP8_SQL}
+
+def _op11_sql(rounds: int = 6) -> str:
+    """Every round as two more tables: parts with their nearest entry, and the new codebooks."""
+    near = """n{k} AS MATERIALIZED (
+  SELECT vec_id, label, p, x, min(struct_pack(d := d, e := e)) AS best FROM (
+    SELECT vec_id, label, p, x, e, list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - c[i]) * (x[i] - c[i])))::BIGINT AS d
+    FROM parts JOIN b{k} USING (p)) GROUP BY ALL)"""
+    book = """b{next} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(list(m ORDER BY i) FILTER (m IS NOT NULL), any_value(b.c)) AS c
+  FROM b{k} b LEFT JOIN (
+    SELECT p, e, i, (s - ((s % n) + n) % n) // n AS m FROM (
+      SELECT p, best.e AS e, i, sum(x[i])::BIGINT AS s, count(*) AS n
+      FROM (SELECT p, best, x, unnest(range(1, len(x) + 1)) AS i FROM n{k}) GROUP BY ALL)) USING (p, e)
+  GROUP BY b.p, b.e)"""
+    steps = [near.format(k=0)]
+    for k in range(rounds):
+        steps += [book.format(k=k, next=k + 1), near.format(k=k + 1)]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(4096 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+parts AS MATERIALIZED (
+  SELECT vec_id, label, p, v[p * (len(v) // 8) + 1 : (p + 1) * (len(v) // 8)] AS x FROM kept, range(8) AS t(p)),
+b0 AS MATERIALIZED (
+  SELECT p, e, c FROM (SELECT p, row_number() OVER (PARTITION BY p ORDER BY vec_id) - 1 AS e, x AS c FROM parts) WHERE e < 16),
+{", ".join(steps)},
+coded AS (
+  SELECT vec_id, label, string_agg(format('{{:02x}}', best.e), '' ORDER BY p) AS code, sum(best.d)::BIGINT AS error
+  FROM n{rounds} GROUP BY vec_id, label),
+book AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM b{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, codebooks_sha256 FROM coded, book"""
+
+
+OP12_SQL = r"""
+WITH terms AS MATERIALIZED (
+  SELECT doc_id, unnest(list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS t
+  FROM documents),
+wanted AS MATERIALIZED (
+  SELECT item_id, t, count(*) AS qf FROM (
+    SELECT item_id, unnest(list_filter(regexp_split_to_array(
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+'), lambda x: x <> '')) AS t
+    FROM benchmark) GROUP BY ALL),
+lengths AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+total AS (SELECT count(*) AS docs, sum(n)::BIGINT AS words FROM lengths),
+freq AS MATERIALIZED (SELECT doc_id, t, count(*) AS tf FROM terms SEMI JOIN wanted USING (t) GROUP BY ALL),
+weight AS (
+  SELECT t, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+  FROM (SELECT t, count(*) AS df FROM freq GROUP BY t), total),
+impact AS (
+  SELECT doc_id, t, (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // words))) AS v
+  FROM freq JOIN lengths USING (doc_id), total),
+scores AS (
+  SELECT item_id, doc_id, sum(qf * w * v)::BIGINT AS score
+  FROM wanted JOIN weight USING (t) JOIN impact USING (t) GROUP BY ALL HAVING sum(qf * w * v) > 0)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM scores QUALIFY rank <= 20"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_warc": OP1_SQL, "op6_winnow": OP6_SQL, "op7_urlrules": OP7_SQL, "op8_minhash": OP8_SQL,
+    "op11_laesa": _op11_sql(), "op12_balltree": OP12_SQL,
+}
