@@ -21,6 +21,7 @@ COLUMNS = {
     "op4_fertility": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op5_crossparse": "doc_id held_out lang_pred score",
     "op9_rans": "doc_id start n_tokens ids_crc32",
+    "op13_density": "page_id url text n_chars",
     "op10_recurrent": "doc_id held_out n_tokens n_known train_tokens base_score score",
 }
 
@@ -35,4 +36,5 @@ def test_query(spark, name):
     else:
         df = QUERIES[name](spark, FOLDER)
         assert set(COLUMNS[name].split()) <= set(df.columns)
-        assert df.count() == spark.read.parquet(f"{FOLDER}/documents.parquet").count()
+        table = "pages" if "page_id" in df.columns else "documents"
+        assert df.count() == spark.read.parquet(f"{FOLDER}/{table}.parquet").count()
