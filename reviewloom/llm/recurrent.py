@@ -136,10 +136,14 @@ class Network:
         return np.concatenate([getattr(self, f.name).ravel() for f in fields(self)])
 
     def like(self, flat: np.ndarray) -> Network:
+        return self.within(flat.astype(np.float32))
+
+    def within(self, flat: np.ndarray) -> Network:
+        """A network of these shapes whose weights lie in ``flat``, not in a copy."""
         out, at = {}, 0
         for f in fields(self):
             old = getattr(self, f.name)
-            out[f.name] = flat[at : at + old.size].reshape(old.shape).astype(np.float32)
+            out[f.name] = flat[at : at + old.size].reshape(old.shape)
             at += old.size
         return Network(**out)
 
@@ -152,34 +156,36 @@ class Network:
         new = np.tanh(x[:, 2 * HIDDEN :] + rh @ self.reset)
         return h + z * (new - h), (inputs, h, zr, rh, new)
 
-    def _softmaxes(self, h: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, list]:
-        """Class log-probabilities, and for each class of frequent words its rows and their word log-probabilities."""
-        logits = h @ self.classes + self.class_bias
-        logits -= logits.max(axis=1, keepdims=True)
-        logits -= np.log(np.exp(logits).sum(axis=1, keepdims=True))
+    def _softmaxes(self, h: np.ndarray, target: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Class of each target and class log-probabilities; then the rows whose target is a frequent
+        word, ordered by class, the classes' edges in that order, and these rows' word log-probabilities."""
+        logits = _log_softmax(h @ self.classes + self.class_bias)
         head = target < _HEAD
         kind = np.where(head, target // WIDTH, target - _HEAD + CLASSES)
         order = np.argsort(kind, kind="stable")
         edges = np.searchsorted(kind[order], np.arange(CLASSES + 1))
-        inside = []
+        order = order[: edges[-1]]
+        states, word = h[order], np.empty((len(order), WIDTH), np.float32)
         for c in range(CLASSES):
-            rows = order[edges[c] : edges[c + 1]]
-            if len(rows):
-                word = h[rows] @ self.words[c] + self.word_bias[c]
-                word -= word.max(axis=1, keepdims=True)
-                word -= np.log(np.exp(word).sum(axis=1, keepdims=True))
-                inside.append((c, rows, word))
-        return kind, logits, inside
+            a, b = edges[c], edges[c + 1]
+            np.matmul(states[a:b], self.words[c], out=word[a:b])
+        word += self.word_bias[kind[order]]
+        return kind, logits, order, edges, _log_softmax(word)
 
     def log_likelihood(self, h: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log-probability of each target's class and, if frequent, of the word in it."""
-        kind, logits, inside = self._softmaxes(h, target)
+        kind, logits, order, _, word = self._softmaxes(h, target)
         out = logits[np.arange(len(h)), kind].astype(np.float64)
-        for _, rows, word in inside:
-            out[rows] += word[np.arange(len(rows)), target[rows] % WIDTH]
+        out[order] += word[np.arange(len(order)), target[order] % WIDTH]
         return out
 
 
+def _log_softmax(values: np.ndarray) -> np.ndarray:
+    values -= values.max(axis=1, keepdims=True)
+    values -= np.log(np.exp(values).sum(axis=1, keepdims=True))
+    return values
+
+
 def _lanes(sizes: np.ndarray, width: int) -> Iterator[np.ndarray]:
     """Texts side by side, those of like length together, the longest first."""
     order = np.argsort(-sizes, kind="stable")
@@ -218,36 +224,51 @@ class Trainer:
     """Adam over windows of truncated backpropagation."""
 
     def __init__(self, net: Network, rate: float = RATE):
-        self.net, self.rate, self.t = net, rate, 0
-        self.first, self.second = np.zeros_like(net.flat()), np.zeros_like(net.flat())
+        self.flat = net.flat()
+        self.net, self.rate, self.t = net.within(self.flat), rate, 0
+        self.first, self.second, self.gradient = (np.zeros_like(self.flat) for _ in range(3))
+        self.grads = net.within(self.gradient)
 
     def _apply(self, grads: Network) -> None:
-        g = grads.flat()
-        g *= min(1.0, 1.0 / (np.sqrt((g * g).sum()) + 1e-9))
+        """One step of Adam on the gradients, all in place."""
+        g = self.gradient
+        g *= min(1.0, 1.0 / (float(np.sqrt(g @ g)) + 1e-9))
         self.t += 1
         self.first += 0.1 * (g - self.first)
-        self.second += 0.01 * (g * g - self.second)
-        step = (self.first / (1 - 0.9**self.t)) / (np.sqrt(self.second / (1 - 0.99**self.t)) + 1e-6)
-        self.net = self.net.like(self.net.flat() - self.rate / (1 + self.t / 2000) * step)
+        g *= g
+        g -= self.second
+        self.second += 0.01 * g
+        np.sqrt(self.second / (1 - 0.99**self.t), out=g)
+        g += 1e-6
+        np.divide(self.first, g, out=g)
+        g *= self.rate / (1 + self.t / 2000) / (1 - 0.9**self.t)
+        self.flat -= g
 
     def _window(self, past: list, states: list[np.ndarray], targets: list[np.ndarray]) -> None:
         """Gradients of one window, back to its first step."""
         net = self.net
-        g = net.like(np.zeros(net.flat().size, np.float32))
+        g = self.grads
+        self.gradient[:] = 0
         h, target = np.concatenate(states), np.concatenate(targets)
-        kind, logits, inside = net._softmaxes(h, target)
+        kind, logits, order, edges, word = net._softmaxes(h, target)
         scale = np.float32(1 / len(h))
         d = np.exp(logits)
         d[np.arange(len(h)), kind] -= 1
         d *= scale
-        g.classes, g.class_bias = h.T @ d, d.sum(axis=0)
+        np.matmul(h.T, d, out=g.classes)
+        d.sum(axis=0, out=g.class_bias)
         dh_all = d @ net.classes.T
-        for c, rows, word in inside:
-            e = np.exp(word)
-            e[np.arange(len(rows)), target[rows] % WIDTH] -= 1
-            e *= scale
-            g.words[c], g.word_bias[c] = h[rows].T @ e, e.sum(axis=0)
-            dh_all[rows] += e @ net.words[c].T
+        e = np.exp(word)
+        e[np.arange(len(order)), target[order] % WIDTH] -= 1
+        e *= scale
+        inner, back = h[order], np.empty((len(order), HIDDEN), np.float32)
+        for c in range(CLASSES):
+            a, b = edges[c], edges[c + 1]
+            if a < b:
+                np.matmul(inner[a:b].T, e[a:b], out=g.words[c])
+                e[a:b].sum(axis=0, out=g.word_bias[c])
+                np.matmul(e[a:b], net.words[c].T, out=back[a:b])
+        dh_all[order] += back
         carry = np.zeros_like(states[-1])
         ends = np.cumsum([len(s) for s in states])
         all_inputs, all_dx = [], []
@@ -265,7 +286,7 @@ class Trainer:
             all_dx.append(np.concatenate([dzr, dnew], axis=1))
             carry = dh * (1 - z) + drh * r + dzr @ net.gates.T
         inputs, dx = np.concatenate(all_inputs), np.concatenate(all_dx)
-        g.bias = dx.sum(axis=0)
+        dx.sum(axis=0, out=g.bias)
         order = np.argsort(inputs, kind="stable")
         kinds, first = np.unique(inputs[order], return_index=True)
         g.embed[kinds] = np.add.reduceat(dx[order], first, axis=0)
@@ -415,7 +436,9 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
 
     net = Network.start(counts, frequencies)
     slim = blocks.select("sizes", "held", "keys", "tokens", "block")
-    first = slim.orderBy("block").limit(START_BLOCKS).coalesce(1)
+    # only numbers are sorted; the blocks themselves stay where they are
+    least = [r["block"] for r in blocks.select("block").orderBy("block").limit(START_BLOCKS).collect()]
+    first = slim.where(F.col("block").isin(least)).coalesce(1)
     net = _average(settle(first.mapInArrow(_fit(net, counts, START_PASSES), "seen long, weights array<double>"), "start"), net)
     net = _average(settle(slim.mapInArrow(_fit(net, counts), "seen long, weights array<double>"), "fitted"), net)
 
