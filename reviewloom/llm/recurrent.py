@@ -18,7 +18,7 @@ from dataclasses import dataclass, fields
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame, Window as W, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewloom.llm.common import FOLD, hash_spans, longs, pieces, text_bytes, word_spans
 from reviewloom.shipping import ship
@@ -74,14 +74,22 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             number += 1
 
 
-def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for block, keys, counts in zip(*(batch.column(i) for i in range(3))):
-            key = np.frombuffer(keys.as_buffer(), np.uint64)
-            n = np.frombuffer(counts.as_buffer(), np.uint32).astype(np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(key), block.as_py())), longs(key), pa.array(n)], names=["block", "key", "n"]
-            )
+def _words(but: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The distinct words of each block with their counts in it, but for some (sorted) keys."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for block, keys, counts in zip(*(batch.column(i) for i in range(3))):
+                key = np.frombuffer(keys.as_buffer(), np.uint64)
+                n = np.frombuffer(counts.as_buffer(), np.uint32).astype(np.int64)
+                if len(but):
+                    left = but[np.minimum(np.searchsorted(but, key), len(but) - 1)] != key
+                    key, n = key[left], n[left]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(key), block.as_py())), longs(key), pa.array(n)], names=["block", "key", "n"]
+                )
+
+    return run
 
 
 @dataclass
@@ -355,9 +363,9 @@ def _average(fitted: DataFrame, net: Network) -> Network:
     return net.like(flat)
 
 
-def _corpus_counts(counted: DataFrame) -> tuple[Counts, np.ndarray]:
+def _corpus_counts(totals: DataFrame) -> tuple[Counts, np.ndarray]:
     """Totals over the distinct words, and the most frequent of them."""
-    words = counted.where("first and c > 0").select("key", "c")
+    words = totals.where("c > 0")
     top = words.where(F.col("key") != int(END.view(np.int64))).orderBy(F.desc("c"), "key").limit(_HEAD - 1)
     other = F.pmod("key", F.lit(OTHERS)).alias("kind")
     total = words.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
@@ -382,7 +390,7 @@ SCHEMA = (
 )
 
 
-def _scorer(net: Network, counts: Counts) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+def _scorer(net: Network, counts: Counts, frequencies: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = [_parts(batch, row, counts) for row in range(len(batch))]
@@ -391,14 +399,16 @@ def _scorer(net: Network, counts: Counts) -> Callable[[Iterator[pa.RecordBatch]]
             likely = score_block(net, *(np.concatenate([p[i] for p in parts]) for i in (2, 3))) / np.log(10)
             first = 0
             for row, (keys, tokens, _, sizes, held) in enumerate(parts):
-                pairs = batch.column(batch.schema.get_field_index("pairs"))[row].values
-                key, c = pairs.field(0).to_numpy().view(np.uint64), pairs.field(1).to_numpy()
-                often = np.zeros(len(keys))
-                often[np.searchsorted(keys, key)] = c
+                pairs, often = batch.column(batch.schema.get_field_index("pairs"))[row], np.zeros(len(keys))
+                rank = counts.places(keys)
+                often[rank < _HEAD] = frequencies[rank[rank < _HEAD]]
+                if pairs.is_valid:
+                    key, c = pairs.values.field(0).to_numpy().view(np.uint64), pairs.values.field(1).to_numpy()
+                    often[np.searchsorted(keys, key)] = c
                 base = np.log10((often + SMOOTH) / (counts.total + SMOOTH * (counts.distinct + 1)))
                 kind = (keys % np.uint64(OTHERS)).astype(np.int64)
                 room = counts.other_total[kind] + SMOOTH * (counts.other_distinct[kind] + 1)
-                inside = np.where(counts.places(keys) < _HEAD, 0.0, np.log10((often + SMOOTH) / room))
+                inside = np.where(rank < _HEAD, 0.0, np.log10((often + SMOOTH) / room))
                 value = likely[first : first + len(tokens)] + inside[tokens]
                 first, starts = first + len(tokens), np.cumsum(sizes) - sizes
                 columns = [
@@ -428,11 +438,10 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("long"), held_out.alias("held"), F.col("text").cast("string"))
     blocks = settle(rows.mapInArrow(_blocks, _BLOCK_SCHEMA), "blocks")
-    words = blocks.select("block", "keys", "counts").mapInArrow(_words, "block long, key long, n long")
-    same = W.partitionBy("key")
-    counted = words.withColumn("c", F.sum("n").over(same)).withColumn("first", F.row_number().over(same.orderBy("block")) == 1)
-    counted = settle(counted.drop("n"), "counted")
-    counts, frequencies = _corpus_counts(counted)
+    held_words, schema = blocks.select("block", "keys", "counts"), "block long, key long, n long"
+    every = held_words.mapInArrow(_words(np.zeros(0, np.uint64)), schema)
+    totals = settle(every.groupBy("key").agg(F.sum("n").alias("c")), "totals")
+    counts, frequencies = _corpus_counts(totals)
 
     net = Network.start(counts, frequencies)
     slim = blocks.select("sizes", "held", "keys", "tokens", "block")
@@ -442,5 +451,7 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     net = _average(settle(first.mapInArrow(_fit(net, counts, START_PASSES), "seen long, weights array<double>"), "start"), net)
     net = _average(settle(slim.mapInArrow(_fit(net, counts), "seen long, weights array<double>"), "fitted"), net)
 
-    back = counted.groupBy("block").agg(F.collect_list(F.struct("key", "c")).alias("pairs"))
-    return blocks.join(back, "block").mapInArrow(_scorer(net, counts), SCHEMA)
+    # the scorer knows the frequent words, which nearly all blocks hold; the others get their totals by a join
+    rare = held_words.mapInArrow(_words(np.sort(counts.frequent)), schema).select("block", "key")
+    back = rare.join(totals, "key").groupBy("block").agg(F.collect_list(F.struct("key", "c")).alias("pairs"))
+    return blocks.join(back, "block", "left").mapInArrow(_scorer(net, counts, frequencies), SCHEMA)

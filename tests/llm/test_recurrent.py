@@ -34,6 +34,20 @@ def test_base_scores_of_every_text(awkward, awkward_rows):
     assert sum(r["score"] for r in got if r["held_out"]) > 1.01 * sum(r["base_score"] for r in got if r["held_out"])
 
 
+def test_order_is_learnt(spark):
+    """Texts that walk through a fixed cycle of words score far better than by their words' counts."""
+    words = [f"w{i}" for i in range(40)]
+    rng = np.random.default_rng(6)
+    texts = []
+    for i in range(600):
+        first = int(rng.integers(40))
+        texts.append((i, " ".join(words[(first + 7 * j) % 40] for j in range(60))))
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    got = recurrent.score_texts(docs, held_out(F.col("doc_id"), 10, 0)).where("held_out").collect()
+    assert len(got) > 30
+    assert sum(r["score"] for r in got) > 0.95 * sum(r["base_score"] for r in got)
+
+
 def small_network(seed: int = 1) -> tuple[recurrent.Network, recurrent.Counts]:
     rng = np.random.default_rng(seed)
     counts = recurrent.Counts(10, 5, np.arange(recurrent._HEAD, dtype=np.uint64) << np.uint64(5), np.ones(32, np.int64), np.ones(32, np.int64))
