@@ -75,19 +75,19 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _words(but: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """The distinct words of each block with their counts in it, but for some (sorted) keys."""
+    """The distinct words of each block, their counts and numbers in it, but for some (sorted) keys."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, keys, counts in zip(*(batch.column(i) for i in range(3))):
                 key = np.frombuffer(keys.as_buffer(), np.uint64)
                 n = np.frombuffer(counts.as_buffer(), np.uint32).astype(np.int64)
+                left = np.ones(len(key), bool)
                 if len(but):
                     left = but[np.minimum(np.searchsorted(but, key), len(but) - 1)] != key
-                    key, n = key[left], n[left]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(key), block.as_py())), longs(key), pa.array(n)], names=["block", "key", "n"]
-                )
+                columns = [pa.array(np.full(int(left.sum()), block.as_py())), longs(key[left]), pa.array(n[left])]
+                at = pa.array(np.flatnonzero(left).astype(np.int32))
+                yield pa.RecordBatch.from_arrays([*columns, at], names=["block", "key", "n", "at"])
 
     return run
 
@@ -399,12 +399,11 @@ def _scorer(net: Network, counts: Counts, frequencies: np.ndarray) -> Callable[[
             likely = score_block(net, *(np.concatenate([p[i] for p in parts]) for i in (2, 3))) / np.log(10)
             first = 0
             for row, (keys, tokens, _, sizes, held) in enumerate(parts):
-                pairs, often = batch.column(batch.schema.get_field_index("pairs"))[row], np.zeros(len(keys))
-                rank = counts.places(keys)
+                pairs, own = (batch.column(batch.schema.get_field_index(name))[row] for name in ("pairs", "counts"))
+                often, rank = np.frombuffer(own.as_buffer(), np.uint32).astype(float), counts.places(keys)
                 often[rank < _HEAD] = frequencies[rank[rank < _HEAD]]
                 if pairs.is_valid:
-                    key, c = pairs.values.field(0).to_numpy().view(np.uint64), pairs.values.field(1).to_numpy()
-                    often[np.searchsorted(keys, key)] = c
+                    often[pairs.values.field(0).to_numpy()] = pairs.values.field(1).to_numpy()
                 base = np.log10((often + SMOOTH) / (counts.total + SMOOTH * (counts.distinct + 1)))
                 kind = (keys % np.uint64(OTHERS)).astype(np.int64)
                 room = counts.other_total[kind] + SMOOTH * (counts.other_distinct[kind] + 1)
@@ -438,9 +437,9 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     ship(spark)
     rows = docs.select(F.col("doc_id").cast("long"), held_out.alias("held"), F.col("text").cast("string"))
     blocks = settle(rows.mapInArrow(_blocks, _BLOCK_SCHEMA), "blocks")
-    held_words, schema = blocks.select("block", "keys", "counts"), "block long, key long, n long"
+    held_words, schema = blocks.select("block", "keys", "counts"), "block long, key long, n long, at int"
     every = held_words.mapInArrow(_words(np.zeros(0, np.uint64)), schema)
-    totals = settle(every.groupBy("key").agg(F.sum("n").alias("c")), "totals")
+    totals = settle(every.groupBy("key").agg(F.sum("n").alias("c"), F.count("*").alias("blocks")), "totals")
     counts, frequencies = _corpus_counts(totals)
 
     net = Network.start(counts, frequencies)
@@ -451,7 +450,9 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     net = _average(settle(first.mapInArrow(_fit(net, counts, START_PASSES), "seen long, weights array<double>"), "start"), net)
     net = _average(settle(slim.mapInArrow(_fit(net, counts), "seen long, weights array<double>"), "fitted"), net)
 
-    # the scorer knows the frequent words, which nearly all blocks hold; the others get their totals by a join
-    rare = held_words.mapInArrow(_words(np.sort(counts.frequent)), schema).select("block", "key")
-    back = rare.join(totals, "key").groupBy("block").agg(F.collect_list(F.struct("key", "c")).alias("pairs"))
+    # The scorer knows the totals of frequent words, which nearly all blocks hold, and a block knows those
+    # of words that no other block holds; the others get theirs by a join.
+    rare = held_words.mapInArrow(_words(np.sort(counts.frequent)), schema).select("block", "key", "at")
+    shared = rare.join(totals.where("blocks > 1").select("key", "c"), "key")
+    back = shared.groupBy("block").agg(F.collect_list(F.struct("at", "c")).alias("pairs"))
     return blocks.join(back, "block", "left").mapInArrow(_scorer(net, counts, frequencies), SCHEMA)
