@@ -27,13 +27,14 @@ def text_sizes(docs: DataFrame) -> DataFrame:
     size = F.size(words) - (F.get(words, F.lit(0)) == "").cast("int")
     last = F.when(F.size(words) > 1, (F.get(words, F.size(words) - 1) == "").cast("int")).otherwise(0)
     return docs.select(
-        "doc_id", F.col("source").cast("string"), (size - last).cast("long").alias("size"), row_key().alias("row")
+        "doc_id", F.col("source").cast("string"), (size - last).cast("long").alias("size"), row_key(docs).alias("row")
     )
 
 
-def row_key() -> Column:
-    """A hash that tells rows apart by id, source and text."""
-    return F.xxhash64("doc_id", "source", "text")
+def row_key(docs: DataFrame) -> Column:
+    """128 bits that tell rows apart by all their columns; a hash skips nulls, so these are told apart first."""
+    missing = F.concat(*[F.when(F.col(c).isNull(), "1").otherwise("0") for c in docs.columns])
+    return F.concat_ws(" ", *[F.xxhash64(F.lit(half), missing, *docs.columns) for half in (1, 2)])
 
 
 def source_targets(histogram: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS) -> DataFrame:
@@ -125,7 +126,7 @@ def _uses(docs: DataFrame, weights: tuple[int, ...], repeats: int, seed: int) ->
     known = histogram.drop("source").join(targets, "key")
     plans = settle(known.groupBy("key").applyInPandas(plan, schema), "plans")
 
-    order = F.xxhash64(F.lit(seed), "doc_id")
+    order = F.xxhash64(F.lit(seed), "doc_id", "row")  # rows of one id, or without any, are spread too
     unit = F.shiftrightunsigned(order, 11) / F.lit(float(1 << 53))
     groups = F.ceil(F.col("n") / F.lit(GROUP))
     placed = rows.drop("source").join(plans, ["key", "size"]).withColumn("order", order)
@@ -133,7 +134,7 @@ def _uses(docs: DataFrame, weights: tuple[int, ...], repeats: int, seed: int) ->
     parts = placed.groupBy("key", "size", "part").agg(F.count("*").alias("here"))
     upto = F.sum("here").over(W.partitionBy("key", "size").orderBy("part"))
     parts = parts.withColumn("before", upto - F.col("here")).drop("here")
-    within = F.row_number().over(W.partitionBy("key", "size", "part").orderBy("order", "doc_id"))
+    within = F.row_number().over(W.partitionBy("key", "size", "part").orderBy("order", "row"))
     ranked = placed.join(parts, ["key", "size", "part"]).withColumn("rank", F.col("before") + within)
     once_more = (F.col("rank") <= F.col("extra")).cast("long")
     return ranked.select(
@@ -149,7 +150,7 @@ def mix_sources(
     Columns: doc_id, size, source_size, target, taken (words used, repeats counted; a
     multiple of size). A null source is a source of its own, last in order. Null and empty
     texts have size 0 and are never taken; a source of size 0 has target 0. Rows that share
-    a doc_id are separate texts; among equal rows any may be the one that is taken. A null
+    a doc_id are separate texts; equal rows are alike, whichever is taken. A null
     doc_id sorts first. Other columns are ignored; an empty table gives an empty result.
     """
     used = _uses(docs, weights, repeats, seed)
@@ -157,9 +158,13 @@ def mix_sources(
 
 
 def mixed_rows(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, repeats: int = REPEATS, seed: int = 3) -> DataFrame:
-    """The mix itself: rows of ``docs``, all columns as they are, each as often as it is used."""
+    """The mix itself: rows of ``docs``, all columns as they are, each as often as it is used.
+
+    Rows that differ in any column are used apart; equal rows as often as all of them
+    together. Rows without a word are not part of a mix. Nulls and empty tables as above.
+    """
     used = _uses(docs, weights, repeats, seed).where("size > 0")
     used = used.groupBy("row").agg(F.sum("uses").alias("__uses")).where("__uses > 0")
     used = used.withColumnRenamed("row", "__row")
-    rows = docs.withColumn("__row", row_key()).join(used, "__row").dropDuplicates(["__row"])
+    rows = docs.withColumn("__row", row_key(docs)).join(used, "__row").dropDuplicates(["__row"])
     return rows.withColumn("__uses", F.explode(F.sequence(F.lit(1), "__uses"))).select(*docs.columns)

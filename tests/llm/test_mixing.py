@@ -62,8 +62,28 @@ def test_large_groups_of_one_length(spark, monkeypatch):
     assert {r[0]: (round(r[1], 6), r[2]) for r in got} == {3000: (round(9000 * 5 / 7, 6), 6429), 6000: (round(9000 * 2 / 7, 6), 2571)}
 
 
+def test_rows_that_differ_in_one_column_are_used_apart(spark):
+    rows = [(1, "a b c", "en", "x"), (1, "a b c", "de", "x"), (1, "a b c", None, "x"), (None, "a b c", None, "x"), (None, "d e f", "", "x")]
+    rows += [(2, "g h", "en", "y"), (2, "g h", "en", "y"), (3, "", "en", "y"), (4, None, "en", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(3)
+    used = sum(r["taken"] // r["size"] for r in mixing.mix_sources(docs).collect() if r["size"])
+    out = [tuple(r) for r in mixing.mixed_rows(docs).collect()]
+    assert len(out) == used and set(out) <= set(rows)
+    alone = mixing.mixed_rows(docs.where("source = 'x'"))  # one source is met by one pass
+    assert sorted(map(repr, map(tuple, alone.collect()))) == sorted(repr(r) for r in rows if r[3] == "x")
+
+
+def test_ties_are_settled(spark):
+    """Of many rows without an id the same ones are taken in every run, however they are dealt out."""
+    rows = [(None, f"w{i} x y", None, "a" if i % 5 else "b") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    runs = [sorted(tuple(map(repr, r)) for r in mixing.mixed_rows(docs.repartition(n)).collect()) for n in (1, 7)]
+    assert runs[0] == runs[1] and len(runs[0]) > 0
+
+
 def test_empty_table(nothing):
     assert mixing.mix_sources(nothing).collect() == []
+    assert mixing.mixed_rows(nothing).collect() == []
 
 
 @settings(max_examples=200, deadline=None)
