@@ -3,6 +3,7 @@ from __future__ import annotations
 import itertools
 import random
 import re
+import time
 
 from reviewloom.llm import urlrules
 
@@ -81,5 +82,19 @@ def test_rules_of_any_size_against_all_subsets(spark):
     assert all(r["n"] == len(r["rule"].split("\n")) for r in got)
 
 
+def test_many_parameters_on_the_same_pages(spark):
+    """Forty names that always stand together are one item, and so are they beside a path."""
+    names = "&".join(f"p{k:02d}=1" for k in range(40))
+    rows = [(i, f"http://h{i % 7}.net/{'x' if i % 3 else 'y'}?{names if i % 4 == 0 else 'id=1'}") for i in range(1200)]
+    marks = [(i, 1, int(i % 4 == 0 and i % 3 == 0)) for i, _ in rows]
+    start = time.time()
+    got = {r["page_id"]: r["verdict"] for r in urlrules.judge_urls(frame(spark, rows), labels(spark, marks)).collect()}
+    assert time.time() - start < 60
+    assert got == {i: "block" if i % 12 == 0 else "allow" for i, _ in rows}
+    partly = frame(spark, [*rows, (5000, "http://h1.net/y?p07=1"), (5001, "http://h1.net/x?p07=1"), (5002, "x://y/" + "y/" * 50_000)])
+    got = {r["page_id"]: r["verdict"] for r in urlrules.judge_urls(partly, labels(spark, marks)).where("page_id >= 5000").collect()}
+    assert got == {5000: "block", 5001: "allow", 5002: "allow"}  # each of the names takes their place
+
+
 def test_empty_tables(spark):
     assert urlrules.judge_urls(frame(spark, [(1, None)]).where("1 = 0"), labels(spark, [])).collect() == []
