@@ -6,10 +6,11 @@ shared by all files. Ids are coded in independent blocks of whole texts; inside
 many coder states run interleaved, so that numpy codes a lane per step. Each block has a
 checkpoint (offset, states, first position, checksum) from which any task can decode it.
 
-File: ``TABLE`` (shared): uint32 frequencies. Shard: blocks in a row, then a directory.
-Block: header of uint64 (ids, lanes, words, texts, start, crc32 of the coded words), text
-ids (int64), validity of text ids (uint8), text lengths (int64), states (uint64), words
-(uint32). All numbers are little-endian.
+Folder: ``table`` (Parquet: id, frequency), ``checkpoints`` (Parquet: path, offset, length, part,
+block), and the shards that the checkpoints name; it can be opened without anything else.
+Shard: blocks in a row, then a directory. Block: crc32 of all that follows, then header (ids,
+lanes, words, texts, start), all uint64, text ids (int64), validity of text ids (uint8), text
+lengths (int64), states (uint64), words (uint32). All numbers are little-endian.
 """
 
 from __future__ import annotations
@@ -18,9 +19,10 @@ import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 
 from reviewloom.llm import files, wordids
 from reviewloom.llm.common import hash_spans, pieces, text_bytes, word_spans
@@ -87,22 +89,22 @@ class Coder:
 
 def pack_block(coder: Coder, ids: np.ndarray, names: np.ndarray, known: np.ndarray, sizes: np.ndarray, start: int) -> bytes:
     states, words = coder.encode(ids)
-    raw = words.astype("<u4").tobytes()
-    head = np.array([len(ids), len(states), len(words), len(sizes), start, zlib.crc32(raw)], "<u8")
-    parts = (head, names.astype("<i8"), known.astype("u1"), sizes.astype("<i8"), states.astype("<u8"))
-    return b"".join(p.tobytes() for p in parts) + raw
+    head = np.array([len(ids), len(states), len(words), len(sizes), start], "<u8")
+    parts = (head, names.astype("<i8"), known.astype("u1"), sizes.astype("<i8"), states.astype("<u8"), words.astype("<u4"))
+    raw = b"".join(p.tobytes() for p in parts)
+    return zlib.crc32(raw).to_bytes(8, "little") + raw
 
 
 def unpack_block(coder: Coder, raw: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, int]:
-    """ids, text ids, their validity, text lengths, position of the first id; checks the checksum."""
-    n, lanes, n_words, texts, start, crc = (int(v) for v in np.frombuffer(raw, "<u8", 6))
+    """ids, text ids, their validity, text lengths, position of the first id; checks the checksum first."""
+    if len(raw) < 48 or zlib.crc32(raw[8:]) != int.from_bytes(raw[:8], "little"):
+        raise ValueError("token block is damaged: its checksum differs")
+    n, lanes, n_words, texts, start = (int(v) for v in np.frombuffer(raw, "<u8", 5, 8))
     at, out = 48, []
     for kind, count in (("<i8", texts), ("u1", texts), ("<i8", texts), ("<u8", lanes), ("<u4", n_words)):
         out.append(np.frombuffer(raw, kind, count, at))
         at += out[-1].nbytes
     names, known, sizes, states, words = out
-    if zlib.crc32(words.tobytes()) != crc:
-        raise ValueError("token block is damaged: its checksum differs")
     return coder.decode(n, states, words), names, known, sizes, start
 
 
@@ -206,8 +208,11 @@ def _writer(table: np.ndarray, folder: str, kind: str) -> Callable[[Iterator[pa.
     return run
 
 
-def write_tokens(docs: DataFrame, path: str, end_id: int, folder: str, n_ids: int) -> tuple[DataFrame, np.ndarray]:
-    """Encode and write all texts; returns the checkpoints (path, offset, length, ...) and the table."""
+def write_tokens(docs: DataFrame, path: str, end_id: int, folder: str, n_ids: int) -> None:
+    """Encode all texts and write them to a new folder, for :func:`open_tokens`.
+
+    Shards of attempts that did not count are not named by the checkpoints.
+    """
     spark = docs.sparkSession
     ship(spark)
     kind = "<u2" if n_ids <= 1 << 16 else "<u4"
@@ -221,9 +226,8 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, folder: str, n_ids: in
     for row in counted.groupBy("id").agg(F.sum("n").alias("n")).collect():  # one row per id of the vocabulary
         counts[row["id"]] = row["n"]
     table = frequency_table(counts)
-    where, out = files.create(folder, "table")
-    out.write(table.astype("<u4").tobytes())
-    out.close()
+    rows = pd.DataFrame({"id": np.arange(n_ids), "frequency": table.astype(np.int64)})
+    spark.createDataFrame(rows).coalesce(1).write.parquet(f"{folder}/table")
 
     parts = blocks.groupBy("part").agg(F.sum("n").alias("all"))
     upto = F.sum("all").over(W.partitionBy(F.lit(0)).orderBy("part"))
@@ -233,11 +237,20 @@ def write_tokens(docs: DataFrame, path: str, end_id: int, folder: str, n_ids: in
     written = placed.mapInArrow(
         _writer(table, folder, kind), "path string, offset long, length long, part long, block long"
     )
-    return settle(written, "checkpoints"), table
+    written.write.parquet(f"{folder}/checkpoints")
+
+
+def open_tokens(spark: SparkSession, folder: str) -> tuple[DataFrame, np.ndarray]:
+    """Checkpoints and frequency table of a folder of token files."""
+    rows = spark.read.parquet(f"{folder}/table").collect()  # one row per id of the vocabulary
+    table = np.zeros(len(rows), np.uint32)
+    for row in rows:
+        table[row["id"]] = row["frequency"]
+    return spark.read.parquet(f"{folder}/checkpoints"), table
 
 
 def read_tokens(checkpoints: DataFrame, table: np.ndarray) -> DataFrame:
-    """Decode the blocks, spread over all tasks: doc_id, start, n_tokens, ids (uint32 binary)."""
+    """Decode blocks, spread over all tasks: doc_id, start, n_tokens, ids (uint32 binary)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         coder, reader = Coder(table), files.Reader()
@@ -266,7 +279,8 @@ def token_files(docs: DataFrame, path: str, end_id: int = 2, n_ids: int = 49_408
     doc_id follow each other in the order of a hash of their text. Other columns are
     ignored; an empty table writes no shard and gives an empty result.
     """
-    checkpoints, table = write_tokens(docs, path, end_id, fresh_path(docs.sparkSession, "tokens"), n_ids)
-    return read_tokens(checkpoints, table).select(
+    folder = fresh_path(docs.sparkSession, "tokens")
+    write_tokens(docs, path, end_id, folder, n_ids)
+    return read_tokens(*open_tokens(docs.sparkSession, folder)).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )

@@ -39,12 +39,29 @@ def test_empty_table(nothing):
 
 
 def test_a_damaged_block_is_noticed(spark, awkward):
-    places, table = rans.write_tokens(awkward, PATH, 2, fresh_path(spark, "tokens"), 49_408)
-    place = places.orderBy("part", "block").first()
-    raw = bytearray(files.Reader().read(place["path"], place["offset"], place["length"]))
-    raw[-1] ^= 1
+    folder = fresh_path(spark, "tokens")
+    rans.write_tokens(awkward.where("doc_id between 300 and 305 or doc_id is null"), PATH, 2, folder, 49_408)
+    places, table = rans.open_tokens(spark, folder)
+    place, coder = places.orderBy("part", "block").first(), rans.Coder(table)
+    raw = files.Reader().read(place["path"], place["offset"], place["length"])
+    rans.unpack_block(coder, raw)
+    for at in range(len(raw)):
+        bad = bytearray(raw)
+        bad[at] ^= 1 << (at % 8)
+        with pytest.raises(ValueError, match="checksum"):
+            rans.unpack_block(coder, bytes(bad))
     with pytest.raises(ValueError, match="checksum"):
-        rans.unpack_block(rans.Coder(table), bytes(raw))
+        rans.unpack_block(coder, raw[:-1])
+
+
+def test_a_folder_can_be_opened_later(spark, awkward):
+    folder = fresh_path(spark, "tokens")
+    rans.write_tokens(awkward, PATH, 2, folder, 49_408)
+    places, table = rans.open_tokens(spark, folder)
+    assert table.sum() == 1 << rans.BITS
+    one = places.orderBy("part", "block").limit(1)
+    first = rans.read_tokens(one, table).orderBy("start").first()
+    assert (first["start"], first["doc_id"]) == (0, None)
 
 
 @settings(max_examples=60, deadline=None)
