@@ -8,6 +8,7 @@ beginning a new phrase, so that numpy steps through many stretches at once.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,6 +19,7 @@ from reviewloom.shipping import ship
 from reviewloom.staging import settle
 
 TRAIN_ROWS, TRAIN_CHARS = 200, 20_000  # training texts and characters per language, at most
+SPANS = 8  # of a text that is longer than its part
 STRETCH = 512  # characters parsed in a row
 DENSE = 62  # letters of a language, the most frequent first, whose transitions are a plain table
 LANES = 4096
@@ -84,6 +86,7 @@ class Language:
 
     def __init__(self, text: str):
         symbols = _symbols(text)
+        self.length = len(symbols)
         kinds, counts = np.unique(symbols[symbols > 0], return_counts=True)
         self.alphabet = kinds
         self.rank = np.empty(len(kinds), np.int64)
@@ -141,25 +144,30 @@ def learn(docs: DataFrame, usable: Column, rows: int = TRAIN_ROWS, chars: int =
     """One automaton per value of lang among the usable rows, each from a bounded sample.
 
     Per language at most ``rows`` texts, first by a hash of text and id, and ``chars``
-    characters of their beginnings in equal parts.
+    characters in equal parts. A text's part is cut into spans spread over the whole of it; with few
+    texts the parts are longer.
     """
     known = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    part = max(1, chars // rows)
-    known = known.select("lang", F.xxhash64("doc_id", "text").alias("order"), F.substring("text", 1, 8 * part).alias("text"))
+    sizes = settle(known.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    share = F.ceil(F.lit(chars) / F.least("n", F.lit(rows)))
+    wide, long = F.ceil(share / SPANS), F.length("text")
+    at = lambda i: F.floor(i * F.greatest(long - wide, F.lit(0)) / (SPANS - 1)) + 1
+    spans = F.transform(F.sequence(F.lit(0), F.lit(SPANS - 1)), lambda i: F.substring("text", at(i), wide))
+    text = F.when(long <= share, F.col("text")).otherwise(F.array_join(spans, "\n"))
+    known = known.join(sizes, "lang").select("lang", F.xxhash64("doc_id", "text").alias("order"), text.alias("text"))
     first = F.row_number().over(W.partitionBy("lang").orderBy("order", "text"))
     chosen = settle(known.withColumn("place", first).where(F.col("place") <= rows), "sample")
     texts: dict[str, list[str]] = {}
-    for row in chosen.orderBy("lang", "place").collect():  # rows x languages texts at most
+    for row in chosen.orderBy("lang", "place").collect():  # chars and a little x languages characters at most
         texts.setdefault(row["lang"], []).append(row["text"])
-    learnt = {}
-    for lang, each in texts.items():
-        share = max(part, chars // len(each))
-        learnt[lang] = Language("\n".join(t[:share] for t in each)[:chars])
-    return learnt
+    return {lang: Language("\n".join(each)) for lang, each in texts.items()}
 
 
 def _predictor(models: dict[str, Language]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     names = sorted(models)
+    # matches grow with the logarithm of the text that they are sought in
+    learnt = np.array([math.log(2 + models[name].length) for name in names])
+    fair = learnt / learnt.max() if names else learnt
 
     def judge(texts: list[str | None]) -> tuple[list[str], list[float]]:
         symbols = [_symbols(t or "") for t in texts]
@@ -184,7 +192,7 @@ def _predictor(models: dict[str, Language]) -> Callable[[Iterator[pa.RecordBatch
         some = np.array([bool((s > 0).any()) for s in symbols])
         if not names:
             return [UNKNOWN] * len(texts), [0.0] * len(texts)
-        per = cost / np.maximum(sizes, 1)
+        per = cost * fair[:, None] / np.maximum(sizes, 1)
         best = per.argmin(axis=0)
         lead = np.exp(-20 * (per - per.min(axis=0)))  # shares of the languages by phrases per character
         score = np.where(some, 1 / lead.sum(axis=0), 0.0)

@@ -103,3 +103,18 @@ def test_nothing_to_learn_and_empty_table(spark, awkward, nothing):
     blind = crossparse.identify(awkward.withColumn("lang", F.lit(None).cast("string")), held).collect()
     assert {(r["lang_pred"], r["score"]) for r in blind} == {("und", 0.0)}
     assert crossparse.identify(nothing, held).collect() == []
+
+
+def test_few_long_texts_teach_as_much_as_many(spark):
+    """Three long texts fill the sample; a language with a tenth of the text is not taken for others."""
+    rng = random.Random(8)
+    long = {lang: [say(rng, lang, 6000) for _ in range(3)] for lang in ("aa", "bb")}
+    rows = [(i * 4, "#" * 3000 + t, lang) for lang in long for i, t in enumerate(long[lang], 1 if lang == "aa" else 11)]
+    rows += [(400 + 4 * i, say(rng, "cc", 40), "cc") for i in range(3)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    models = crossparse.learn(docs, F.lit(True))
+    assert min(models[lang].length for lang in ("aa", "bb")) > 10_000
+    ask = [(i, say(rng, lang, 60), lang) for i in range(30) for lang in [sorted(SOUNDS)[i % 3]]]
+    more = spark.createDataFrame([(9000 + i, t, None) for i, t, _ in ask], "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r["lang_pred"] for r in crossparse.identify(docs.unionByName(more), F.col("doc_id") >= 9000).collect()}
+    assert sum(got[9000 + i] == lang for i, _, lang in ask) >= 28
