@@ -23,6 +23,7 @@ from reviewloom.shipping import ship
 from reviewloom.staging import fresh_path, settle
 
 ARCHIVE = 256 << 20  # bytes after which a task begins a new archive
+SHARE = 256 << 20  # most bytes of records that a reading task is dealt, on average
 RANGE, GAP = 8 << 20, 64 << 10  # most bytes of one read; most unused bytes between two records
 DATE = "2025-01-01T00:00:00Z"
 
@@ -180,7 +181,10 @@ def _read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def read_records(index: DataFrame) -> DataFrame:
     """The records of (a selection of) the index, read by joined byte ranges."""
-    placed = index.select("path", "offset", "length").repartitionByRange("path", "offset")
+    placed, spark = index.select("path", "offset", "length"), index.sparkSession
+    total = placed.agg(F.sum("length")).first()[0] or 0
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // SHARE))
+    placed = placed.repartitionByRange(tasks, "path", "offset")
     return placed.sortWithinPartitions("path", "offset").mapInArrow(_read, RECORD)
 
 
