@@ -121,11 +121,6 @@ def ingest_totals(spark, sf):
     return reviews.ingest_totals(adapters.text_reviews(spark, sf))
 
 
-def training_examples(spark, sf):
-    present = adapters.ranked_reviews(spark, sf).select("meta_category").distinct()
-    return examples.training_examples(spark).join(present, "meta_category", "left_semi")
-
-
 TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations"]
 
@@ -134,11 +129,6 @@ def file_row_report(spark, sf):
     return reviews.file_row_report(spark, sf)
 
 
-def require_columns(spark, sf):
-    tables = {name: adapters.table(spark, sf, name) for name in TABLES}
-    return missing_column_report(spark, tables, ["text", "source", "label"])
-
-
 _PLACE = """docs AS (SELECT DISTINCT source AS category, substr(md5(source), 1, 1) AS d FROM documents),
 state AS (SELECT category, true AS in_all, d < 'a' AS in_backup, d > '4' AS in_local, d < '8' AS in_ledger FROM docs),
 flags AS (SELECT *, in_all AND NOT in_backup AS remaining, in_local AND NOT in_backup AS local_only,
@@ -225,23 +215,8 @@ CASES = {
             " (sum(count(*)) OVER (ORDER BY category))::BIGINT AS running_total FROM reviews GROUP BY category"
         ),
     ),
-    "training_examples": (
-        training_examples,
-        rank("SELECT * FROM examples WHERE meta_category IN (SELECT meta_category FROM reviews)", _EXAMPLES),
-    ),
     "file_row_report": (
         file_row_report,
         " UNION ALL ".join(f"SELECT '{t}.parquet' AS file_name, count(*) AS n_rows FROM {t}" for t in TABLES),
     ),
-    "require_columns": (
-        require_columns,
-        "SELECT t AS table_name, count(*) FILTER (absent) AS n_missing,"
-        " coalesce(string_agg(c, ',' ORDER BY c) FILTER (absent), '') AS missing FROM ("
-        + " UNION ALL ".join(
-            f"SELECT '{t}' AS t, c, NOT list_contains((SELECT list(column_name) FROM (DESCRIBE {t})), c) AS absent"
-            " FROM (VALUES ('text'), ('source'), ('label')) v(c)"
-            for t in TABLES
-        )
-        + ") GROUP BY t",
-    ),
 }

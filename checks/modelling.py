@@ -6,11 +6,12 @@ import hashlib
 
 from pyspark.sql import functions as F
 
-from checks.base import POINTS, points, rounded, written
+from checks.base import POINTS, points, rounded, text, written
+from checks.rows import NORMAL
 from checks.ingest import DAVIES
 from checks.ranking import SILHOUETTE
 from reviewloom.operators import articles as scores
-from reviewloom.operators import clusters, quality, sampling, sentiment, validity
+from reviewloom.operators import clusters, embedding, hierarchy, projection, quality, sampling, sentiment, validity
 from reviewloom.plans import clustering
 from reviewloom.sources import adapters
 from reviewloom.staging import fresh_path
@@ -96,6 +97,48 @@ def cluster_categories(spark, sf):
     return run.reviews.groupBy("category", "meta_category").agg(F.count("*").alias("n_reviews"))
 
 
+TREE = {"min_size": 5, "min_samples": 4, "epsilon": 0.1, "alpha": 1.0}
+THRESHOLDS = [0.2, 0.25, 0.3]
+
+
+def cluster_tree(spark, sf):
+    """Clusters of most excess of mass in the tree of all density clusters."""
+    return rounded(hierarchy.density_hierarchy(_projected(spark, sf), **TREE).labels)
+
+
+def cluster_tree_validity(spark, sf):
+    found = hierarchy.density_hierarchy(_projected(spark, sf), **TREE)
+    return rounded(hierarchy.relative_validity(found.labels, found.edges))
+
+
+def spanning_tree(spark, sf):
+    """How many edges of the spanning tree of distances are within each threshold."""
+    points_ = _projected(spark, sf).select(F.col("category").alias("key"), "vector", F.lit(0.0).alias("core"))
+    edges = hierarchy.condensed_tree(
+        points_.select("key", F.lit(1).cast("bigint").alias("n"), "core"), hierarchy.tree_edges(points_)
+    ).edges
+    within = [F.count_if(F.col("weight") <= t) for t in THRESHOLDS]
+    rows = edges.agg(F.array(*within).alias("n")).select(F.posexplode("n").alias("threshold", "n_edges"))
+    return rows
+
+
+def project_categories(spark, sf):
+    """The vectors on three coordinates that keep their neighbours."""
+    how = projection.Layout(filters=3, degree=4, epochs=2)
+    return projection.project(_points(spark, sf).select("category", "vector"), how)
+
+
+def word_information(spark, sf):
+    """Mutual information of the words of all review texts that stand near each other."""
+    pairs = embedding.pair_counts(adapters.text_reviews(spark, sf, heavy=True), window=2)
+    return rounded(embedding.mutual_information(pairs, 200))
+
+
+def category_word_vectors(spark, sf):
+    reviews = adapters.text_reviews(spark, sf, heavy=True)
+    return embedding.category_word_vectors(reviews, dims=8, window=2, min_count=50)
+
+
 def apply_saved_model(spark, sf):
     vectors = _points(spark, sf).select("category", "vector")
     model = clusters.fit_reducer(vectors)
@@ -181,6 +224,28 @@ pr AS (SELECT article_id, coalesce(sum(m * n) FILTER (side = 'g') / sum(n) FILTE
               coalesce(sum(m * n) FILTER (side = 's') / sum(n) FILTER (side = 's'), 0) AS recall FROM articles LEFT JOIN best USING (article_id) GROUP BY article_id),
 soft AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0 END AS f1 FROM pr)"""
 
+def _linked(number: int, threshold: float) -> str:
+    """Points less their components: the edges that a spanning forest within the threshold has."""
+    return f"""SELECT {number}::INT AS threshold, count(*) - count(DISTINCT root) AS n_edges FROM (
+  WITH RECURSIVE {POINTS},
+  pts AS (SELECT category, {PROJECTED} AS v FROM points),
+  near AS (SELECT a.category AS a, b.category AS b FROM pts a JOIN pts b ON a.category <> b.category AND list_distance(a.v, b.v) <= {threshold}),
+  walk(a, b) AS (SELECT category, category FROM pts UNION SELECT walk.a, near.b FROM walk JOIN near ON walk.b = near.a)
+  SELECT a, min(b) AS root FROM walk GROUP BY a)"""
+
+
+INFORMATION = f"""tokens AS (
+  SELECT review_id, list_filter(string_split(p, ' '), lambda x: x <> '') AS w FROM (SELECT review_id, {NORMAL} AS p FROM reviews)),
+apart AS (SELECT w, unnest([1, 2]) AS d FROM tokens),
+near AS (SELECT w[i] AS x, w[i + d] AS y FROM (SELECT w, d, unnest(range(1, len(w) - d + 1)) AS i FROM apart)),
+pairs AS (SELECT a, b, count(*) AS n FROM (SELECT x AS a, y AS b FROM near UNION ALL SELECT y, x FROM near) GROUP BY a, b),
+often AS (SELECT a AS word FROM pairs GROUP BY a HAVING sum(n) >= 200),
+kept AS (SELECT * FROM pairs WHERE a IN (SELECT word FROM often) AND b IN (SELECT word FROM often)),
+single AS (SELECT a AS word, sum(n) AS n FROM kept GROUP BY a),
+information AS (
+  SELECT a, b, log2(kept.n::DOUBLE * (SELECT sum(n) FROM single) / (x.n::DOUBLE * y.n::DOUBLE)) AS weight
+  FROM kept JOIN single x ON x.word = a JOIN single y ON y.word = b)"""
+
 CASES = {
     "category_vectors": (
         category_vectors,
@@ -220,6 +285,12 @@ size AS (SELECT count(DISTINCT cluster) AS k, count(*) AS n FROM real)""",
     ),
     "davies_bouldin": (davies_bouldin, f"WITH {POINTS}, {DAVIES} SELECT davies_bouldin FROM davies"),
     "cluster_categories": (cluster_categories, None),
+    "cluster_tree": (cluster_tree, None),
+    "cluster_tree_validity": (cluster_tree_validity, None),
+    "spanning_tree": (spanning_tree, " UNION ALL ".join(_linked(i, t) for i, t in enumerate(THRESHOLDS))),
+    "project_categories": (project_categories, None),
+    "word_information": (word_information, text("SELECT a, b, round(weight, 6) AS weight FROM information WHERE weight > 0", INFORMATION)),
+    "category_word_vectors": (category_word_vectors, None),
     "apply_saved_model": (apply_saved_model, "SELECT count(*) AS n, 0::BIGINT AS n_different FROM embeddings"),
     "train_sentiment": (train_sentiment, None),
     "predict_sentiment": (predict_sentiment, None),

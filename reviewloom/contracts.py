@@ -30,6 +30,7 @@ END_MARKER = "</s>"
 NOISE = -1
 # ----------------------------------------------------------------------------
 
+# The columns of a raw review, in the order of the source.
 RAW_REVIEW = T.StructType(
     [
         T.StructField("rating", T.DoubleType()),

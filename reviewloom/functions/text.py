@@ -116,7 +116,7 @@ def product_title(html: Column, asin: Column, selectors=TITLE_SELECTORS) -> Colu
 
 # The three forms in which an article names a product.
 PRODUCT_PATTERNS = [
-    r"\p{Nd}\.\s*([^.]+?)(?=\s*Key Strengths:)",
+    r"\d\.\s*([^.]+?)(?=\s*Key Strengths:)",
     r"Product:\s*([^\n]+)",
     r"•\s*([^.]+?)(?=\s*Key Strengths:)",
 ]

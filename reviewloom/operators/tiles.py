@@ -102,7 +102,15 @@ def _tile_name() -> Column:
 def near_tiles(
     points: DataFrame, vector: str, key: str, radius: float, rows: int = TILE_ROWS
 ) -> tuple[DataFrame, DataFrame]:
-    """Tiles by place, and the tile combinations that can hold points within ``radius``.
+    """Tiles by place, and the tile combinations that can hold points within ``radius``."""
+    return reaching_tiles(points, vector, key, radius, rows)[:2]
+
+
+def reaching_tiles(
+    points: DataFrame, vector: str, key: str, radius: float, rows: int = TILE_ROWS
+) -> tuple[DataFrame, DataFrame, float]:
+    """Tiles by place, the combinations that can hold points within a reach, and that reach,
+    which is ``radius`` or more. An infinite radius combines all tiles.
 
     The grid covers the leading coordinates: points within ``radius`` in the full
     space are within it there too, so no pair is lost in any dimension. A cell is at
@@ -136,7 +144,7 @@ def near_tiles(
         F.explode(F.transform(shifts, lambda s: F.zip_with(F.col("_cell"), s, lambda a, b: a + b))).alias("_cell"),
     )
     pairs = around.join(tiles, "_cell").select("_lt", _tile_name().alias("_rt"))
-    return tiled, pairs
+    return tiled, pairs, min(sides) / (1 + 1e-9)
 
 
 def near_blocks(left: DataFrame, right: DataFrame, pairs: DataFrame, block, schema: str) -> DataFrame:

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 
-from reviewloom.operators import clusters, joins, validity
+from reviewloom.operators import clusters, hierarchy, joins, projection, validity
 from reviewloom.staging import settle
 
 
@@ -18,7 +18,8 @@ class Clustering:
     reviews: DataFrame
     points: DataFrame
     metrics: DataFrame
-    reducer: PipelineModel
+    reducer: PipelineModel | None
+    tree: DataFrame | None = None
 
     @property
     def labels(self) -> DataFrame:
@@ -41,3 +42,18 @@ def cluster_categories(reviews: DataFrame, vectors: DataFrame, dims: int = 3, **
         metrics=validity.validity_metrics(points),
         reducer=reducer,
     )
+
+
+def cluster_by_tree(
+    reviews: DataFrame, vectors: DataFrame, layout: projection.Layout = projection.Layout(), **params
+) -> Clustering:
+    """Project the category vectors non-linearly, choose clusters from the whole density tree,
+    and label the reviews. ``tree`` holds the condensed tree's clusters with their stability.
+    """
+    reduced = settle(projection.project(vectors, layout), "reduced")
+    found = hierarchy.density_hierarchy(reduced, **params)
+    labels = settle(found.labels, "labels")
+    points = settle(reduced.join(labels, "category"), "points")
+    score = hierarchy.relative_validity(labels, found.edges)
+    metrics = validity.validity_metrics(points).withColumn("stability_score", score.scalar())
+    return Clustering(joins.assign_meta_category(reviews, labels), points, metrics, None, found.clusters)
