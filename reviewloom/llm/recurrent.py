@@ -30,7 +30,7 @@ CLASSES, WIDTH = 32, 32  # classes of frequent words, and words in each
 OTHERS = 32  # classes of all other words: the last five bits of a key
 HIDDEN, RATE = 16, 0.01
 STEPS, STRETCH, LANES = 16, 256, 512  # words of a window and of a training stretch; stretches side by side
-WIDE = 8192  # texts scored side by side
+WIDE, TOGETHER = 8192, 2  # texts scored side by side, of so many blocks at once
 START_BLOCKS, START_PASSES = 2, 3  # blocks that the common start is trained on, and how often
 SMOOTH = 0.1
 _HEAD = CLASSES * WIDTH
@@ -393,33 +393,34 @@ SCHEMA = (
 def _scorer(net: Network, counts: Counts, frequencies: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = [_parts(batch, row, counts) for row in range(len(batch))]
-            if not parts:
-                continue
-            likely = score_block(net, *(np.concatenate([p[i] for p in parts]) for i in (2, 3))) / np.log(10)
-            first = 0
-            for row, (keys, tokens, _, sizes, held) in enumerate(parts):
-                pairs, own = (batch.column(batch.schema.get_field_index(name))[row] for name in ("pairs", "counts"))
-                often, rank = np.frombuffer(own.as_buffer(), np.uint32).astype(float), counts.places(keys)
-                often[rank < _HEAD] = frequencies[rank[rank < _HEAD]]
-                if pairs.is_valid:
-                    often[pairs.values.field(0).to_numpy()] = pairs.values.field(1).to_numpy()
-                base = np.log10((often + SMOOTH) / (counts.total + SMOOTH * (counts.distinct + 1)))
-                kind = (keys % np.uint64(OTHERS)).astype(np.int64)
-                room = counts.other_total[kind] + SMOOTH * (counts.other_distinct[kind] + 1)
-                inside = np.where(rank < _HEAD, 0.0, np.log10((often + SMOOTH) / room))
-                value = likely[first : first + len(tokens)] + inside[tokens]
-                first, starts = first + len(tokens), np.cumsum(sizes) - sizes
-                columns = [
-                    batch.column(batch.schema.get_field_index("doc_ids"))[row].values,
-                    pa.array(held),
-                    pa.array(sizes),
-                    pa.array(np.add.reduceat((often > 0)[tokens].astype(np.int64), starts)),
-                    pa.array(np.full(len(sizes), counts.total)),
-                    pa.array(np.add.reduceat(base[tokens], starts)),
-                    pa.array(np.add.reduceat(value, starts)),
-                ]
-                yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SCHEMA.split(", ")])
+            yield from (out for first in range(0, len(batch), TOGETHER) for out in some(batch.slice(first, TOGETHER)))
+
+    def some(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        parts = [_parts(batch, row, counts) for row in range(len(batch))]
+        likely = score_block(net, *(np.concatenate([p[i] for p in parts]) for i in (2, 3))) / np.log(10)
+        first = 0
+        for row, (keys, tokens, _, sizes, held) in enumerate(parts):
+            pairs, own = (batch.column(batch.schema.get_field_index(name))[row] for name in ("pairs", "counts"))
+            often, rank = np.frombuffer(own.as_buffer(), np.uint32).astype(float), counts.places(keys)
+            often[rank < _HEAD] = frequencies[rank[rank < _HEAD]]
+            if pairs.is_valid:
+                often[pairs.values.field(0).to_numpy()] = pairs.values.field(1).to_numpy()
+            base = np.log10((often + SMOOTH) / (counts.total + SMOOTH * (counts.distinct + 1)))
+            kind = (keys % np.uint64(OTHERS)).astype(np.int64)
+            room = counts.other_total[kind] + SMOOTH * (counts.other_distinct[kind] + 1)
+            inside = np.where(rank < _HEAD, 0.0, np.log10((often + SMOOTH) / room))
+            value = likely[first : first + len(tokens)] + inside[tokens]
+            first, starts = first + len(tokens), np.cumsum(sizes) - sizes
+            columns = [
+                batch.column(batch.schema.get_field_index("doc_ids"))[row].values,
+                pa.array(held),
+                pa.array(sizes),
+                pa.array(np.add.reduceat((often > 0)[tokens].astype(np.int64), starts)),
+                pa.array(np.full(len(sizes), counts.total)),
+                pa.array(np.add.reduceat(base[tokens], starts)),
+                pa.array(np.add.reduceat(value, starts)),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=[c.split()[0] for c in SCHEMA.split(", ")])
 
     return run
 
