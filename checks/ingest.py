@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import functions as F, types as T
 
 from checks.base import POINTS, rank, rounded, text
-from reviewloom.contracts import missing_column_report
 from reviewloom.operators import validity
 from reviewloom.sources import adapters, examples, ledger, reviews, sinks
 from reviewloom.staging import fresh_path

@@ -12,7 +12,7 @@ from checks.ingest import DAVIES
 from checks.ranking import SILHOUETTE
 from reviewloom.operators import articles as scores
 from reviewloom.operators import clusters, embedding, hierarchy, projection, quality, sampling, sentiment, validity
-from reviewloom.plans import clustering
+from reviewloom.plans import clustering, sentiment as sentiment_plan
 from reviewloom.sources import adapters
 from reviewloom.staging import fresh_path
 
@@ -77,6 +77,10 @@ def silhouette_samples(spark, sf):
     return rounded(validity.silhouette_samples(_points(spark, sf)))
 
 
+def silhouette_centroid(spark, sf):
+    return rounded(validity.centroid_silhouettes(_points(spark, sf)))
+
+
 def silhouette_score(spark, sf):
     return rounded(validity.silhouette_score(_points(spark, sf)))
 
@@ -178,6 +182,13 @@ def select_model(spark, sf):
     return sentiment.select_model(parts["train"], parts["val"], grid)[1]
 
 
+def sentiment_job(spark, sf):
+    """The whole job; its confusion counts and measures must agree with each other on the test rows."""
+    rows = adapters.text_reviews(spark, sf, heavy=True).withColumnRenamed("text", "processed_text").drop("split")
+    job = sentiment_plan.sentiment_job(rows, fresh_path(spark, "sentiment"), 100, 60, 60, ({"reg": 0.01, "n_features": 4096},))
+    return job.confusion.select("label", (F.col("pred_0") + F.col("pred_1") + F.col("pred_2")).alias("n_rows"))
+
+
 def _soft(spark, sf):
     vectors = adapters.table(spark, sf, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
     return scores.soft_match_score(adapters.articles(spark, sf, heavy=True), vectors, vectors.count())
@@ -263,6 +274,18 @@ CASES = {
         silhouette_samples,
         points("SELECT category, cluster, round(silhouette, 6) AS silhouette FROM silhouettes", SILHOUETTE),
     ),
+    "silhouette_centroid": (
+        silhouette_centroid,
+        points(
+            "SELECT category, cluster, round(CASE WHEN n = 1 OR b IS NULL THEN 0 ELSE (b - a) / greatest(a, b) END, 6) AS silhouette FROM near",
+            """flat AS (SELECT cluster, unnest(vector) AS x, generate_subscripts(vector, 1) AS d FROM points),
+mean AS (SELECT cluster, list(c ORDER BY d) AS centroid FROM (SELECT cluster, d, avg(x) AS c FROM flat GROUP BY cluster, d) GROUP BY cluster),
+size AS (SELECT cluster, count(*) AS n FROM points GROUP BY cluster),
+gaps AS (SELECT p.category, p.cluster, m.cluster AS other, list_distance(p.vector, m.centroid) AS d FROM points p, mean m),
+near AS (SELECT category, cluster, any_value(n) AS n, min(d) FILTER (other = cluster) AS a, min(d) FILTER (other <> cluster) AS b
+         FROM gaps JOIN size USING (cluster) GROUP BY category, cluster)""",
+        ),
+    ),
     "silhouette_score": (
         silhouette_score,
         points(
@@ -295,6 +318,14 @@ size AS (SELECT count(DISTINCT cluster) AS k, count(*) AS n FROM real)""",
     "train_sentiment": (train_sentiment, None),
     "predict_sentiment": (predict_sentiment, None),
     "select_model": (select_model, None),
+    "sentiment_job": (
+        sentiment_job,
+        text(
+            """SELECT label, greatest(0, least(20, n - 120))::BIGINT AS n_rows FROM (VALUES (0), (1), (2)) v(label)
+LEFT JOIN (SELECT CASE WHEN rating IN (1, 2) THEN 0 WHEN rating = 3 THEN 1 ELSE 2 END AS label, count(*) AS n
+           FROM reviews WHERE rating BETWEEN 1 AND 5 GROUP BY 1) USING (label)"""
+        ),
+    ),
     "soft_match_score": (
         soft_match_score,
         written(

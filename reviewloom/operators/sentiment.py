@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.ml import PipelineModel
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import IDF, HashingTF, RegexTokenizer
@@ -22,17 +24,25 @@ def _prepared(df: DataFrame, text: str) -> DataFrame:
     return labelled.where(F.col("label").isNotNull() & F.col(text).isNotNull())
 
 
-def train_sentiment(train: DataFrame, text: str = "processed_text", **params) -> PipelineModel:
-    """Fit the model; rarer classes weigh more, in proportion.
+@dataclass
+class Hashed:
+    """Labelled texts as hashed word counts, written once, and the steps that made them."""
 
-    The texts are read once: the hashed words are written out, and counting, weighing
-    and the iterations of the regression all run on those.
-    """
-    setting = {**DEFAULTS, **params}
+    steps: list
+    rows: DataFrame
+
+
+def hash_texts(train: DataFrame, text: str = "processed_text", n_features: int = DEFAULTS["n_features"]) -> Hashed:
+    """Read the texts once; fitting runs on what is written here."""
     tokens = RegexTokenizer(inputCol=text, outputCol="_tokens", pattern=r"\s+")
-    counts = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=setting["n_features"])
+    counts = HashingTF(inputCol="_tokens", outputCol="_tf", numFeatures=n_features)
     hashed = counts.transform(tokens.transform(_prepared(train, text)))
-    rows = settle(hashed.select("label", "_tf"), "hashed")
+    return Hashed([tokens, counts], settle(hashed.select("label", "_tf"), "hashed"))
+
+
+def fit_hashed(hashed: Hashed, reg: float = DEFAULTS["reg"], max_iter: int = DEFAULTS["max_iter"]) -> PipelineModel:
+    """Fit the model; rarer classes weigh more, in proportion."""
+    rows = hashed.rows
     idf = IDF(inputCol="_tf", outputCol="_features").fit(rows)
     weighted = rows.join(class_weights(rows).select("label", "weight"), "label")
     regression = LogisticRegression(
@@ -40,12 +50,18 @@ def train_sentiment(train: DataFrame, text: str = "processed_text", **params) ->
         labelCol="label",
         weightCol="weight",
         family="multinomial",
-        regParam=setting["reg"],
-        maxIter=setting["max_iter"],
+        regParam=reg,
+        maxIter=max_iter,
         probabilityCol="_probability",
         predictionCol="_prediction",
     )
-    return PipelineModel([tokens, counts, idf, regression.fit(idf.transform(weighted))])
+    return PipelineModel([*hashed.steps, idf, regression.fit(idf.transform(weighted))])
+
+
+def train_sentiment(train: DataFrame, text: str = "processed_text", **params) -> PipelineModel:
+    """Hash the texts and fit the model on them."""
+    setting = {**DEFAULTS, **params}
+    return fit_hashed(hash_texts(train, text, setting["n_features"]), setting["reg"], setting["max_iter"])
 
 
 def predict_sentiment(model: PipelineModel, df: DataFrame) -> DataFrame:
@@ -69,12 +85,12 @@ def select_model(
 ) -> tuple[PipelineModel, DataFrame]:
     """Fit one model per parameter set and keep the best weighted F1 on ``val``.
 
-    Also returns the scores: ``candidate, params, f1, chosen``.
+    The texts are hashed once per number of features, whatever else the sets differ in. Also returns the scores: ``candidate, params, f1, chosen``.
     """
-    train, val = _prepared(train, text).persist(), _prepared(val, text).persist()
-    models = [train_sentiment(train, text, **params) for params in grid]
+    settings = [{**DEFAULTS, **params} for params in grid]
+    hashed = {n: hash_texts(train, text, n) for n in sorted({s["n_features"] for s in settings})}
+    models = [fit_hashed(hashed[s["n_features"]], s["reg"], s["max_iter"]) for s in settings]
     scores = [f1_on(m, val, text) for m in models]
-    train.unpersist(), val.unpersist()
     best = max(range(len(grid)), key=lambda i: scores[i])
     rows = [(i, str(sorted(p.items())), scores[i], i == best) for i, p in enumerate(grid)]
     table = val.sparkSession.createDataFrame(rows, "candidate int, params string, f1 double, chosen boolean")

@@ -7,7 +7,7 @@ import math
 import numpy as np
 import pytest
 
-from reviewloom.operators import hierarchy as hi
+from reviewloom.operators import hierarchy as hi, validity
 from reviewloom.operators.projection import Layout
 from reviewloom.plans.clustering import cluster_by_tree
 
@@ -227,3 +227,21 @@ def test_the_clustering_job_by_tree(spark):
     assert (metrics.stability_score is None) == (metrics.n_clusters == 0)
     tree = run.tree.collect()
     assert [t.size for t in tree if t.parent is None] == [24] and all(t.born >= t.created for t in tree)
+
+
+def test_centroid_silhouettes(spark):
+    vectors = blobs(5, 60, 3)
+    labels = [i % 4 for i in range(59)] + [9]
+    rows = [(f"c{i:04d}", [float(x) for x in v], c) for i, (v, c) in enumerate(zip(vectors, labels))]
+    points = spark.createDataFrame(rows, "category string, vector array<double>, cluster int")
+    centre = {c: vectors[[i for i, x in enumerate(labels) if x == c]].mean(axis=0) for c in set(labels)}
+    want = []
+    for v, c in zip(vectors, labels):
+        a = np.linalg.norm(v - centre[c])
+        b = min(np.linalg.norm(v - m) for other, m in centre.items() if other != c)
+        want.append(0.0 if labels.count(c) == 1 else (b - a) / max(a, b))
+    for tile in (7, 2048):
+        out = validity.centroid_silhouettes(points, tile_rows=tile).orderBy("category").collect()
+        assert [r.silhouette for r in out] == pytest.approx(want)
+    alone = validity.centroid_silhouettes(points.where("cluster = 1")).collect()
+    assert {r.silhouette for r in alone} == {0.0}

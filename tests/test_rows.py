@@ -113,3 +113,8 @@ def test_required_columns(spark, ranked):
     assert contracts.require_columns(ranked, ["asin"]) is ranked
     with pytest.raises(contracts.MissingColumns, match="nope"):
         contracts.require_columns(ranked, ["asin", "nope"], "train")
+
+
+def test_missing_column_report(spark, ranked):
+    out = contracts.missing_column_report(spark, {"reviews": ranked, "none": ranked.select("asin")}, ["asin", "text", "nope"])
+    assert sorted(map(tuple, out.collect())) == [("none", 2, "nope,text"), ("reviews", 1, "nope")]
