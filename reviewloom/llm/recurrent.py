@@ -40,6 +40,15 @@ _BLOCK_SCHEMA = (
 )
 
 
+def _planes(values: np.ndarray) -> np.ndarray:
+    """32-bit numbers as their lowest bytes, then the next ones: the upper ones, nearly all 0, pack well."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T)
+
+
+def _from_planes(raw: pa.Scalar) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw.as_buffer(), np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _block(ids: pa.Array, held: pa.Array, data: np.ndarray, offsets: np.ndarray, number: int) -> pa.RecordBatch:
     """One block: the texts as numbers into the block's sorted distinct keys."""
     data = FOLD[data]
@@ -56,7 +65,7 @@ def _block(ids: pa.Array, held: pa.Array, data: np.ndarray, offsets: np.ndarray,
     learn = np.repeat(~held.to_numpy(zero_copy_only=False), sizes)
     counts = np.bincount(tokens[learn], minlength=len(distinct))
     lists = [pa.array([v], t) for v, t in ((ids, pa.list_(pa.int64())), (held, pa.list_(pa.bool_())))]
-    raw = [distinct, counts.astype(np.uint32), tokens.astype(np.uint32)]
+    raw = [distinct, _planes(counts), _planes(tokens)]
     return pa.RecordBatch.from_arrays(
         [pa.array([number]), *lists, pa.array([sizes.astype(np.int32)], pa.list_(pa.int32()))]
         + [pa.array([r.tobytes()], pa.binary()) for r in raw],
@@ -81,7 +90,7 @@ def _words(but: np.ndarray) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
         for batch in batches:
             for block, keys, counts in zip(*(batch.column(i) for i in range(3))):
                 key = np.frombuffer(keys.as_buffer(), np.uint64)
-                n = np.frombuffer(counts.as_buffer(), np.uint32).astype(np.int64)
+                n = _from_planes(counts).astype(np.int64)
                 left = np.ones(len(key), bool)
                 if len(but):
                     left = but[np.minimum(np.searchsorted(but, key), len(but) - 1)] != key
@@ -329,7 +338,7 @@ def _parts(batch: pa.RecordBatch, row: int, counts: Counts) -> tuple[np.ndarray,
     """Keys, tokens, input numbers, lengths and held-out marks of one block."""
     column = lambda name: batch.column(batch.schema.get_field_index(name))[row]
     keys = np.frombuffer(column("keys").as_buffer(), np.uint64)
-    tokens = np.frombuffer(column("tokens").as_buffer(), np.uint32)
+    tokens = _from_planes(column("tokens"))
     sizes = column("sizes").values.to_numpy().astype(np.int64)
     held = column("held").values.to_numpy(zero_copy_only=False).astype(bool)
     return keys, tokens, counts.places(keys)[tokens], sizes, held
@@ -400,11 +409,11 @@ def _scorer(net: Network, counts: Counts, frequencies: np.ndarray) -> Callable[[
         likely = score_block(net, *(np.concatenate([p[i] for p in parts]) for i in (2, 3))) / np.log(10)
         first = 0
         for row, (keys, tokens, _, sizes, held) in enumerate(parts):
-            pairs, own = (batch.column(batch.schema.get_field_index(name))[row] for name in ("pairs", "counts"))
-            often, rank = np.frombuffer(own.as_buffer(), np.uint32).astype(float), counts.places(keys)
+            own, places, shared = (batch.column(batch.schema.get_field_index(name))[row] for name in ("counts", "places", "shared"))
+            often, rank = _from_planes(own).astype(float), counts.places(keys)
             often[rank < _HEAD] = frequencies[rank[rank < _HEAD]]
-            if pairs.is_valid:
-                often[pairs.values.field(0).to_numpy()] = pairs.values.field(1).to_numpy()
+            if places.is_valid:
+                often[places.values.to_numpy()] = shared.values.to_numpy()
             base = np.log10((often + SMOOTH) / (counts.total + SMOOTH * (counts.distinct + 1)))
             kind = (keys % np.uint64(OTHERS)).astype(np.int64)
             room = counts.other_total[kind] + SMOOTH * (counts.other_distinct[kind] + 1)
@@ -455,5 +464,5 @@ def score_texts(docs: DataFrame, held_out: Column) -> DataFrame:
     # of words that no other block holds; the others get theirs by a join.
     rare = held_words.mapInArrow(_words(np.sort(counts.frequent)), schema).select("block", "key", "at")
     shared = rare.join(totals.where("blocks > 1").select("key", "c"), "key")
-    back = shared.groupBy("block").agg(F.collect_list(F.struct("at", "c")).alias("pairs"))
+    back = shared.groupBy("block").agg(F.collect_list("at").alias("places"), F.collect_list("c").alias("shared"))
     return blocks.join(back, "block", "left").mapInArrow(_scorer(net, counts, frequencies), SCHEMA)
