@@ -51,24 +51,28 @@ def eigenpairs(matrix: DataFrame, rows: DataFrame, columns: list[str]) -> tuple[
     return np.linalg.eigh((small + small.T) / 2)
 
 
-def random_columns(rows: DataFrame, columns: list[str], seed: int) -> DataFrame:
-    """Reproducible columns of random numbers in -1 to 1."""
-    draw = lambda c: F.xxhash64(F.lit(f"{seed}:{c}"), "key") / F.lit(float(1 << 63))
+def random_columns(rows: DataFrame, columns: list[str], seed: int, name: str = "key") -> DataFrame:
+    """Reproducible columns of random numbers in -1 to 1, drawn by ``name``."""
+    draw = lambda c: F.xxhash64(F.lit(f"{seed}:{c}"), name) / F.lit(float(1 << 63))
     return rows.select("key", *[draw(c).alias(c) for c in columns])
 
 
-def leading_eigenvectors(matrix: DataFrame, rank: int, spare: int = 6, rounds: int = 3, seed: int = 42) -> tuple[DataFrame, np.ndarray]:
+def leading_eigenvectors(
+    matrix: DataFrame, rank: int, spare: int = 6, rounds: int = 3, seed: int = 42, names: DataFrame | None = None
+) -> tuple[DataFrame, np.ndarray]:
     """``key, x0..`` and the eigenvalues of largest size of a symmetric matrix, by random projection.
 
     Random columns are multiplied by the matrix twice in each round, which favours what is
     large, and made orthonormal; the small matrix in their span gives the eigenvectors.
+    ``names`` (``key, word``) tells what the random numbers of a coded key are drawn by.
     """
-    names = column_names("x", rank + spare)
-    keys = matrix.select(F.col("a").alias("key")).distinct()
-    now = settle(orthonormal(product(matrix, random_columns(keys, names, seed), names), names), "range")
+    columns = column_names("x", rank + spare)
+    keys = settle(matrix.select(F.col("a").alias("key")).distinct(), "keys")
+    drawn = random_columns(keys, columns, seed) if names is None else random_columns(keys.join(names, "key"), columns, seed, "word")
+    now = settle(orthonormal(settle(product(matrix, drawn, columns), "range"), columns), "range")
     for _ in range(rounds):
-        twice = settle(product(matrix, product(matrix, now, names), names), "range")
-        now = settle(orthonormal(twice, names), "range")
-    values, turn = eigenpairs(matrix, now, names)
+        twice = settle(product(matrix, product(matrix, now, columns), columns), "range")
+        now = settle(orthonormal(twice, columns), "range")
+    values, turn = eigenpairs(matrix, now, columns)
     order = np.argsort(-np.abs(values))[:rank]
-    return now.select("key", *mixed(names, turn[:, order])), values[order]
+    return now.select("key", *mixed(columns, turn[:, order])), values[order]
