@@ -134,8 +134,8 @@ def project_categories(spark, sf):
 
 def word_information(spark, sf):
     """Mutual information of the words of all review texts that stand near each other."""
-    pairs = embedding.pair_counts(adapters.text_reviews(spark, sf, heavy=True), window=2)
-    return rounded(embedding.mutual_information(pairs, 200))
+    pairs, names = embedding.coded_pair_counts(adapters.text_reviews(spark, sf, heavy=True), window=2, min_count=200)
+    return rounded(embedding.named(embedding.mutual_information(pairs, 1), names))
 
 
 def category_word_vectors(spark, sf):

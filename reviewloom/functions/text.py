@@ -6,6 +6,9 @@ taken, so that a long run of text takes linear time.
 
 from __future__ import annotations
 
+import operator
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewloom.contracts import ARTICLE_SECTIONS
@@ -66,6 +69,26 @@ def first_words(text: Column, n: int) -> Column:
     return F.filter(F.slice(pieces, 1, n), lambda w: w != "")
 
 
+def _sub_where(text: Column, marks: list[str], pattern: str, replacement: str) -> Column:
+    """Substitute in texts that hold one of ``marks``, without which nothing can match."""
+    marked = lambda t: reduce(operator.or_, [F.contains(t, F.lit(m)) for m in marks])
+    # the one-item list lets the text be computed once and used three times
+    return F.get(F.transform(F.array(text), lambda t: F.when(marked(t), _sub(t, pattern, replacement)).otherwise(t)), F.lit(0))
+
+
+def _plain_lower(text: Column) -> Column:
+    """Lower case without markup, links and mail addresses."""
+    out = F.lower(text)
+    out = _sub_where(out, ["<"], TAG, " ")
+    out = _sub_where(out, ["http", "www"], LINK_START, "")
+    return _sub_where(out, ["@"], MAIL_RUN, "")
+
+
+def normalized_words(text: Column) -> Column:
+    """The words of :func:`normalize_text`, taken straight from the text."""
+    return F.regexp_extract_all(_plain_lower(text), F.lit("[a-zA-Z]++"), F.lit(0))
+
+
 def normalize_text(text: Column, strict: bool = False) -> Column:
     """Lower-case letters only: markup, links, mail addresses and symbols go.
 
@@ -74,11 +97,7 @@ def normalize_text(text: Column, strict: bool = False) -> Column:
     of anything but letters, white space included, ends up as one space.
     ``strict`` turns a null into an error instead of a null.
     """
-    out = F.lower(text)
-    out = _sub(out, TAG, " ")
-    out = _sub(out, LINK_START, "")
-    out = _sub(out, MAIL_RUN, "")
-    out = F.trim(_sub(out, NON_LETTERS, " "))
+    out = F.trim(_sub(_plain_lower(text), NON_LETTERS, " "))
     if strict:
         return F.when(text.isNull(), F.raise_error(F.lit("text must be a string"))).otherwise(out)
     return out

@@ -10,10 +10,11 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
-from reviewloom.functions.text import normalize_text, words
+from reviewloom.functions.text import normalized_words
 from reviewloom.operators.spectra import column_names, leading_eigenvectors
 from reviewloom.staging import settle
 
+EARLY = 500_000  # up to so many words, pairs are sifted before they are counted
 
 def neighbor_pairs(tokens: Column, window: int) -> Column:
     """All pairs of words at most ``window`` apart, each with the lesser word first."""
@@ -26,17 +27,62 @@ def neighbor_pairs(tokens: Column, window: int) -> Column:
     return F.concat(*[apart(by) for by in range(1, window + 1)])
 
 
+def word_totals(tokens: DataFrame, window: int) -> tuple[DataFrame, Column]:
+    """``word, code, n`` of all words in the lists ``tokens``, with 64-bit codes and in how many pairs each stands,
+    and the code of a list's item as a function of it.
+
+    Codes are hashes; a seed is used under which no two words share one.
+    """
+    at = tokens.select(F.size("tokens").alias("size"), F.posexplode("tokens").alias("i", "word"))
+    slots = F.least(F.lit(window), F.col("i")) + F.least(F.lit(window), F.col("size") - 1 - F.col("i"))
+    totals = settle(at.groupBy("word").agg(F.sum(slots).alias("n")), "totals")
+    seed, count = 0, totals.count()
+    while totals.select(F.xxhash64(F.lit(seed), "word")).distinct().count() < count:
+        seed += 1
+    code = lambda word: F.xxhash64(F.lit(seed), word)
+    return totals.withColumn("code", code(F.col("word"))), code
+
+
+def coded_pair_counts(reviews: DataFrame, text: str = "text", window: int = 5, min_count: int = 1) -> tuple[DataFrame, DataFrame]:
+    """:func:`pair_counts` with the words as 64-bit codes, and ``word, code`` of the words.
+
+    Only words that stand in ``min_count`` pairs or more are kept; the pairs of the others are not
+    counted one by one.
+    """
+    tokens = settle(reviews.where(F.col(text).isNotNull()).select(normalized_words(F.col(text)).alias("tokens")), "tokens")
+    totals, code = word_totals(tokens, window)
+    names = settle(totals.where(F.col("n") >= min_count).select("word", "code"), "words")
+    pairs = tokens.select(F.explode(neighbor_pairs(F.transform("tokens", code), window)).alias("p")).select("p.a", "p.b")
+    count = lambda rows: rows.groupBy("a", "b")
+    often = lambda rows: rows.join(names.select(F.col("code").alias("a")), "a", "left_semi").join(
+        names.select(F.col("code").alias("b")), "b", "left_semi"
+    )
+    if min_count <= 1:
+        counted = count(pairs).agg(F.count("*").alias("n"))
+    elif names.count() <= EARLY:
+        counted = count(often(pairs)).agg(F.count("*").alias("n"))
+    else:
+        counted = often(count(pairs).agg(F.count("*").alias("n")))
+    once = settle(counted.select("a", "b", "n"), "pairs")
+    both = once.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "n")
+    # a word beside itself is its neighbour in both directions
+    own = F.when(F.col("a") == F.col("b"), 2 * F.col("n")).otherwise(F.col("n")).alias("n")
+    return once.select("a", "b", own).unionByName(both), names
+
+
+def named(rows: DataFrame, names: DataFrame) -> DataFrame:
+    """Replace the codes of ``a`` and ``b`` by their words."""
+    word = lambda end: names.select(F.col("code").alias(end), F.col("word").alias(f"{end}_word"))
+    both = rows.join(word("a"), "a").join(word("b"), "b")
+    return both.select([F.col(f"{c}_word").alias(c) if c in ("a", "b") else F.col(c) for c in rows.columns])
+
+
 def pair_counts(reviews: DataFrame, text: str = "text", window: int = 5) -> DataFrame:
     """``a, b, n`` in both directions: how often two words stand near each other.
 
     Null texts have no words. Counts are combined on the map side, so frequent pairs are few rows.
     """
-    tokens = words(normalize_text(F.col(text)))
-    pairs = reviews.where(F.col(text).isNotNull()).select(F.explode(neighbor_pairs(tokens, window)).alias("p")).select("p.a", "p.b")
-    once = settle(pairs.groupBy("a", "b").agg(F.count("*").alias("n")), "pairs")
-    both = once.where("a <> b").select(F.col("b").alias("a"), F.col("a").alias("b"), "n")
-    # a word beside itself is its neighbour in both directions
-    return once.select("a", "b", F.when(F.col("a") == F.col("b"), 2 * F.col("n")).otherwise(F.col("n")).alias("n")).unionByName(both)
+    return named(*coded_pair_counts(reviews, text, window))
 
 
 def mutual_information(pairs: DataFrame, min_count: int = 5) -> DataFrame:
@@ -44,10 +90,12 @@ def mutual_information(pairs: DataFrame, min_count: int = 5) -> DataFrame:
 
     Probabilities are taken over the pairs that are left without the rare words.
     """
-    often = pairs.groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("word")
-    often = settle(often, "words")
-    kept = pairs.join(often.withColumnRenamed("word", "a"), "a", "left_semi").join(often.withColumnRenamed("word", "b"), "b", "left_semi")
-    kept = settle(kept.select("a", "b", "n"), "kept")
+    kept = pairs
+    if min_count > 1:
+        often = pairs.groupBy(F.col("a").alias("word")).agg(F.sum("n").alias("n")).where(F.col("n") >= min_count).select("word")
+        often = settle(often, "words")
+        kept = pairs.join(often.withColumnRenamed("word", "a"), "a", "left_semi").join(often.withColumnRenamed("word", "b"), "b", "left_semi")
+        kept = settle(kept.select("a", "b", "n"), "kept")
     single = settle(kept.groupBy("a").agg(F.sum("n").alias("na")), "single")
     total = single.agg(F.sum("na")).scalar()
     rows = kept.join(single, "a").join(single.select(F.col("a").alias("b"), F.col("na").alias("nb")), "b")
@@ -57,10 +105,12 @@ def mutual_information(pairs: DataFrame, min_count: int = 5) -> DataFrame:
 
 def word_vectors(reviews: DataFrame, text: str = "text", dims: int = 32, window: int = 5, min_count: int = 5) -> DataFrame:
     """``word, vector``: leading eigenvectors scaled by the roots of their eigenvalues."""
-    matrix = settle(mutual_information(pair_counts(reviews, text, window), min_count), "information")
-    vectors, values = leading_eigenvectors(matrix, dims)
+    pairs, names = coded_pair_counts(reviews, text, window, min_count)
+    matrix = settle(mutual_information(pairs, 1), "information")
+    names = names.select(F.col("code").alias("key"), "word")
+    vectors, values = leading_eigenvectors(matrix, dims, names=names)
     scale = np.sqrt(np.abs(values))
-    return vectors.select(F.col("key").alias("word"), F.array(*[F.col(c) * float(s) for c, s in zip(column_names("x", dims), scale)]).alias("vector"))
+    return vectors.join(names, "key").select("word", F.array(*[F.col(c) * float(s) for c, s in zip(column_names("x", dims), scale)]).alias("vector"))
 
 
 def category_word_vectors(
@@ -72,7 +122,7 @@ def category_word_vectors(
     words has a null vector.
     """
     vectors = settle(word_vectors(reviews, text, dims, window, min_count), "word_vectors")
-    tokens = words(normalize_text(F.col(text)))
+    tokens = normalized_words(F.col(text))
     counted = reviews.where(F.col(text).isNotNull()).select(group, F.explode(tokens).alias("word"))
     counted = counted.groupBy(group, "word").agg(F.count("*").alias("n"))
     parts = counted.join(vectors, "word")

@@ -4,7 +4,9 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
+from reviewloom.functions import text
 from reviewloom.operators import clusters, embedding, projection, spectra
 
 
@@ -145,3 +147,24 @@ def test_categories_lie_by_their_words(spark):
     assert set(out) == {"fruit", "tools", "none", None, "orchard", "workshop"} and out["none"] is None
     assert cosine(out["orchard"], out["fruit"]) > 0.8 > 0.4 > cosine(out["orchard"], out["tools"])
     assert cosine(out["workshop"], out["tools"]) > 0.8
+
+
+def test_coded_pairs_keep_only_frequent_words(spark):
+    texts = ["red car red bike", "red car http://x.y <b>Red</b> a@b.c car", None, "", "solo", "rare red"] * 3
+    reviews = spark.createDataFrame([(t,) for t in texts], "text string")
+    every = {(r.a, r.b): r.n for r in embedding.pair_counts(reviews, window=2).collect()}
+    total = {a: sum(n for (x, _), n in every.items() if x == a) for a, _ in every}
+    often = {a for a, n in total.items() if n >= 9}
+    assert "rare" not in often and "solo" not in total
+    pairs, names = embedding.coded_pair_counts(reviews, window=2, min_count=9)
+    assert {r.word for r in names.collect()} == often and pairs.dtypes[0] == ("a", "bigint")
+    kept = {(r.a, r.b): r.n for r in embedding.named(pairs, names).collect()}
+    assert kept == {(a, b): n for (a, b), n in every.items() if a in often and b in often}
+
+
+def test_normalized_words_are_those_of_the_normal_text(spark):
+    texts = ["A <b>b</b> C", "see httpx y www.z q", "m@n o p@", "<i", "Ärger Café Iİ", "  ", "", None, "a<b>http://c d@e</b>f", "x y\x1cz"]
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    rows = df.select(text.words(text.normalize_text("text")).alias("x"), text.normalized_words(F.col("text")).alias("y")).collect()
+    assert [r.x for r in rows] == [r.y for r in rows]
+    assert rows[0].y == ["a", "b", "c"] and rows[1].y == ["see", "y", "q"] and rows[-2].y == ["a", "f"]
