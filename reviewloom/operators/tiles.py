@@ -10,6 +10,7 @@ A tile never grows with the data, and a crowded place only gives more tiles.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from itertools import product
 
 import numpy as np
@@ -21,6 +22,9 @@ from reviewloom.staging import settle
 
 TILE_ROWS = 2048
 GRID_DIMS = 3
+SLICE = 500_000  # distances held at once, about the processor's cache
+FEW_DIMS = 8  # up to so many coordinates, differences are faster than a product
+NEAR, ROUNDING = 1e-4, 1e-11  # shares of the largest squares that a product's digits do not settle
 
 
 def matrix(vectors: pd.Series) -> np.ndarray:
@@ -28,13 +32,55 @@ def matrix(vectors: pd.Series) -> np.ndarray:
     return np.stack([np.asarray(v, dtype=np.float64) for v in vectors])
 
 
-def distances(left: np.ndarray, right: np.ndarray) -> np.ndarray:
-    """Euclidean distances, by differences so that equal points are at exactly 0."""
+def _by_differences(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(left), len(right)))
+    gap = np.empty_like(out)
+    for x, y in zip(left.T, right.T):
+        np.subtract(x[:, None], y[None, :], out=gap)
+        out += np.multiply(gap, gap, out=gap)
+    return np.sqrt(out, out=out)
+
+
+def distance_slices(left: np.ndarray, right: np.ndarray, edge: float | None = None) -> Iterator[tuple[slice, np.ndarray]]:
+    """Euclidean distances of slices of the left points to all right ones; the next slice reuses the memory.
+
+    Many coordinates are compared by a matrix product around a common centre. What is so near that this would
+    lose digits, or so near to ``edge`` that rounding could move it across, is taken by
+    differences, so that equal points are at exactly 0.
+    """
+    step = max(1, SLICE // max(1, len(right)))
+    cuts = [slice(at, min(at + step, len(left))) for at in range(0, len(left), step)]
+    wide = left.shape[1] > FEW_DIMS and len(right) > 0
+    if wide:
+        centre = right.mean(axis=0)
+        a, b = left - centre, right - centre
+        size_a, size_b = np.einsum("ij,ij->i", a, a), np.einsum("ij,ij->i", b, b)
+        scale = size_a.max(initial=0.0) + size_b.max()
+        wide = bool(np.isfinite(scale))
+    if not wide:
+        for cut in cuts:
+            yield cut, _by_differences(left[cut], right)
+        return
+    one, two = np.ones((len(a), 1)), np.ones((len(b), 1))
+    rows, columns = np.hstack([-2 * a, size_a[:, None], one]), np.hstack([b, two, size_b[:, None]]).T.copy()
+    memory = np.empty((step, len(b)))
+    for cut in cuts:
+        gap = np.matmul(rows[cut], columns, out=memory[: cut.stop - cut.start])
+        doubtful = gap < NEAR * scale
+        if edge is not None:
+            doubtful |= np.abs(gap - edge * edge) < ROUNDING * scale
+        if doubtful.any():
+            i, j = np.nonzero(doubtful)
+            apart = left[cut][i] - right[j]
+            gap[i, j] = np.einsum("ij,ij->i", apart, apart)
+        yield cut, np.sqrt(gap, out=gap)
+
+
+def distances(left: np.ndarray, right: np.ndarray, edge: float | None = None) -> np.ndarray:
+    """Euclidean distances of all left to all right points; see :func:`distance_slices`."""
     out = np.empty((len(left), len(right)))
-    step = max(1, 130_000 // max(1, right.size))  # a slice that stays in the processor cache
-    for at in range(0, len(left), step):
-        gap = left[at : at + step, None, :] - right[None, :, :]
-        out[at : at + step] = np.sqrt(np.einsum("ijk,ijk->ij", gap, gap))
+    for cut, gap in distance_slices(left, right, edge):
+        out[cut] = gap
     return out
 
 
@@ -95,6 +141,13 @@ def tile_against_tile(
     return _cogroup(lhs, rhs, block, schema)
 
 
+def tiles_once(tiled: DataFrame, n: int, block, schema: str) -> DataFrame:
+    """Run ``block(tile, other_tile)`` once for each two of ``n`` tiles and for each tile with itself."""
+    lhs = tiled.withColumnRenamed("_tile", "_lt").withColumn("_rt", F.explode(F.sequence("_lt", F.lit(n - 1))))
+    rhs = tiled.withColumnRenamed("_tile", "_rt").withColumn("_lt", F.explode(F.sequence(F.lit(0), "_rt")))
+    return _cogroup(lhs, rhs, block, schema)
+
+
 def _tile_name() -> Column:
     return F.concat_ws(",", F.col("_cell").cast("array<string>"), F.col("_sub").cast("string"))
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -12,52 +14,89 @@ from reviewloom.contracts import NOISE
 from reviewloom.operators.tiles import (
     TILE_ROWS,
     cluster_tiles,
+    distance_slices,
     distances,
     even_tiles,
     matrix,
     tile_against_tile,
+    tiles_once,
 )
 from reviewloom.staging import settle
 
+WIDE_TILE = 4 * TILE_ROWS  # points of a tile of many: rows are sent to each tile, so fewer tiles move less
+SPREAD = 24  # tiles at least before they are as wide as that
+MANY = 64  # clusters of a tile whose sums over another tile are held at once
+
 
 def _square_gap(a: Column, b: Column) -> Column:
     gaps = F.zip_with(a, b, lambda x, y: (x - y) * (x - y))
     return F.aggregate(gaps, F.lit(0.0), lambda acc, x: acc + x)
 
 
-def _silhouette_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-    """Distance sums of each left point to the clusters of the right tile.
+class _Sums:
+    """Distance sums of the points of one tile to the clusters of another, as they are finished.
 
-    A cluster that lies wholly in the tile is finished here: only the nearest of
-    those is returned, and the own cluster's sum. A spread cluster returns its part.
+    A cluster that lies wholly in the other tile is finished here: only the nearest of
+    those is kept, and the own cluster's sum. A spread cluster's part is kept as it is.
     """
-    gap = distances(matrix(left["vector"]), matrix(right["vector"]))
-    clusters, code = np.unique(right["cluster"].to_numpy(), return_inverse=True)
-    member = np.zeros((len(right), len(clusters)))
-    member[np.arange(len(right)), code] = 1.0
-    sums, sizes = gap @ member, member.sum(axis=0)
-    whole = np.zeros(len(clusters), dtype=bool)
-    whole[code] = right["_whole"].to_numpy()
-    own = left["cluster"].to_numpy()[:, None] == clusters[None, :]
-    out = []
-
-    def emit(row, col):
-        out.append(
-            pd.DataFrame(
-                {"key": left["key"].to_numpy()[row], "other": clusters[col], "total": sums[row, col], "n": sizes[col].astype("int64")}
-            )
+
+    def __init__(self, other: pd.DataFrame):
+        """``other`` is sorted by ``code``, the number of its cluster in the tile."""
+        first = other.drop_duplicates("code")
+        self.clusters, self.whole = first["cluster"].to_numpy(), first["_whole"].to_numpy().astype(bool)
+        self.sizes = other.groupby("code").size().to_numpy()
+        self.starts = np.concatenate([[0], np.cumsum(self.sizes)[:-1]])
+        self.out: list[pd.DataFrame] = []
+
+    def _emit(self, keys: np.ndarray, sums: np.ndarray, row: np.ndarray, col: np.ndarray) -> None:
+        self.out.append(
+            pd.DataFrame({"key": keys[row], "other": self.clusters[col], "total": sums[row, col], "n": self.sizes[col].astype("int64")})
         )
 
-    emit(*np.nonzero(own | ~whole[None, :]))
-    rivals = np.where(whole[None, :] & ~own, sums / sizes, np.inf)
-    nearest = rivals.argmin(axis=1)
-    row = np.nonzero(np.isfinite(rivals[np.arange(len(left)), nearest]))[0]
-    emit(row, nearest[row])
-    return pd.concat(out, ignore_index=True)
+    def add(self, keys: np.ndarray, own_cluster: np.ndarray, sums: np.ndarray) -> None:
+        own = own_cluster[:, None] == self.clusters[None, :]
+        self._emit(keys, sums, *np.nonzero(own | ~self.whole[None, :]))
+        rivals = np.where(self.whole[None, :] & ~own, sums / self.sizes, np.inf)
+        nearest = rivals.argmin(axis=1)
+        row = np.nonzero(np.isfinite(rivals[np.arange(len(keys)), nearest]))[0]
+        self._emit(keys, sums, row, nearest[row])
+
+
+def _sorted(tile: pd.DataFrame) -> pd.DataFrame:
+    code = np.unique(tile["cluster"].to_numpy(), return_inverse=True)[1]
+    return tile.assign(code=code).sort_values("code", kind="stable", ignore_index=True)
+
+
+def _silhouette_block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """Distance sums of the points of two tiles to each other's clusters; distances are taken once,
+    unless the left tile holds so many clusters that their sums would not fit."""
+    itself = left["_lt"].iloc[0] == left["_rt"].iloc[0]
+    left, right = _sorted(left), _sorted(right)
+    back = not itself and left["code"].iloc[-1] < MANY
+    found = _one_way(left, right, back)
+    if not itself and not back:
+        found += _one_way(right, left, False)
+    return pd.concat(found, ignore_index=True)
+
+
+def _one_way(left: pd.DataFrame, right: pd.DataFrame, back: bool) -> list[pd.DataFrame]:
+    """Sums of the left points and, with ``back``, those of the right points to the left tile."""
+    there, here = _Sums(right), _Sums(left)
+    keys, clusters, code = left["key"].to_numpy(), left["cluster"].to_numpy(), left["code"].to_numpy()
+    returned = np.zeros((len(right), len(here.sizes))) if back else None
+    for cut, gap in distance_slices(matrix(left["vector"]), matrix(right["vector"])):
+        there.add(keys[cut], clusters[cut], np.add.reduceat(gap, there.starts, axis=1))
+        if back:
+            member = np.zeros((len(gap), len(here.sizes)))
+            member[np.arange(len(gap)), code[cut]] = 1.0
+            returned += gap.T @ member
+    if back:
+        here.add(right["key"].to_numpy(), right["cluster"].to_numpy(), returned)
+    return there.out + here.out
 
 
 def silhouette_samples(
-    points: DataFrame, key: str = "category", vector: str = "vector", tile_rows: int = TILE_ROWS
+    points: DataFrame, key: str = "category", vector: str = "vector", tile_rows: int = WIDE_TILE
 ) -> DataFrame:
     """Silhouette of every point; noise counts as one more cluster.
 
@@ -72,10 +111,10 @@ def silhouette_samples(
         ),
         "points",
     )
-    right, n_right = cluster_tiles(base, "cluster", "key", tile_rows)
-    left, n_left = even_tiles(base, "key", tile_rows)
+    rows = min(tile_rows, max(TILE_ROWS, math.ceil(base.count() / SPREAD)))
+    tiled, n_tiles = cluster_tiles(base, "cluster", "key", rows)
     schema = f"key {types[key]}, other {types['cluster']}, total double, n bigint"
-    sums = tile_against_tile(left, n_left, right, n_right, _silhouette_block, schema)
+    sums = tiles_once(tiled, n_tiles, _silhouette_block, schema)
     means = sums.groupBy("key", "other").agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
     own = F.col("other") == F.col("cluster")
     inner = F.max(F.when(own, F.try_divide(F.col("total"), F.col("n") - 1)))
