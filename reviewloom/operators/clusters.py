@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.ml import Pipeline, PipelineModel
@@ -13,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession, Window as W, functions as F
 from reviewloom.contracts import NOISE
 from reviewloom.functions.text import normalize_text, words
 from reviewloom.operators.ranks import range_positions
-from reviewloom.operators.tiles import TILE_ROWS, distances, matrix, near_blocks, near_tiles
+from reviewloom.operators.tiles import FEW_DIMS, SPREAD, TILE_ROWS, WIDE_TILE, distance_slices, matrix, near_blocks, near_tiles
 from reviewloom.staging import settle
 
 
@@ -98,16 +100,44 @@ def _all_stars(edges: DataFrame) -> bool:
 # ------------------------------------------------------------- density clusters
 
 
+def _itself(left: pd.DataFrame, right: pd.DataFrame) -> np.ndarray | None:
+    """Place of each left point among the right ones if both are the same tile."""
+    if left["_lt"].iloc[0] != left["_rt"].iloc[0]:
+        return None
+    place = pd.Series(np.arange(len(right)), index=right["key"].to_numpy())
+    return place[left["key"].to_numpy()].to_numpy()
+
+
 def _core_block(k: int, radius: float):
+    """Up to ``k`` nearest points within ``radius`` of each point of two tiles in the other one."""
+
+    def nearest(gap: np.ndarray, few: int) -> np.ndarray:
+        return gap.argmin(axis=0)[None, :] if few == 1 else np.argpartition(gap, few - 1, axis=0)[:few]
+
     def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        gap = distances(matrix(left["vector"]), matrix(right["vector"]))
-        gap[left["key"].to_numpy()[:, None] == right["key"].to_numpy()[None, :]] = np.inf
-        few = min(k, gap.shape[1])
-        nearest = np.argpartition(gap, few - 1, axis=1)[:, :few]
-        near = np.take_along_axis(gap, nearest, axis=1)
-        row, col = np.nonzero(near <= radius)
-        copies = right["n"].to_numpy()[nearest[row, col]]
-        return pd.DataFrame({"key": left["key"].to_numpy()[row], "distance": near[row, col], "n": copies})
+        same, out = _itself(left, right), []
+        a, b = left["key"].to_numpy(), right["key"].to_numpy()
+        copies_a, copies_b = left["n"].to_numpy(), right["n"].to_numpy()
+        least, n = np.empty((0, len(right))), np.empty((0, len(right)), dtype="int64")  # nearest left points of each right one
+
+        def emit(keys: np.ndarray, gap: np.ndarray, copies: np.ndarray) -> None:
+            row, col = np.nonzero(gap <= radius)
+            out.append(pd.DataFrame({"key": keys[col], "distance": gap[row, col], "n": copies[row, col]}))
+
+        for cut, gap in distance_slices(matrix(left["vector"]), matrix(right["vector"]), radius):
+            if same is not None:
+                gap[np.arange(len(gap)), same[cut]] = np.inf
+            near = nearest(gap.T, min(k, len(b)))
+            emit(a[cut], np.take_along_axis(gap.T, near, axis=0), copies_b[near])
+            if same is None:
+                near = nearest(gap, min(k, len(gap)))
+                least = np.concatenate([least, np.take_along_axis(gap, near, axis=0)])
+                n = np.concatenate([n, copies_a[cut][near]])
+                if len(least) > k:
+                    near = nearest(least, k)
+                    least, n = np.take_along_axis(least, near, axis=0), np.take_along_axis(n, near, axis=0)
+        emit(b, least, n)
+        return pd.concat(out, ignore_index=True)
 
     return block
 
@@ -135,33 +165,65 @@ def _least_linked(link: np.ndarray, rows: np.ndarray, columns: np.ndarray, n: in
     return root
 
 
+def _joined(one: np.ndarray, two: np.ndarray, n: int) -> np.ndarray:
+    """Least number linked to each of ``n`` numbers by the pairs ``one, two``, directly or not."""
+    root = np.arange(n)
+    while len(one):
+        low = np.minimum(root[one], root[two])
+        new = root.copy()
+        for end in (one, two):
+            np.minimum.at(new, root[end], low)
+            np.minimum.at(new, end, low)
+        while (new[new] != new).any():
+            new = new[new]
+        if (new == root).all():
+            break
+        root = new
+    return root
+
+
 def _link_block(eps: float, alpha: float):
-    """Mutual reachability inside a block, reduced to its components.
+    """Mutual reachability between two tiles, reduced to their components.
 
-    Returns one row per left point with its smallest mutual reachability (``root``
+    Returns one row per point with its smallest mutual reachability (``root``
     null), and one row per member of a component with the component's smallest key.
     """
 
     def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+        same = _itself(left, right)
         a, b = left["key"].to_numpy(), right["key"].to_numpy()
-        same = a[:, None] == b[None, :]
-        reach = distances(matrix(left["vector"]), matrix(right["vector"])) / alpha
-        reach = np.maximum(reach, np.maximum.outer(left["core"].to_numpy(), right["core"].to_numpy()))
-        reach[same] = np.inf
-        best = reach.min(axis=1)
-        linked = (reach <= eps) | same
-        member = (reach <= eps).any(axis=1)
-        link = linked[member]
+        core_a, core_b = left["core"].to_numpy(), right["core"].to_numpy()
         every, code = np.unique(np.concatenate([a, b]), return_inverse=True)
-        root = _least_linked(link, code[: len(a)][member], code[len(a) :], len(every))
-        found = np.unique(np.concatenate([code[: len(a)][member], code[len(a) :][link.any(axis=0)]]))
-        keys, roots = every[found], every[root[found]]
+        code_a, code_b = code[: len(a)], code[len(a) :]
+        best_a, best_b = np.empty(len(a)), np.full(len(b), np.inf)
+        one, two = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for cut, reach in distance_slices(matrix(left["vector"]), matrix(right["vector"]), eps * alpha):
+            reach /= alpha
+            np.maximum(reach, core_a[cut][:, None], out=reach)
+            np.maximum(reach, core_b[None, :], out=reach)
+            if same is not None:
+                reach[np.arange(len(reach)), same[cut]] = np.inf
+            best_a[cut] = reach.min(axis=1)
+            np.minimum(best_b, reach.min(axis=0), out=best_b)
+            link = reach <= eps
+            if np.count_nonzero(link) <= 4 * sum(link.shape):
+                i, j = np.nonzero(link)
+                one.append(code_a[cut][i]), two.append(code_b[j])
+            else:  # a slice's links are too many: keep who belongs together
+                member, other = link.any(axis=1), link.any(axis=0)
+                involved = np.concatenate([code_a[cut][member], code_b[other]])
+                root = _least_linked(link[member], code_a[cut][member], code_b, len(every))
+                one.append(involved), two.append(root[involved])
+        one, two = np.concatenate(one), np.concatenate(two)
+        found = np.unique(np.concatenate([one, two]))
+        root = _joined(one, two, len(every))
+        keys, best = (a, best_a) if same is not None else (np.concatenate([a, b]), np.concatenate([best_a, best_b]))
         kept = best <= eps
         return pd.DataFrame(
             {
-                "key": np.concatenate([a[kept], keys.astype(a.dtype)]),
-                "root": np.concatenate([np.full(kept.sum(), None, dtype=object), roots.astype(object)]),
-                "reach": np.concatenate([best[kept], np.full(len(keys), np.nan)]),
+                "key": np.concatenate([keys[kept], every[found].astype(keys.dtype)]),
+                "root": np.concatenate([np.full(kept.sum(), None, dtype=object), every[root[found]].astype(object)]),
+                "reach": np.concatenate([best[kept], np.full(len(found), np.nan)]),
             }
         )
 
@@ -176,7 +238,7 @@ def density_labels(
     alpha: float = 0.5,
     key: str = "category",
     vector: str = "vector",
-    tile_rows: int = TILE_ROWS,
+    tile_rows: int = WIDE_TILE,
 ) -> DataFrame:
     """Cluster id and membership probability of every point.
 
@@ -193,7 +255,12 @@ def density_labels(
     point = base.groupBy("vector").agg(F.min("key").alias("key"), F.count("*").alias("n"))
     point = settle(point, "points")
     radius = eps * max(1.0, alpha)
-    tiled, pairs = near_tiles(point, "vector", "key", radius, tile_rows)
+    shape = point.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dims")).first()
+    # cells do not tell many coordinates apart: there fewer tiles move less
+    widest = max(TILE_ROWS, math.ceil(shape["n"] / SPREAD)) if (shape["dims"] or 0) > FEW_DIMS else TILE_ROWS
+    tiled, pairs = near_tiles(point, "vector", "key", radius, min(tile_rows, widest))
+    pairs = settle(pairs.where("_lt <= _rt"), "pairs")
+    tiled = settle(tiled, "tiled")
     near = near_blocks(
         tiled, tiled, pairs, _core_block(min_samples, radius), f"key {key_type}, distance double, n bigint"
     )

@@ -12,7 +12,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewloom.contracts import NOISE
 from reviewloom.operators.tiles import (
+    SPREAD,
     TILE_ROWS,
+    WIDE_TILE,
     cluster_tiles,
     distance_slices,
     distances,
@@ -23,8 +25,6 @@ from reviewloom.operators.tiles import (
 )
 from reviewloom.staging import settle
 
-WIDE_TILE = 4 * TILE_ROWS  # points of a tile of many: rows are sent to each tile, so fewer tiles move less
-SPREAD = 24  # tiles at least before they are as wide as that
 MANY = 64  # clusters of a tile whose sums over another tile are held at once
 
 

@@ -250,3 +250,40 @@ def test_least_linked_follows_chains():
         link[x, y] = True
     root = _least_linked(link, np.arange(n), np.arange(n), n)
     assert set(root[order[:150]]) == {order[:150].min()} and (root[order[150:]] == order[150:]).all()
+
+
+def test_distances_by_product_keep_near_points_and_edges():
+    rng = np.random.default_rng(3)
+    left = rng.normal(size=(300, 20)) + 1e4
+    right = np.concatenate([left[:40], left[40:80] + 1e-7, rng.normal(size=(200, 20)) + 1e4])
+    want = np.sqrt(((left[:, None] - right[None]) ** 2).sum(-1))
+    got = tiles.distances(left, right)
+    assert (got[np.arange(40), np.arange(40)] == 0).all()
+    assert np.allclose(got, want, rtol=1e-9, atol=0)
+    gap = left[100] - right[200]
+    edge = np.sqrt(np.einsum("i,i", gap, gap))
+    assert tiles.distances(left, right, edge)[100, 200] == edge
+    left[0, 0] = np.nan
+    odd = np.isnan(tiles.distances(left, right))
+    assert odd[0].all() and not odd[1:].any()
+
+
+def test_two_tiles_meet_once(spark):
+    import pandas as pd
+
+    rows = spark.createDataFrame([(i, i % 5) for i in range(50)], "key long, _tile int")
+
+    def block(left, right):
+        return pd.DataFrame({"a": [left["_lt"].iloc[0]], "b": [right["_rt"].iloc[0]], "n": [len(left) * len(right)]})
+
+    out = tiles.tiles_once(rows, 5, block, "a int, b int, n long").collect()
+    assert sorted((r.a, r.b) for r in out) == [(a, b) for a in range(5) for b in range(a, 5)] and {r.n for r in out} == {100}
+
+
+@pytest.mark.parametrize("min_samples", [1, 3])
+def test_many_coordinates_against_all_pairs(spark, min_samples):
+    vectors = blobs(seed=6, n=90, dims=12)
+    out = clusters.density_labels(table(spark, vectors), 2, min_samples, 0.4, 1.0, tile_rows=32).orderBy("category").collect()
+    label, prob = plain_labels(vectors, 2, min_samples, 0.4, 1.0)
+    assert [r.cluster for r in out] == label
+    assert [r.probability for r in out] == pytest.approx(prob)
