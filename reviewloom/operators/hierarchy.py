@@ -6,9 +6,8 @@ clusters. The condensed tree keeps what has at least ``min_size`` points: a clus
 parts from another one, loses points on the way down, and ends where it splits. Chosen are
 the clusters of most excess of mass, no one inside another.
 
-- Candidates for the spanning tree come from tiles near each other, at growing reach. A task
-  joins two tiles by Prim's steps and returns a forest; what is already linked counts as one
-  node, and tiles that lie in one linked part are not compared again.
+- Candidates for the spanning tree come from :mod:`reviewloom.operators.reachability`: all short edges by
+  forests of tiles with their surroundings, longer ones by searches from what is not yet linked.
 - The tree is built from the edges in levels of bounded size by rising weight. A level works
   on what the ones below have joined to single nodes, part by part; its choices are handed down in
   the opposite order.
@@ -25,138 +24,18 @@ from itertools import groupby
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window as W, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 from reviewloom.contracts import NOISE
-from reviewloom.operators.clusters import connected_components
+from reviewloom.operators.components import connected_components
 from reviewloom.operators.ranks import range_positions
-from reviewloom.operators.tiles import matrix, near_blocks, reaching_tiles
+from reviewloom.operators.reachability import TREE_TILE, core_distances, tree_edges
 from reviewloom.staging import settle
 
-TREE_TILE = 1024  # points of a tile
 LEVEL = 200_000  # edges of a level
-WIDEN, WIDENINGS = 4, 3  # how much farther each pass reaches; passes before all tiles are combined
 TINY = 1e-9  # distances below count as this much where density is their reciprocal
 
 
-def _reaches(n: int, rows: int) -> list[float]:
-    """Radii to try: none while tiles hold all near points, then wider, then everything."""
-    return [math.inf] if n <= rows else [0.0] * WIDENINGS + [math.inf]
-
-
-# ------------------------------------------------------------- core distances
-
-
-def _nearest_block(k: int, reach: float):
-    def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        a, b = matrix(left["vector"]), matrix(right["vector"])
-        own, other, copies = left["key"].to_numpy(), right["key"].to_numpy(), right["n"].to_numpy()
-        keys, gaps, counts = [], [], []
-        for i in range(len(a)):
-            gap = np.sqrt(np.square(b - a[i]).sum(axis=1))
-            gap[other == own[i]] = np.inf
-            near = np.argpartition(gap, min(k, len(gap)) - 1)[:k]
-            near = near[gap[near] <= min(reach, np.finfo(float).max)]
-            keys += [own[i]] * len(near)
-            gaps.append(gap[near]), counts.append(copies[near])
-        return pd.DataFrame({"key": np.array(keys, dtype=object), "distance": np.concatenate(gaps), "n": np.concatenate(counts)})
-
-    return block
-
-
-def core_distances(points: DataFrame, k: int, rows: int = TREE_TILE) -> DataFrame:
-    """``key, n, vector, core`` of points with ``n`` copies: distance to the ``k``-th other point.
-
-    A point that has too few neighbours within a pass's reach waits for the next one. Points with fewer
-    than ``k`` others at all have an infinite core distance.
-    """
-    key_type, done, radius = dict(points.dtypes)["key"], None, 0.0
-    open_points = points
-    for radius_given in _reaches(points.count(), rows):
-        radius = max(radius, radius_given)
-        tiled, pairs, reach = reaching_tiles(points, "vector", "key", radius, rows)
-        left = tiled.join(open_points.select("key"), "key", "left_semi")
-        near = near_blocks(left, tiled, pairs, _nearest_block(k, reach), f"key {key_type}, distance double, n bigint")
-        copies = open_points.where("n > 1").select("key", F.lit(0.0).alias("distance"), (F.col("n") - 1).alias("n"))
-        running = W.partitionBy("key").orderBy("distance").rowsBetween(W.unboundedPreceding, 0)
-        seen = near.unionByName(copies).withColumn("seen", F.sum("n").over(running)).where(F.col("seen") >= k)
-        found = seen.groupBy("key").agg(F.min("distance").alias("core"))
-        if not math.isinf(reach):
-            found = settle(found, "core")
-        done = found if done is None else done.unionByName(found)
-        if math.isinf(reach):
-            break
-        open_points = settle(open_points.join(found, "key", "left_anti"), "open")
-        if open_points.isEmpty():
-            break
-        radius = reach * WIDEN
-    return points.join(done, "key", "left").withColumn("core", F.coalesce("core", F.lit(math.inf)))
-
-
-# ------------------------------------------------------ spanning tree candidates
-
-
-def _forest_block(reach: float, alpha: float):
-    """A minimum spanning forest of two tiles up to ``reach``, with linked parts as single nodes."""
-
-    def block(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        rows = pd.concat([left, right], ignore_index=True).drop_duplicates("key", ignore_index=True)
-        point, core = matrix(rows["vector"]), rows["core"].to_numpy()
-        part, key = pd.factorize(rows["part"])[0], rows["key"].to_numpy()
-        best, source = np.full(len(rows), np.inf), np.zeros(len(rows), np.int64)
-        outside, out = np.ones(len(rows), bool), []
-        linked = np.zeros(len(rows), bool)  # in a part that the tree has reached
-        for _ in range(len(rows)):
-            rank = np.where(linked & outside, -1.0, np.where(outside, best, np.inf))
-            now = int(rank.argmin())
-            if not outside[now]:
-                now = int(outside.argmax())  # nothing is within reach: begin another tree
-            elif not linked[now] and best[now] < np.inf:
-                out.append((key[source[now]], key[now], best[now]))
-            if not linked[now]:
-                linked |= part == part[now]
-            outside[now] = False
-            gap = np.sqrt(np.square(point - point[now]).sum(axis=1)) / alpha
-            gap = np.maximum(gap, np.maximum(core, core[now]))
-            nearer = outside & ~linked & (gap < best) & (gap <= reach)
-            best[nearer], source[nearer] = gap[nearer], now
-        return pd.DataFrame(out, columns=["a", "b", "weight"])
-
-    return block
-
-
-def tree_edges(points: DataFrame, alpha: float = 1.0, rows: int = TREE_TILE) -> DataFrame:
-    """``a, b, weight``: edges that hold a minimum spanning tree of the mutual reachability.
-
-    ``points`` has ``key, vector, core``. Passes at growing reach end when all is linked.
-    """
-    key_type, all_edges, radius = dict(points.dtypes)["key"], None, 0.0
-    points = points.where(F.col("core") < math.inf).withColumn("part", F.col("key"))
-    for radius_given in _reaches(points.count(), rows):
-        radius = max(radius, radius_given)
-        tiled, pairs, reach = reaching_tiles(points, "vector", "key", radius, rows)
-        tiled = settle(tiled, "tiled")
-        only = tiled.groupBy("_tile").agg(F.min("part").alias("low"), F.max("part").alias("high"))
-        one = only.where("low = high").select("_tile", "low")
-        ends = pairs.where("_lt <= _rt")
-        ends = ends.join(one.select(F.col("_tile").alias("_lt"), F.col("low").alias("_l")), "_lt", "left")
-        ends = ends.join(one.select(F.col("_tile").alias("_rt"), F.col("low").alias("_r")), "_rt", "left")
-        ends = settle(ends.where("_l is null or _r is null or _l <> _r").select("_lt", "_rt"), "pairs")
-        block = _forest_block(reach / alpha, alpha)
-        found = near_blocks(tiled, tiled, ends, block, f"a {key_type}, b {key_type}, weight double")
-        found = settle(found, "edges")
-        all_edges = found if all_edges is None else all_edges.unionByName(found)
-        if math.isinf(reach):
-            break
-        linked = connected_components(all_edges.select("a", "b")).withColumnRenamed("node", "key")
-        points = points.drop("part").join(linked, "key", "left").withColumn("part", F.coalesce("root", "key")).drop("root")
-        points = settle(points, "parts")
-        if points.select("part").distinct().limit(2).count() < 2:
-            break
-        radius = reach * WIDEN
-    return all_edges
-
-
 # --------------------------------------------------------------- condensed tree
 
 # What a level tells, by ``kind``: an edge of the spanning tree (a, b), a point or node that leaves

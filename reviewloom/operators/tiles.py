@@ -26,6 +26,9 @@ SPREAD = 24  # tiles at least before they are as wide as that
 GRID_DIMS = 3
 SLICE = 500_000  # distances held at once, about the processor's cache
 FEW_DIMS = 8  # up to so many coordinates, differences are faster than a product
+BOX_DIMS = 16  # coordinates that a tile's box covers
+SEARCHES = 8 * TILE_ROWS  # points, about, that search one tile in one task
+SLACK = 1 + 1e-9  # bounds by boxes are widened by this for rounding
 NEAR, ROUNDING = 1e-4, 1e-11  # shares of the largest squares that a product's digits do not settle
 
 
@@ -207,3 +210,115 @@ def near_blocks(left: DataFrame, right: DataFrame, pairs: DataFrame, block, sche
     lhs = left.withColumnRenamed("_tile", "_lt").join(pairs, "_lt")
     rhs = right.withColumnRenamed("_tile", "_rt").join(pairs, "_rt")
     return _cogroup(lhs, rhs, block, schema)
+
+
+# --------------------------------------------------- searches bounded by boxes
+
+
+def exact_slices(left: np.ndarray, right: np.ndarray) -> Iterator[tuple[slice, np.ndarray]]:
+    """Like :func:`distance_slices`, by differences whatever the number of coordinates."""
+    step = max(1, SLICE // max(1, len(right)))
+    for at in range(0, len(left), step):
+        cut = slice(at, min(at + step, len(left)))
+        yield cut, _by_differences(left[cut], right)
+
+
+def has_place(vector: str) -> Column:
+    """Has the vector only finite coordinates?"""
+    finite = F.forall(vector, lambda x: x.isNotNull() & (F.abs(x) < F.lit(math.inf)))
+    return F.coalesce(finite, F.lit(False))
+
+
+def box_tiles(points: DataFrame, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Points (``key, vector``, finite) with ``_tile``, and the boxes of the tiles: ``_tile, low, high, n``.
+
+    Slabs of equal numbers of points are cut along the leading coordinates in turn, so that a
+    tile is small where points are many. What cannot be cut, as the leading coordinates are
+    equal, is dealt by key. Boxes cover the first ``BOX_DIMS`` coordinates.
+    """
+    shape = points.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dims")).first()
+    dims = max(1, shape["dims"] or 1)
+    cut_dims = min(dims, GRID_DIMS)
+    per_axis = math.ceil(max(1.0, shape["n"] / rows) ** (1.0 / cut_dims))
+    placed = points.withColumn("_tile", F.lit(0).cast("bigint"))
+    if per_axis > 1:
+        shares = [i / per_axis for i in range(1, per_axis)]
+        for axis in range(cut_dims):
+            x = F.get("vector", F.lit(axis))
+            cuts = placed.groupBy("_tile").agg(F.percentile_approx(x, shares, 1000).alias("_cuts"))
+            cuts = settle(cuts, "cuts")
+            slab = F.size(F.filter("_cuts", lambda c: c < x))  # noqa: B023
+            placed = placed.join(cuts, "_tile").withColumn("_tile", F.col("_tile") * per_axis + slab).drop("_cuts")
+        subs = placed.groupBy("_tile").agg(F.ceil(F.count("*") / (2 * rows)).alias("_subs"))
+        placed = placed.join(settle(subs, "subs"), "_tile")
+        sub = F.pmod(F.xxhash64("key"), F.col("_subs"))
+        placed = placed.withColumn("_tile", F.concat_ws("-", F.col("_tile").cast("string"), sub.cast("string"))).drop("_subs")
+    else:
+        placed = placed.withColumn("_tile", F.lit("0-0"))
+    placed = settle(placed, "tiled")
+    ends = [F.get("vector", F.lit(i)) for i in range(min(dims, BOX_DIMS))]
+    boxes = placed.groupBy("_tile").agg(
+        F.array(*map(F.min, ends)).alias("low"), F.array(*map(F.max, ends)).alias("high"), F.count("*").alias("n")
+    )
+    return placed, settle(boxes, "boxes")
+
+
+def _far_boxes(low: Column, high: Column, other_low: Column, other_high: Column) -> Column:
+    """Distance of two boxes."""
+    minus = lambda a, b: a - b
+    gaps = F.zip_with(
+        F.zip_with(other_low, high, minus), F.zip_with(low, other_high, minus), lambda a, b: F.greatest(a, b, F.lit(0.0))
+    )
+    return F.sqrt(F.aggregate(gaps, F.lit(0.0), lambda acc, x: acc + x * x))
+
+
+def _from_box(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """Distance of each point to a box over its leading coordinates."""
+    out = np.zeros(len(points))
+    for x, least, most in zip(points.T, low, high):
+        gap = np.maximum(np.maximum(least - x, x - most), 0.0)
+        out += gap * gap
+    return np.sqrt(out)
+
+
+def searches(sources: DataFrame, boxes: DataFrame, once: bool = False) -> DataFrame:
+    """Sources (``key, vector, bound, _tile``, ...) once for each other tile, now ``_tile``, whose box
+    is within their own ``bound``.
+
+    With ``boxes.part``, the tile's only part or null, a source leaves out tiles that lie wholly in its
+    own ``part``. With ``once`` only one of two tiles searches the other one.
+    """
+    widest = sources.groupBy("_tile").agg(F.max("bound").alias("widest"))
+    one = boxes.join(widest, "_tile").select(F.col("_tile").alias("_lt"), F.col("low").alias("_low"), F.col("high").alias("_high"), "widest")
+    given = [c for c in ("part",) if c in boxes.columns]
+    two = boxes.select(F.col("_tile").alias("_rt"), "low", "high", *given)
+    far = _far_boxes(F.col("_low"), F.col("_high"), F.col("low"), F.col("high"))
+    ordered = F.col("_lt") < F.col("_rt") if once else F.col("_lt") != F.col("_rt")
+    pairs = one.join(two, ordered & (far <= F.col("widest") * SLACK)).select("_lt", "_rt", "low", "high", *given)
+    names = sources.columns
+
+    def run(points: pd.DataFrame, near: pd.DataFrame) -> pd.DataFrame:
+        if points.empty or near.empty:
+            return pd.DataFrame(columns=names)
+        place, bound, out = matrix(points["vector"]), points["bound"].to_numpy() * SLACK, []
+        low, high, tile = matrix(near["low"]), matrix(near["high"]), near["_rt"].to_numpy()
+        for i in range(len(near)):
+            wanted = _from_box(place, low[i], high[i]) <= bound
+            if given:
+                wanted &= (points["part"] != near["part"].iat[i]).to_numpy()
+            if wanted.any():
+                out.append(points[wanted].assign(_tile=tile[i]))
+        return pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=names)
+
+    return sources.groupBy("_tile").cogroup(pairs.groupBy("_lt")).applyInPandas(run, sources.schema)
+
+
+def search_blocks(requests: DataFrame, tiled: DataFrame, block, schema: str) -> DataFrame:
+    """Run ``block(searching points, points of the tile)`` for each tile; many searches of one tile are dealt
+    over tasks."""
+    requests = settle(requests, "requests")
+    chunks = requests.groupBy("_tile").agg(F.ceil(F.count("*") / SEARCHES).alias("_chunks"))
+    chunks = settle(chunks, "chunks")
+    lhs = requests.join(chunks, "_tile").withColumn("_rt", F.pmod(F.xxhash64("key"), F.col("_chunks"))).drop("_chunks")
+    rhs = tiled.join(chunks, "_tile").withColumn("_rt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_chunks") - 1))).drop("_chunks")
+    return _cogroup(lhs.withColumnRenamed("_tile", "_lt"), rhs.withColumnRenamed("_tile", "_lt"), block, schema)
