@@ -16,6 +16,7 @@ from reviewloom.contracts import NOISE
 from reviewloom.functions.text import normalize_text, words
 from reviewloom.operators.components import connected_components, joined
 from reviewloom.operators.ranks import range_positions
+from reviewloom.operators.reachability import TREE_TILE, core_distances, tree_edges
 from reviewloom.operators.tiles import FEW_DIMS, SPREAD, TILE_ROWS, WIDE_TILE, distance_slices, matrix, near_blocks, near_tiles
 from reviewloom.staging import settle
 
@@ -175,6 +176,40 @@ def _link_block(eps: float, alpha: float):
     return block
 
 
+def _few_links(point: DataFrame, min_samples: int, eps: float, alpha: float, rows: int) -> tuple[DataFrame, DataFrame]:
+    """Core distances within ``eps`` (``key, core``) and the spanning forest up to ``eps``, from both ends: ``a, b, reach``.
+
+    The shortest edge of the forest at a point is its smallest mutual reachability.
+    """
+    cored = settle(core_distances(point.select("key", "n", "vector"), min_samples, rows, eps).where(F.col("core") <= eps), "core")
+    edges = settle(tree_edges(cored, alpha, rows, eps).withColumnRenamed("weight", "reach"), "edges")
+    return cored.select("key", "core"), edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"), "reach"))
+
+
+def _wide_links(
+    point: DataFrame, n: int, min_samples: int, eps: float, alpha: float, tile_rows: int
+) -> tuple[DataFrame, DataFrame]:
+    """Like :func:`_few_links` for many coordinates. ``b`` is a member of the same component with null ``reach``,
+    or null beside the smallest mutual reachability of ``a``."""
+    key_type, radius = dict(point.dtypes)["key"], eps * max(1.0, alpha)
+    # cells do not tell many coordinates apart: there fewer tiles move less
+    widest = max(TILE_ROWS, math.ceil(n / SPREAD))
+    tiled, pairs = near_tiles(point, "vector", "key", radius, min(tile_rows, widest))
+    pairs = settle(pairs.where("_lt <= _rt"), "pairs")
+    tiled = settle(tiled, "tiled")
+    near = near_blocks(
+        tiled, tiled, pairs, _core_block(min_samples, radius), f"key {key_type}, distance double, n bigint"
+    )
+    copies = point.where("n > 1").select("key", F.lit(0.0).alias("distance"), (F.col("n") - 1).alias("n"))
+    core = settle(_core_distance(near.unionByName(copies), min_samples).where(F.col("core") <= eps), "core")
+    dense = tiled.join(core, "key")
+    links = settle(
+        near_blocks(dense, dense, pairs, _link_block(eps, alpha), f"key {key_type}, root {key_type}, reach double"),
+        "links",
+    )
+    return core, links.select(F.col("key").alias("a"), F.col("root").alias("b"), "reach")
+
+
 def density_labels(
     points: DataFrame,
     min_size: int = 2,
@@ -194,34 +229,19 @@ def density_labels(
     points are noise (-1). Probability is the cluster's smallest reachability over
     the point's own, 0 for noise.
     """
-    key_type = dict(points.dtypes)[key]
     base = points.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"))
     # equal vectors share one point, so that many copies of one do not face each other
     point = base.groupBy("vector").agg(F.min("key").alias("key"), F.count("*").alias("n"))
     point = settle(point, "points")
-    radius = eps * max(1.0, alpha)
     shape = point.agg(F.count("*").alias("n"), F.max(F.size("vector")).alias("dims")).first()
-    # cells do not tell many coordinates apart: there fewer tiles move less
-    widest = max(TILE_ROWS, math.ceil(shape["n"] / SPREAD)) if (shape["dims"] or 0) > FEW_DIMS else TILE_ROWS
-    tiled, pairs = near_tiles(point, "vector", "key", radius, min(tile_rows, widest))
-    pairs = settle(pairs.where("_lt <= _rt"), "pairs")
-    tiled = settle(tiled, "tiled")
-    near = near_blocks(
-        tiled, tiled, pairs, _core_block(min_samples, radius), f"key {key_type}, distance double, n bigint"
-    )
-    copies = point.where("n > 1").select("key", F.lit(0.0).alias("distance"), (F.col("n") - 1).alias("n"))
-    core = settle(_core_distance(near.unionByName(copies), min_samples).where(F.col("core") <= eps), "core")
-    dense = tiled.join(core, "key")
-    links = settle(
-        near_blocks(dense, dense, pairs, _link_block(eps, alpha), f"key {key_type}, root {key_type}, reach double"),
-        "links",
-    )
-    linked = connected_components(
-        links.where("root is not null").select(F.col("key").alias("a"), F.col("root").alias("b"))
-    )
+    if (shape["dims"] or 0) <= FEW_DIMS:
+        core, edges = _few_links(point, min_samples, eps, alpha, min(tile_rows, TREE_TILE))
+    else:
+        core, edges = _wide_links(point, shape["n"], min_samples, eps, alpha, tile_rows)
+    linked = connected_components(edges.where("b is not null").select("a", "b"))
+    reach = edges.groupBy(F.col("a").alias("key")).agg(F.min("reach").alias("reach"))
     # a copy reaches its own copies at its core distance
     own = point.join(core, "key").select("key", "n", F.when(F.col("n") > 1, F.col("core")).alias("own"))
-    reach = links.where("root is null").groupBy("key").agg(F.min("reach").alias("reach"))
     members = (
         own.join(linked.withColumnRenamed("node", "key"), "key", "left")
         .join(reach, "key", "left")
