@@ -7,14 +7,18 @@ random projection, are the word vectors. A category's vector is the mean of its
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
 from reviewloom.functions.text import normalized_words
 from reviewloom.operators.spectra import column_names, leading_eigenvectors
+from reviewloom.operators.wordpairs import count_pairs
 from reviewloom.staging import settle
 
 EARLY = 500_000  # up to so many words, pairs are sifted before they are counted
+KNOWN = 4_000_000  # up to so many words, every task can hold the codes of all
 
 def neighbor_pairs(tokens: Column, window: int) -> Column:
     """All pairs of words at most ``window`` apart, each with the lesser word first."""
@@ -27,7 +31,7 @@ def neighbor_pairs(tokens: Column, window: int) -> Column:
     return F.concat(*[apart(by) for by in range(1, window + 1)])
 
 
-def word_totals(tokens: DataFrame, window: int) -> tuple[DataFrame, Column]:
+def word_totals(tokens: DataFrame, window: int) -> tuple[DataFrame, Callable[[Column], Column]]:
     """``word, code, n`` of all words in the lists ``tokens``, with 64-bit codes and in how many pairs each stands,
     and the code of a list's item as a function of it.
 
@@ -35,7 +39,7 @@ def word_totals(tokens: DataFrame, window: int) -> tuple[DataFrame, Column]:
     """
     at = tokens.select(F.size("tokens").alias("size"), F.posexplode("tokens").alias("i", "word"))
     slots = F.least(F.lit(window), F.col("i")) + F.least(F.lit(window), F.col("size") - 1 - F.col("i"))
-    totals = settle(at.groupBy("word").agg(F.sum(slots).alias("n")), "totals")
+    totals = settle(at.groupBy("word").agg(F.sum(slots).alias("n")), "totals", compact=True)
     seed, count = 0, totals.count()
     while totals.select(F.xxhash64(F.lit(seed), "word")).distinct().count() < count:
         seed += 1
@@ -49,8 +53,11 @@ def coded_pair_counts(reviews: DataFrame, text: str = "text", window: int = 5, m
     Only words that stand in ``min_count`` pairs or more are kept; the pairs of the others are not
     counted one by one.
     """
-    tokens = settle(reviews.where(F.col(text).isNotNull()).select(normalized_words(F.col(text)).alias("tokens")), "tokens")
-    totals, code = word_totals(tokens, window)
+    tokens = listed_words(reviews, text)
+    return _coded_counts(tokens, *word_totals(tokens, window), window, min_count)
+
+
+def _coded_counts(tokens: DataFrame, totals: DataFrame, code: Callable[[Column], Column], window: int, min_count: int) -> tuple[DataFrame, DataFrame]:
     names = settle(totals.where(F.col("n") >= min_count).select("word", "code"), "words")
     pairs = tokens.select(F.explode(neighbor_pairs(F.transform("tokens", code), window)).alias("p")).select("p.a", "p.b")
     count = lambda rows: rows.groupBy("a", "b")
@@ -103,11 +110,27 @@ def mutual_information(pairs: DataFrame, min_count: int = 5) -> DataFrame:
     return rows.select("a", "b", weight.alias("weight")).where("weight > 0")
 
 
+def listed_words(reviews: DataFrame, text: str, *columns: Column) -> DataFrame:
+    """``tokens``, the words of each text that is not null, beside the given columns."""
+    return settle(reviews.where(F.col(text).isNotNull()).select(*columns, normalized_words(F.col(text)).alias("tokens")), "tokens", compact=True)
+
+
 def word_vectors(reviews: DataFrame, text: str = "text", dims: int = 32, window: int = 5, min_count: int = 5) -> DataFrame:
     """``word, vector``: leading eigenvectors scaled by the roots of their eigenvalues."""
-    pairs, names = coded_pair_counts(reviews, text, window, min_count)
-    matrix = settle(mutual_information(pairs, 1), "information")
-    names = names.select(F.col("code").alias("key"), "word")
+    return _vectors_of(listed_words(reviews, text), dims, window, min_count)
+
+
+def _vectors_of(tokens: DataFrame, dims: int, window: int, min_count: int) -> DataFrame:
+    totals, code = word_totals(tokens, window)
+    often = settle(totals.where(F.col("n") >= min_count).select("word", "code", "n"), "words", compact=True)
+    count, ends = often.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    if count <= KNOWN:
+        matrix = count_pairs(tokens, code, often.select("word", "code"), window, ends // 2)
+        names = matrix.words
+    else:
+        pairs, names = _coded_counts(tokens, totals, code, window, min_count)
+        matrix = settle(mutual_information(pairs, 1), "information", compact=True)
+        names = names.select(F.col("code").alias("key"), "word")
     vectors, values = leading_eigenvectors(matrix, dims, names=names)
     scale = np.sqrt(np.abs(values))
     return vectors.join(names, "key").select("word", F.array(*[F.col(c) * float(s) for c, s in zip(column_names("x", dims), scale)]).alias("vector"))
@@ -121,12 +144,11 @@ def category_word_vectors(
     Words are counted per category before they meet their vectors. A category without known
     words has a null vector.
     """
-    vectors = settle(word_vectors(reviews, text, dims, window, min_count), "word_vectors")
-    tokens = normalized_words(F.col(text))
-    counted = reviews.where(F.col(text).isNotNull()).select(group, F.explode(tokens).alias("word"))
-    counted = counted.groupBy(group, "word").agg(F.count("*").alias("n"))
+    tokens = listed_words(reviews, text, F.col(group).alias("_group"))
+    vectors = settle(_vectors_of(tokens, dims, window, min_count), "word_vectors", compact=True)
+    counted = tokens.select("_group", F.explode("tokens").alias("word")).groupBy("_group", "word").agg(F.count("*").alias("n"))
     parts = counted.join(vectors, "word")
     sums = [F.sum(F.col("n") * F.get("vector", F.lit(i))) / F.sum("n") for i in range(dims)]
-    means = parts.groupBy(F.col(group).alias("_group")).agg(F.array(*sums).alias("vector"))
+    means = settle(parts.groupBy("_group").agg(F.array(*sums).alias("vector")), "means", compact=True)
     groups = reviews.select(group).distinct()
     return groups.join(means, F.col(group).eqNullSafe(F.col("_group")), "left").select(group, "vector")

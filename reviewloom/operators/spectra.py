@@ -1,7 +1,7 @@
 """Products of a sparse matrix with a few dense columns, and their small Gram matrices.
 
-A matrix is a table ``a, b, weight``; columns are doubles of a table with one row per ``key``. A
-product is a join and a sum per row. Only numbers counted by columns reach the driver.
+A matrix is a table ``a, b, weight``, or :class:`PairTiles`; columns are doubles of a table with one
+row per ``key``. A product is a join and a sum per row. Only numbers counted by columns reach the driver.
 """
 
 from __future__ import annotations
@@ -9,6 +9,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from reviewloom.operators.wordpairs import PairTiles
 from reviewloom.staging import settle
 
 
@@ -16,8 +17,10 @@ def column_names(prefix: str, n: int) -> list[str]:
     return [f"{prefix}{i}" for i in range(n)]
 
 
-def product(matrix: DataFrame, vectors: DataFrame, columns: list[str]) -> DataFrame:
+def product(matrix: DataFrame | PairTiles, vectors: DataFrame, columns: list[str]) -> DataFrame:
     """The matrix times the columns; rows of the matrix without an entry are absent."""
+    if isinstance(matrix, PairTiles):
+        return matrix.times(vectors, columns)
     ends = matrix.join(vectors.select(F.col("key").alias("b"), *columns), "b")
     return ends.groupBy(F.col("a").alias("key")).agg(*[F.sum(F.col("weight") * F.col(c)).alias(c) for c in columns])
 
@@ -43,7 +46,7 @@ def orthonormal(rows: DataFrame, columns: list[str]) -> DataFrame:
     return rows.select("key", *mixed(columns, np.where(good, turn / np.sqrt(np.where(good, size, 1.0)), 0.0)))
 
 
-def eigenpairs(matrix: DataFrame, rows: DataFrame, columns: list[str]) -> tuple[np.ndarray, np.ndarray]:
+def eigenpairs(matrix: DataFrame | PairTiles, rows: DataFrame, columns: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Eigenvalues of a symmetric matrix within the span of orthonormal columns, and the weights of
     the columns that give the eigenvectors."""
     image = product(matrix, rows, columns).select("key", *[F.col(c).alias(f"i_{c}") for c in columns])
@@ -58,7 +61,7 @@ def random_columns(rows: DataFrame, columns: list[str], seed: int, name: str = "
 
 
 def leading_eigenvectors(
-    matrix: DataFrame, rank: int, spare: int = 6, rounds: int = 3, seed: int = 42, names: DataFrame | None = None
+    matrix: DataFrame | PairTiles, rank: int, spare: int = 6, rounds: int = 3, seed: int = 42, names: DataFrame | None = None
 ) -> tuple[DataFrame, np.ndarray]:
     """``key, x0..`` and the eigenvalues of largest size of a symmetric matrix, by random projection.
 
@@ -67,12 +70,16 @@ def leading_eigenvectors(
     ``names`` (``key, word``) tells what the random numbers of a coded key are drawn by.
     """
     columns = column_names("x", rank + spare)
-    keys = settle(matrix.select(F.col("a").alias("key")).distinct(), "keys")
-    drawn = random_columns(keys, columns, seed) if names is None else random_columns(keys.join(names, "key"), columns, seed, "word")
-    now = settle(orthonormal(settle(product(matrix, drawn, columns), "range"), columns), "range")
+    if isinstance(matrix, PairTiles):
+        drawn = random_columns(matrix.words, columns, seed, "word")
+    else:
+        keys = settle(matrix.select(F.col("a").alias("key")).distinct(), "keys")
+        drawn = random_columns(keys, columns, seed) if names is None else random_columns(keys.join(names, "key"), columns, seed, "word")
+    step = lambda rows: settle(rows, "range", compact=True)
+    now = step(orthonormal(step(product(matrix, drawn, columns)), columns))
     for _ in range(rounds):
-        twice = settle(product(matrix, product(matrix, now, columns), columns), "range")
-        now = settle(orthonormal(twice, columns), "range")
+        once = step(product(matrix, now, columns))
+        now = step(orthonormal(step(product(matrix, once, columns)), columns))
     values, turn = eigenpairs(matrix, now, columns)
     order = np.argsort(-np.abs(values))[:rank]
     return now.select("key", *mixed(columns, turn[:, order])), values[order]

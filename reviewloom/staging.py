@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _KEY, _WAREHOUSE = "spark.checkpoint.dir", "spark.sql.warehouse.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"  # since Spark 4.1
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -47,9 +48,21 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return f"{_application_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
-def settle(df: DataFrame, label: str = "table") -> DataFrame:
-    """Write ``df`` to the shared folder and return the table read back."""
+def settle(df: DataFrame, label: str = "table", compact: bool = False) -> DataFrame:
+    """Write ``df`` to the shared folder and return the table read back.
+
+    ``compact`` is for large tables: their files are packed tighter, and the shuffle files of the
+    write go when it ends, not when the driver happens to collect its garbage.
+    """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    df.write.parquet(path)
+    if compact:
+        before = spark.conf.get(_CLEANUP, None)
+        spark.conf.set(_CLEANUP, "true")
+        try:
+            df.select("*").write.option("compression", "zstd").parquet(path)  # a new plan, which takes the setting on
+        finally:
+            spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    else:
+        df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
